@@ -4,7 +4,8 @@ All entity windows partition by the entity key, never by period alone, so a
 window never collapses into one task.  Statistics over a group that is large
 by nature (all entities of one year, all members of a region) are computed
 with ``groupBy`` (partial aggregation before the shuffle) and joined back
-behind a size check, not with a window over the raw rows.
+behind a size check (AQE's runtime one by default), not with a window over
+the raw rows.
 """
 
 from __future__ import annotations
@@ -16,8 +17,7 @@ from pyspark.sql import functions as F
 
 from panelyze.session import checkpoint_root
 
-# Group-statistic tables up to this many rows are broadcast; above it the
-# join falls back to a shuffle join.
+# Row limit for an eagerly checked broadcast (see ``join_small``).
 BROADCAST_ROW_LIMIT = 200_000
 
 
@@ -63,18 +63,26 @@ def join_small(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_rows: int = BROADCAST_ROW_LIMIT,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Join a derived small table, broadcasting it only after checking its size.
-
-    ``small`` is checkpointed to the shared checkpoint folder first, so it is
-    computed once, its row count is exact, and the join reads the files.
-    Above ``max_rows`` a normal shuffle join is used.
+    """Join a small derived table (group statistics) back to the rows.
+
+    By default no hint is given: with AQE on, Spark measures ``small`` when
+    its shuffle stage finishes and plans a broadcast join only below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, a sort-merge join
+    above it.  Everything stays one job, so a subtree shared by both sides
+    is computed once.
+
+    With ``max_rows`` the size is checked eagerly instead: ``small`` is
+    checkpointed under ``spark.checkpoint.dir``, counted, and broadcast
+    only when it has at most ``max_rows`` rows.  Use this when ``small``
+    comes from a materialised table, where the extra job is cheap.
     """
-    checkpoint_root(big.sparkSession)
-    small = small.checkpoint(eager=True)
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
+    if max_rows is not None:
+        checkpoint_root(big.sparkSession)
+        small = small.checkpoint(eager=True)
+        if small.count() <= max_rows:
+            small = F.broadcast(small)
     return big.join(small, list(on), how)
 
 
@@ -83,7 +91,7 @@ def attach_group_stats(
     keys: Sequence[str],
     aggs: Mapping[str, Column],
     source: DataFrame | None = None,
-    max_broadcast_rows: int = BROADCAST_ROW_LIMIT,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Add group aggregates (e.g. the average of the row's region and year).
 

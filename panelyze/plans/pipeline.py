@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from panelyze.plans import models as M
 from panelyze.plans import testpanel
+from panelyze.session import materialize
 
 _T = testpanel.PanelThresholds()
 TEST_PARAMS = M.ModelParams(income=_T.income, intensity=_T.intensity)
 
+# Tables the panel is derived from (their mtimes key the materialised copy).
+_SOURCES = ("orders", "lineitem", "customer", "nation", "region")
+# Lazy frames are reused across queries of one session (building them reads
+# table footers and analyses the plan); the materialised panel likewise.
+_LAZY: dict[tuple, "PanelFrames"] = {}
+_MATERIALISED: dict[tuple, DataFrame] = {}
+
 
 @dataclass
 class PanelFrames:
@@ -22,10 +31,39 @@ class PanelFrames:
     panel: DataFrame
 
 
-def panel_frames(spark: SparkSession, sf_dir: str, params: M.ModelParams = TEST_PARAMS) -> PanelFrames:
-    combined = testpanel.combined_panel(spark, sf_dir)
-    seed = testpanel.countries_seed(spark, sf_dir)
-    staged = M.stg_combined(combined)
-    countries = M.stg_countries(seed)
-    panel = M.sovereign_panel(staged, countries, params)
-    return PanelFrames(combined, seed, staged, countries, panel)
+def panel_frames(
+    spark: SparkSession,
+    sf_dir: str,
+    params: M.ModelParams = TEST_PARAMS,
+    materialised: bool = False,
+) -> PanelFrames:
+    """Lazy frames of the panel pipeline.
+
+    With ``materialised=True`` the sovereign panel (all dimension columns)
+    is written once per session and input version as a table under
+    ``spark.checkpoint.dir``, partitioned by year and sorted by country
+    (the dimension tables' partitioning and clustering), and the models
+    read that table.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), params, _input_version(sf_dir))
+    frames = _LAZY.get(key)
+    if frames is None:
+        combined = testpanel.combined_panel(spark, sf_dir)
+        seed = testpanel.countries_seed(spark, sf_dir)
+        staged = M.stg_combined(combined)
+        countries = M.stg_countries(seed)
+        panel = M.sovereign_panel(staged, countries, params)
+        frames = _LAZY[key] = PanelFrames(combined, seed, staged, countries, panel)
+    if not materialised:
+        return frames
+    if key not in _MATERIALISED:
+        _MATERIALISED[key] = materialize(frames.panel, "sovereign_panel", ["year"], ["year", "country"])
+    return replace(frames, panel=_MATERIALISED[key])
+
+
+def _input_version(sf_dir: str) -> tuple:
+    out = []
+    for t in _SOURCES:
+        path = os.path.join(sf_dir, f"{t}.parquet")
+        out.append(os.stat(path).st_mtime_ns if os.path.exists(path) else None)
+    return tuple(out)

@@ -58,17 +58,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}panelyze/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame,
+    name: str,
+    partition_by: list[str] | None = None,
+    sort_within: list[str] | None = None,
+) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it back.
 
     This cuts lineage (a lost executor re-reads files instead of recomputing
-    the whole plan) and lets later jobs prune on ``partition_by``.
+    the whole plan) and lets later jobs prune on ``partition_by``.  Sorting
+    within each task by ``sort_within`` (starting with the partition
+    columns, which the writer needs anyway) clusters rows so Parquet min/max
+    statistics skip row groups on those keys.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
-
