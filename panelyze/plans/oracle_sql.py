@@ -580,3 +580,132 @@ def top_k_sql(metric: str, k: int = 10) -> str:
 
 # Labels are asserted to match the DataFrame-side fixed values.
 assert C.COMPOSITION_LABELS[0] == "CO₂-Dominant"
+
+
+# ---------------------------------------------------------- operator queries
+_EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def _pivot_cols(order: str) -> str:
+    return ",\n  ".join(
+        f"arg_max(value, {order}) FILTER (WHERE event_type = {q(t)}) AS {t}" for t in _EVENT_TYPES
+    )
+
+
+PIVOT_INDICATORS_SQL = f"""
+SELECT user_id, CAST(ts AS DATE) AS day,
+  {_pivot_cols('(ts, event_id)')}
+FROM events
+WHERE value IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL
+GROUP BY 1, 2"""
+
+JSON_INDICATOR_SQL = f"""
+SELECT CAST(user_id AS VARCHAR) AS country, CAST(ts AS DATE) AS day,
+  {_pivot_cols('(ts, event_id)')}
+FROM events
+WHERE value IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL
+GROUP BY 1, 2"""
+
+FLATTEN_PROPS_SQL = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k
+FROM events
+WHERE event_id IS NOT NULL AND props IS NOT NULL AND len(json_keys(props)) > 0"""
+
+CSV_YEARLY_SQL = with_base(
+    """
+SELECT CAST(country AS VARCHAR) AS country, year, sp_pop_totl, ny_gdp_pcap_cd,
+  CASE WHEN year = 2001 THEN NULL ELSE sp_dyn_le00_in END AS sp_dyn_le00_in,
+  se_sec_enrr, sl_uem_totl_zs, si_pov_gaps, si_pov_gini
+FROM combined"""
+)
+
+_NATION_SIDES = """
+wb AS (
+  SELECT c_nationkey AS country, CAST(year(o_orderdate) AS INTEGER) AS year,
+         CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
+),
+ct AS (
+  SELECT s_nationkey AS country, CAST(year(l_shipdate) AS INTEGER) AS year,
+         CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS n
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
+)"""
+
+FULL_OUTER_MERGE_SQL = f"""WITH {_NATION_SIDES}
+SELECT COALESCE(wb.country, ct.country) AS country, COALESCE(wb.year, ct.year) AS year,
+       wb.revenue AS revenue_wb, wb.n AS n_wb, ct.revenue AS revenue_ct, ct.n AS n_ct
+FROM wb FULL OUTER JOIN ct ON wb.country = ct.country AND wb.year = ct.year"""
+
+SINGLE_YEAR_JOIN_SQL = f"""WITH {_NATION_SIDES}
+SELECT wb.country, wb.year AS year_1, wb.revenue AS revenue_1, wb.n AS n_1,
+       ct.year AS year_2, ct.revenue AS revenue_2, ct.n AS n_2
+FROM (SELECT * FROM wb WHERE year = 2000) wb JOIN (SELECT * FROM ct WHERE year = 2000) ct ON wb.country = ct.country"""
+
+SUPPLIER_TOTALS_SQL = f"""WITH {_NATION_SIDES}
+SELECT country, {XSUM('revenue')} AS revenue FROM ct GROUP BY country"""
+
+SUM_BY_SUPPLIER_YEAR_SQL = "SELECT l_suppkey AS supplier, CAST(year(l_shipdate) AS INTEGER) AS year,\n" + ",\n".join(
+    f"  COALESCE({XSUM(f'CASE WHEN l_returnflag = {q(f)} THEN l_extendedprice END')}, 0.0) AS flag_{f}"
+    for f in ("A", "N", "R")
+) + "\nFROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY 1, 2"
+
+ENTITY_TOTALS_SQL = with_base(
+    f"""
+SELECT country, {XSUM('calculated_total_emissions')} AS total_emissions,
+       {XAVG('co2_percentage', 6)} AS avg_co2_percentage
+FROM dim_emissions GROUP BY country"""
+)
+
+INCOME_MODE_SQL = with_base(
+    """
+SELECT region, year, income_category AS mode_income_category FROM (
+  SELECT region, year, income_category,
+         ROW_NUMBER() OVER (PARTITION BY region, year ORDER BY n DESC, income_category DESC) AS rn
+  FROM (SELECT sc.region, ed.year, ed.income_category, COUNT(*) AS n
+        FROM dim_socio ed JOIN stg_countries sc ON ed.country = sc.alpha_3
+        WHERE ed.income_category IS NOT NULL
+        GROUP BY 1, 2, 3) c
+) r WHERE rn = 1"""
+)
+
+DISTINCT_COUNTRIES_SQL = with_base("SELECT DISTINCT country FROM combined")
+
+PART_NAME_FILTER_SQL = """
+SELECT p_partkey, p_name FROM part
+WHERE p_name NOT LIKE '%Territory%' AND p_name NOT LIKE '%Island%'
+  AND p_name NOT LIKE '%Dependencies%' AND p_name NOT LIKE '%Dependency%'"""
+
+_CHECK_COLS = ("population", "gdp_per_capita", "life_expectancy", "school_enrollment", "gini_index")
+NULL_COUNTS_SQL = with_base(
+    "\nUNION ALL\n".join(
+        f"SELECT {q(c)} AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM stg_combined"
+        for c in _CHECK_COLS
+    )
+)
+UNIQUE_PANEL_KEY_SQL = with_base(
+    "SELECT country, year, COUNT(*) AS n_rows FROM combined GROUP BY country, year HAVING COUNT(*) > 1"
+)
+UNIQUE_DIM_KEY_SQL = with_base(
+    "SELECT alpha_3, COUNT(*) AS n_rows FROM stg_countries GROUP BY alpha_3 HAVING COUNT(*) > 1"
+)
+DIM_ROW_COUNT_SQL = with_base(
+    "SELECT * FROM (SELECT COUNT(*) AS row_count FROM stg_countries) t WHERE NOT (row_count BETWEEN 180 AND 250)"
+)
+NOT_NULL_STAGED_SQL = with_base(
+    "SELECT country, year, life_expectancy FROM stg_combined WHERE life_expectancy IS NULL"
+)
+YEAR_OVERWRITE_SQL = with_base(
+    """
+SELECT country, year, sp_pop_totl, ny_gdp_pcap_cd, sp_dyn_le00_in, se_sec_enrr, sl_uem_totl_zs, si_pov_gaps,
+       si_pov_gini, CASE WHEN year = 1998 THEN co2 * 2 ELSE co2 END AS co2, ch4, n2o, co2e_100yr, co2e_20yr
+FROM combined"""
+)
+EXTERNAL_TABLE_SQL = with_base(
+    "SELECT * FROM dim_emissions WHERE year IN (DATE '1996-01-01', DATE '1997-01-01')"
+)
+ENTITY_SHARE_SQL = with_base(
+    """
+SELECT country, year, co2_emissions / NULLIF(population, 0) * 100 AS co2_per_unit_pct,
+       population * gdp_per_capita AS total_gdp
+FROM stg_combined"""
+)
