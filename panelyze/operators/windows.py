@@ -127,3 +127,85 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     partial per-partition top-k before the shuffle (WindowGroupLimit).
     """
     return df.withColumn(rank_col, rank_within(group, order)).where(F.col(rank_col) <= k)
+
+
+def _sorts_before(t: Column, value: Column, entity: Column) -> Column:
+    """``t`` precedes (value, entity) in ``value DESC NULLS LAST, entity ASC``."""
+    tv, te = t["v"], t["e"]
+    return (tv.isNotNull() & (value.isNull() | (tv > value))) | (tv.eqNullSafe(value) & (te < entity))
+
+
+def row_numbers_of_selected(
+    df: DataFrame,
+    candidates: DataFrame,
+    group: Sequence[str],
+    entity: str,
+    metrics: Mapping[str, str],
+    max_broadcast_groups: int = BROADCAST_ROW_LIMIT,
+) -> DataFrame:
+    """Add ``ROW_NUMBER() OVER (PARTITION BY group ORDER BY metric DESC NULLS
+    LAST, entity)`` columns, ranked among all rows of ``df``, to the few
+    ``candidates`` rows of each group, exactly, without sorting a whole group
+    in one task.
+
+    ``candidates`` are rows of ``df`` (for instance the union of a few
+    top-k lists).  They are checkpointed once (a small, bounded table) and
+    their sort keys gathered per group into a short array, broadcast after
+    counting the groups.  Every row of ``df`` counts how many candidates
+    sort strictly before it (``pos``).  The candidate with row number k has
+    ``pos = k - 1`` and its row number is the number of rows with
+    ``pos <= k - 1``: a cumulative sum over the per-group histogram of
+    ``pos``, which is aggregated partially before its shuffle and holds at
+    most one entry per candidate plus one.
+
+    ``(group, entity)`` must be unique.
+    """
+    keys = [*group, entity]
+    names = list(metrics)
+    checkpoint_root(df.sparkSession)
+    cand = candidates.dropDuplicates(keys).checkpoint(eager=True)
+    arrays = cand.groupBy(*group).agg(
+        *[
+            F.collect_list(F.struct(F.col(m).alias("v"), F.col(entity).alias("e"))).alias(f"_a_{n}")
+            for n, m in metrics.items()
+        ]
+    )
+    if arrays.count() <= max_broadcast_groups:
+        arrays = F.broadcast(arrays)
+
+    def before_row(v: Column, e: Column):
+        return lambda t: _sorts_before(t, v, e)
+
+    # Rows of groups without candidates cannot change any row number.
+    with_pos = df.select(*keys, *metrics.values()).join(arrays, list(group), "inner").select(
+        *group,
+        *[F.size(F.filter(f"_a_{n}", before_row(F.col(m), F.col(entity)))).alias(f"_p_{n}") for n, m in metrics.items()],
+    )
+    stacked = with_pos.select(
+        *group,
+        F.explode(F.array(*[F.struct(F.lit(n).alias("o"), F.col(f"_p_{n}").alias("p")) for n in names])).alias("_s"),
+    ).select(*group, F.col("_s.o").alias("_o"), F.col("_s.p").alias("_pos"))
+    hist = stacked.groupBy(*group, "_o", "_pos").agg(F.count(F.lit(1)).alias("_n"))
+    cum = hist.withColumn(
+        "_rank",
+        F.sum("_n").over(
+            Window.partitionBy(*group, "_o").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ),
+    )
+    # A candidate's pos is the number of candidates before it: a window over
+    # the candidates of its group only.
+    out = cand.withColumns(
+        {
+            f"_p_{n}": F.row_number().over(
+                Window.partitionBy(*group).orderBy(F.col(m).desc_nulls_last(), F.col(entity))
+            )
+            - 1
+            for n, m in metrics.items()
+        }
+    )
+    for n in names:
+        r = cum.where(F.col("_o") == F.lit(n)).select(
+            *group, F.col("_pos").alias(f"_p_{n}"), F.col("_rank").cast("int").alias(n)
+        )
+        out = out.join(r, [*group, f"_p_{n}"], "left").drop(f"_p_{n}")
+    return out

@@ -49,6 +49,8 @@ from panelyze.operators.windows import (
     exact_lag_present,
     exact_lag_value,
     lag_value,
+    row_numbers_of_selected,
+    top_k_per_group,
 )
 
 
@@ -607,7 +609,9 @@ def top_emitters(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
 
     Yearly totals are a ``groupBy(year)`` joined back behind a size check.
     The three rankings are row numbers within the year, ties broken by
-    country so the result is deterministic.
+    country so the result is deterministic.  They are computed for the
+    candidate rows only (``row_numbers_of_selected``), so no year is ever
+    sorted in a single task.
     """
     s = p.sum_scale
     rows = panel.where(F.col(HAS_EMISSIONS) & F.col(HAS_SOCIO) & (F.col("population") > 0)).select(
@@ -625,18 +629,18 @@ def top_emitters(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
         safe_divide(TOTAL, "population").alias("_epc"),
         intensity_guarded(TOTAL, "gdp_per_capita", "population", p.gdp_unit).alias("_epmg"),
     )
-    ranked = rows.withColumns(
-        {
-            "emissions_rank": F.row_number().over(
-                Window.partitionBy("year").orderBy(F.col(TOTAL).desc_nulls_last(), "country")
-            ),
-            "per_capita_rank": F.row_number().over(
-                Window.partitionBy("year").orderBy(F.col("_epc").desc_nulls_last(), "country")
-            ),
-            "carbon_intensity_rank": F.row_number().over(
-                Window.partitionBy("year").orderBy(F.col("_epmg").desc_nulls_last(), "country")
-            ),
-        }
+    # Candidates: the top ``top_n`` of each year by total and by per-head
+    # emissions (row-number filters, planned as partial top-k).
+    order_e = [F.col(TOTAL).desc_nulls_last(), F.col("country")]
+    order_p = [F.col("_epc").desc_nulls_last(), F.col("country")]
+    top_e = top_k_per_group(rows, ["year"], order_e, p.top_n, "_r").drop("_r")
+    top_p = top_k_per_group(rows, ["year"], order_p, p.top_n, "_r").drop("_r")
+    ranked = row_numbers_of_selected(
+        rows,
+        top_e.unionByName(top_p),
+        ["year"],
+        "country",
+        {"emissions_rank": TOTAL, "per_capita_rank": "_epc", "carbon_intensity_rank": "_epmg"},
     ).where((F.col("emissions_rank") <= p.top_n) | (F.col("per_capita_rank") <= p.top_n))
     with_tot = attach_group_stats(
         ranked,
