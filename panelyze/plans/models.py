@@ -449,18 +449,24 @@ def gdp_correlation(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFra
         safe_divide(TOTAL, "population").alias("_epc"),
         intensity_guarded(TOTAL, "gdp_per_capita", "population", p.gdp_unit).alias("_epmg"),
     )
-    growth = {}
-    for n, suffix in ((1, ""), (5, "_5yr")):
-        prev_gdp = exact_lag_value("total_gdp", "country", "year_num", n)
-        prev_total = exact_lag_value(TOTAL, "country", "year_num", n)
-        g = round_half_up(pct_change("total_gdp", prev_gdp), 2)
-        e = round_half_up(pct_change(TOTAL, prev_total), 2)
-        if n != 1:
-            present = exact_lag_present("country", "year_num", n)
-            g, e = F.when(present, g), F.when(present, e)
-        growth[f"gdp_growth{suffix}_pct"] = g
-        growth[f"emissions_growth{suffix}_pct"] = e
-    windowed = rows.withColumns(growth)
+    # Window values first, as columns, so each is evaluated once.
+    lagged = rows.withColumns(
+        {
+            "_gdp_1": exact_lag_value("total_gdp", "country", "year_num", 1),
+            "_tot_1": exact_lag_value(TOTAL, "country", "year_num", 1),
+            "_gdp_5": exact_lag_value("total_gdp", "country", "year_num", 5),
+            "_tot_5": exact_lag_value(TOTAL, "country", "year_num", 5),
+            "_has_5": exact_lag_present("country", "year_num", 5),
+        }
+    )
+    windowed = lagged.withColumns(
+        {
+            "gdp_growth_pct": round_half_up(pct_change("total_gdp", "_gdp_1"), 2),
+            "emissions_growth_pct": round_half_up(pct_change(TOTAL, "_tot_1"), 2),
+            "gdp_growth_5yr_pct": F.when(F.col("_has_5"), round_half_up(pct_change("total_gdp", "_gdp_5"), 2)),
+            "emissions_growth_5yr_pct": F.when(F.col("_has_5"), round_half_up(pct_change(TOTAL, "_tot_5"), 2)),
+        }
+    )
     with_avg = attach_group_stats(
         windowed,
         ["year", "region"],
@@ -530,8 +536,9 @@ def country_profile(panel: DataFrame, entities=None, p: ModelParams = ModelParam
         "yoy_population_change_pct": "population",
         "yoy_gdp_per_capita_change_pct": "gdp_per_capita",
     }
+    rows = rows.withColumns({f"_prev_{c}": lag_value(c, "country", "year") for c in yoy.values()})
     rows = rows.withColumns(
-        {name: round_half_up(pct_change(c, lag_value(c, "country", "year")), 2) for name, c in yoy.items()}
+        {name: round_half_up(pct_change(c, f"_prev_{c}"), 2) for name, c in yoy.items()}
     )
     keep_country = entities is None or isinstance(entities, (list, tuple, set, frozenset))
     return rows.select(
@@ -578,7 +585,7 @@ def region_countries(panel: DataFrame, region: str, p: ModelParams = ModelParams
         "education_access_category",
         "life_expectancy_group",
     )
-    prev = lag_value(TOTAL, "country", "year")
+    rows = rows.withColumn("_prev_total", lag_value(TOTAL, "country", "year"))
     out = rows.select(
         "country",
         "country_name",
@@ -599,7 +606,7 @@ def region_countries(panel: DataFrame, region: str, p: ModelParams = ModelParams
         "inequality_category",
         "education_access_category",
         "life_expectancy_group",
-        round_half_up(pct_change(TOTAL, prev), 2).alias("yoy_emissions_change_pct"),
+        round_half_up(pct_change(TOTAL, "_prev_total"), 2).alias("yoy_emissions_change_pct"),
     )
     return out.orderBy(F.col("year").desc(), F.col(TOTAL).desc())
 

@@ -69,25 +69,29 @@ def flatten_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ sources
 
 
+PAGE_SIZE = 1000
+
+
 def _indicator_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Land events as API payload documents ``[metadata, [records]]``.
 
-    One document per event type and 10-minute window (bounded size, never
-    a whole day or type in one task); records carry the user as the
-    country code, the window start as ``date`` and sit in time order.
+    One document (page) per event type and block of ``PAGE_SIZE`` event ids,
+    so no document, and no task building one, grows with a hot key.
+    Records carry the user as the country code and the event time as
+    ``date``, in time order; pages are numbered in id order.
     """
     ev = table(spark, sf_dir, "events")
-    window = F.date_format(F.window("ts", "10 minutes").start, "yyyy-MM-dd'T'HH:mm")
+    page = F.floor(F.col("event_id") / PAGE_SIZE).cast("long")
     rec = F.struct(
         F.col("user_id").cast("string").alias("countryiso3code"),
         F.col("value").alias("value"),
         F.struct(F.col("event_type").alias("id")).alias("indicator"),
-        window.alias("date"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("date"),
     )
-    docs = ev.groupBy("event_type", window.alias("w")).agg(
+    docs = ev.groupBy("event_type", page.alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id", rec.alias("r")))).alias("items")
     )
-    meta = F.to_json(F.struct(F.lit(1).alias("page"), F.size("items").alias("total")))
+    meta = F.to_json(F.struct("page", F.lit(PAGE_SIZE).alias("per_page"), F.size("items").alias("total")))
     body = F.to_json(F.transform("items", lambda x: x["r"]))
     docs.select(F.concat(F.lit("["), meta, F.lit(","), body, F.lit("]")).alias("value")).write.mode(
         "overwrite"
@@ -95,12 +99,13 @@ def _indicator_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def json_indicator_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed payloads read back, decoded and pivoted (last record wins)."""
+    """Landed payloads read back, decoded and pivoted; the last record in
+    (time, page, position) order wins."""
     path = scratch_path(spark, "payloads")
     _indicator_payloads(spark, sf_dir, path)
     recs = SRC.read_indicator_payloads(spark, path, whole_file=False)
     recs = recs.withColumn("day", F.to_date(F.substring("date", 1, 10)))
-    return RS.pivot_last(recs, ["country", "day"], "indicator", "value", EVENT_TYPES, ["date", "seq"])
+    return RS.pivot_last(recs, ["country", "day"], "indicator", "value", EVENT_TYPES, ["date", "page", "seq"])
 
 
 def _land_yearly_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -276,3 +281,20 @@ def supplier_totals_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact (decimal) revenue per supplier nation, all years."""
     li = _lines_by_nation_year(spark, sf_dir)
     return li.groupBy("country").agg(exact_sum("revenue", 2).alias("revenue"))
+
+
+# --------------------------------------------------------------- streaming
+
+
+def stream_year_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Combined panel landed as yearly Parquet folders, taken by the
+    ingestion stream into a year-partitioned table, read back."""
+    from panelyze.streaming.ingest import ingest_years
+
+    combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
+    landing = scratch_path(spark, "landing")
+    combined.write.mode("overwrite").partitionBy("year").parquet(landing)
+    schema = combined.drop("year").schema
+    target = scratch_path(spark, "ingested")
+    out = ingest_years(spark, landing, target, schema, sort_by=["country"])
+    return out.select(*combined.columns)

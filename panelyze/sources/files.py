@@ -121,16 +121,21 @@ def _payload_text(spark: SparkSession, path: str, whole_file: bool) -> DataFrame
 def indicator_records(docs: DataFrame, doc_col: str = "_doc") -> DataFrame:
     """``[metadata, [record, ...]]`` documents -> one row per record.
 
-    Output: ``country, indicator, value, date, seq`` where ``seq`` is the
-    record's position in its document (later records win on a duplicate).
-    A document with no second element yields no rows.
+    Output: ``country, indicator, value, date, page, seq`` where ``page``
+    comes from the document's metadata and ``seq`` is the record's position
+    in its document (later records win on a duplicate).  A document with
+    no second element yields no rows.
     """
     recs = F.from_json(F.get_json_object(F.col(doc_col), "$[1]"), T.ArrayType(INDICATOR_RECORD))
-    return docs.select("*", F.posexplode_outer(recs).alias("seq", "_r")).where(F.col("_r").isNotNull()).select(
+    page = F.get_json_object(F.col(doc_col), "$[0].page").try_cast("long")
+    return docs.select("*", page.alias("_page"), F.posexplode_outer(recs).alias("seq", "_r")).where(
+        F.col("_r").isNotNull()
+    ).select(
         F.col("_r.countryiso3code").alias("country"),
         F.col("_r.indicator.id").alias("indicator"),
         F.col("_r.value").alias("value"),
         F.col("_r.date").alias("date"),
+        F.col("_page").alias("page"),
         "seq",
         *[c for c in docs.columns if c != doc_col],
     )
