@@ -166,8 +166,14 @@ def row_numbers_of_selected(
     cand = candidates.dropDuplicates(keys).checkpoint(eager=True)
     arrays = cand.groupBy(*group).agg(
         *[
-            F.collect_list(F.struct(F.col(m).alias("v"), F.col(entity).alias("e"))).alias(f"_a_{n}")
+            agg
             for n, m in metrics.items()
+            for agg in (
+                F.collect_list(F.struct(F.col(m).alias("v"), F.col(entity).alias("e"))).alias(f"_a_{n}"),
+                F.min(m).alias(f"_lo_{n}"),
+                F.max(m).alias(f"_hi_{n}"),
+                F.count(m).alias(f"_nn_{n}"),
+            )
         ]
     )
     if arrays.count() <= max_broadcast_groups:
@@ -176,10 +182,20 @@ def row_numbers_of_selected(
     def before_row(v: Column, e: Column):
         return lambda t: _sorts_before(t, v, e)
 
+    def position(n: str, m: str) -> Column:
+        # Above every candidate: none before it.  Below every candidate: all
+        # non-NULL candidates before it.  Otherwise count in the array.
+        v = F.col(m)
+        return (
+            F.when(v.isNotNull() & (v > F.col(f"_hi_{n}")), F.lit(0))
+            .when(v.isNotNull() & (v < F.col(f"_lo_{n}")), F.col(f"_nn_{n}").cast("int"))
+            .otherwise(F.size(F.filter(f"_a_{n}", before_row(v, F.col(entity)))))
+            .alias(f"_p_{n}")
+        )
+
     # Rows of groups without candidates cannot change any row number.
     with_pos = df.select(*keys, *metrics.values()).join(arrays, list(group), "inner").select(
-        *group,
-        *[F.size(F.filter(f"_a_{n}", before_row(F.col(m), F.col(entity)))).alias(f"_p_{n}") for n, m in metrics.items()],
+        *group, *[position(n, m) for n, m in metrics.items()]
     )
     stacked = with_pos.select(
         *group,

@@ -118,9 +118,7 @@ def _land_yearly_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
     regular = combined.where(F.col("year") != DRIFT_YEAR).select("country", "year", *cols)
     regular.write.mode("overwrite").partitionBy("year").option("header", True).csv(root)
     drifted = [c for (_, hdr), c in zip(INDICATOR_HEADERS, cols) if hdr != DRIFT_DROPS][::-1]
-    combined.where(F.col("year") == DRIFT_YEAR).select("country", *drifted).write.mode("overwrite").option(
-        "header", True
-    ).csv(f"{root}/year={DRIFT_YEAR}")
+    W.write_csv(combined.where(F.col("year") == DRIFT_YEAR).select("country", *drifted), f"{root}/year={DRIFT_YEAR}")
     spark.createDataFrame([("",)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{root}/year={EMPTY_YEAR}"
     )
@@ -293,8 +291,36 @@ def stream_year_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
     landing = scratch_path(spark, "landing")
-    combined.write.mode("overwrite").partitionBy("year").parquet(landing)
+    W.write_partitioned_clustered(combined, landing, "year", ["country"])
     schema = combined.drop("year").schema
     target = scratch_path(spark, "ingested")
     out = ingest_years(spark, landing, target, schema, sort_by=["country"])
     return out.select(*combined.columns)
+
+
+# ---------------------------------------------------------------- sources 2
+
+
+def parquet_years(spark: SparkSession, sf_dir: str, years=(1996, 1997)) -> DataFrame:
+    """The combined panel written as year-partitioned Parquet and read back
+    for a year list (partition pruning: other years are never opened)."""
+    combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
+    path = scratch_path(spark, "combined_parquet")
+    W.write_years(combined, path)
+    return SRC.read_parquet(spark, path, SRC.parse_year_list(list(years))).select(*combined.columns)
+
+
+def registered_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model written in SQL against a registered view of the staged panel."""
+    staged = panel_frames(spark, sf_dir, TEST_PARAMS).staged
+    name = "stg_combined_" + scratch_path(spark, "view").rsplit("-", 1)[-1]
+    W.as_view(staged, name)
+    return spark.sql(
+        f"""
+        SELECT year, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries,
+               CAST(SUM(CAST(co2_emissions AS DECIMAL(38,2))) AS DOUBLE) AS co2_emissions
+        FROM {name}
+        WHERE population > 0
+        GROUP BY year
+        """
+    )

@@ -709,3 +709,10 @@ SELECT country, year, co2_emissions / NULLIF(population, 0) * 100 AS co2_per_uni
        population * gdp_per_capita AS total_gdp
 FROM stg_combined"""
 )
+
+PARQUET_YEARS_SQL = with_base("SELECT * FROM combined WHERE year IN (1996, 1997)")
+REGISTERED_VIEW_SQL = with_base(
+    f"""
+SELECT year, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries, {XSUM('co2_emissions')} AS co2_emissions
+FROM stg_combined WHERE population > 0 GROUP BY year"""
+)
