@@ -324,3 +324,70 @@ def registered_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY year
         """
     )
+
+
+# ----------------------------------------------------------- file pipeline
+
+GAS_WEIGHTS = (("co2e_100yr", (1.0, 28.0, 300.0)), ("co2e_20yr", (1.0, 84.0, 264.0)))
+
+
+def _land_emission_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Order-level gas records as one CSV folder per year (``year=YYYY``),
+    several rows per (customer, year); orders without lines have empty gases."""
+    from panelyze.plans.testpanel import FLAG_GAS, lines_per_order
+
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = lines_per_order(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    )
+    gas = {g: F.col(f"{g}_cents") / F.lit(100.0) for _, g in FLAG_GAS}
+    recs = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+        F.col("o_custkey").alias("country"),
+        F.year("o_orderdate").alias("year"),
+        *[gas[g].alias(g) for _, g in FLAG_GAS],
+        *[(gas["co2"] * w[0] + gas["ch4"] * w[1] + gas["n2o"] * w[2]).alias(name) for name, w in GAS_WEIGHTS],
+    )
+    # The year stays in the file as a column and names the folder.
+    recs.withColumn("_y", F.col("year")).write.mode("overwrite").partitionBy("_y").option("header", True).csv(root)
+
+
+def _year_folders(spark: SparkSession, root: str) -> list[str]:
+    return sorted({p.rsplit("/", 1)[0] for p, _ in SRC.list_files(spark, root, "part-*")})
+
+
+def process_emission_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly emission CSV -> gases summed per (country, year), zero-filled."""
+    from panelyze.plans.file_pipeline import process_emissions
+
+    root = scratch_path(spark, "ct_landing")
+    _land_emission_csv(spark, sf_dir, root)
+    return process_emissions(spark, _year_folders(spark, root), r"_y=(\d{4})/", "_metadata.file_path")
+
+
+def process_indicator_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly indicator CSV (drifting headers, an empty year) -> typed rows."""
+    from panelyze.plans.file_pipeline import process_indicators
+
+    root = scratch_path(spark, "wb_landing")
+    _land_yearly_csv(spark, sf_dir, root)
+    return process_indicators(spark, _year_folders(spark, root), r"year=(\d{4})/", "_metadata.file_path")
+
+
+def file_pipeline_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sources landed, processed, written by year, merged and written."""
+    from panelyze.plans import file_pipeline as FP
+
+    wb_root = scratch_path(spark, "wb_landing")
+    ct_root = scratch_path(spark, "ct_landing")
+    _land_yearly_csv(spark, sf_dir, wb_root)
+    _land_emission_csv(spark, sf_dir, ct_root)
+    wb = FP.process_indicators(spark, _year_folders(spark, wb_root), r"year=(\d{4})/", "_metadata.file_path")
+    ct = FP.process_emissions(spark, _year_folders(spark, ct_root), r"_y=(\d{4})/", "_metadata.file_path")
+    out_root = scratch_path(spark, "pipeline_out")
+    read_back = []
+    for name, df in (("indicators", wb), ("emissions", ct)):
+        W.write_years(df, f"{out_root}/{name}", "year", ["country"])
+        read_back.append(spark.read.parquet(f"{out_root}/{name}"))
+    combined = FP.combine_sources(*read_back)
+    W.write_years(combined, f"{out_root}/combined", "year", ["country"])
+    return spark.read.parquet(f"{out_root}/combined")

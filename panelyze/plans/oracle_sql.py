@@ -716,3 +716,50 @@ REGISTERED_VIEW_SQL = with_base(
 SELECT year, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries, {XSUM('co2_emissions')} AS co2_emissions
 FROM stg_combined WHERE population > 0 GROUP BY year"""
 )
+
+_ORDER_GASES = """
+order_lines AS (
+  SELECT l_orderkey,
+         SUM(CASE WHEN l_returnflag = 'N' THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS co2_cents,
+         SUM(CASE WHEN l_returnflag = 'A' THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS ch4_cents,
+         SUM(CASE WHEN l_returnflag = 'R' THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS n2o_cents
+  FROM lineitem GROUP BY l_orderkey
+),
+order_gas AS (
+  SELECT o_custkey AS country, CAST(year(o_orderdate) AS INTEGER) AS year,
+         CAST(co2_cents AS DOUBLE) / 100 AS co2, CAST(ch4_cents AS DOUBLE) / 100 AS ch4,
+         CAST(n2o_cents AS DOUBLE) / 100 AS n2o
+  FROM orders LEFT JOIN order_lines ON l_orderkey = o_orderkey
+),
+order_gases AS (
+  SELECT *, co2 * CAST(1 AS DOUBLE) + ch4 * CAST(28 AS DOUBLE) + n2o * CAST(300 AS DOUBLE) AS co2e_100yr,
+            co2 * CAST(1 AS DOUBLE) + ch4 * CAST(84 AS DOUBLE) + n2o * CAST(264 AS DOUBLE) AS co2e_20yr
+  FROM order_gas
+)"""
+
+_CT_SELECT = ",\n  ".join(f"COALESCE({XSUM(c)}, 0.0) AS {c}" for c in ("co2", "ch4", "n2o", "co2e_100yr", "co2e_20yr"))
+
+PROCESS_EMISSIONS_SQL = f"""WITH {_ORDER_GASES}
+SELECT CAST(country AS VARCHAR) AS country, year,
+  {_CT_SELECT}
+FROM order_gases GROUP BY 1, 2"""
+
+PROCESS_INDICATORS_SQL = CSV_YEARLY_SQL
+
+FILE_PIPELINE_SQL = f"""{BASE},
+{_ORDER_GASES.strip()},
+ct AS (
+  SELECT CAST(country AS VARCHAR) AS country, year,
+  {_CT_SELECT}
+  FROM order_gases GROUP BY 1, 2
+),
+wb AS (
+  SELECT CAST(country AS VARCHAR) AS country, year, sp_pop_totl, ny_gdp_pcap_cd,
+    CASE WHEN year = 2001 THEN NULL ELSE sp_dyn_le00_in END AS sp_dyn_le00_in,
+    se_sec_enrr, sl_uem_totl_zs, si_pov_gaps, si_pov_gini
+  FROM combined
+)
+SELECT COALESCE(wb.country, ct.country) AS country, COALESCE(wb.year, ct.year) AS year,
+  wb.sp_pop_totl, wb.ny_gdp_pcap_cd, wb.sp_dyn_le00_in, wb.se_sec_enrr, wb.sl_uem_totl_zs, wb.si_pov_gaps,
+  wb.si_pov_gini, ct.co2, ct.ch4, ct.n2o, ct.co2e_100yr, ct.co2e_20yr
+FROM wb FULL OUTER JOIN ct ON wb.country = ct.country AND wb.year = ct.year"""
