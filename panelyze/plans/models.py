@@ -45,7 +45,6 @@ from panelyze.operators.filters import NON_SOVEREIGN_PATTERNS, not_like_any, non
 from panelyze.operators.windows import (
     attach_group_stats,
     baseline_value,
-    entity_window,
     exact_lag_present,
     exact_lag_value,
     lag_value,
@@ -139,7 +138,6 @@ DIM_WELLBEING_COLUMNS = (
     "education_access_category",
     "life_expectancy_group",
 )
-SOCIO_ONLY = tuple(c for c in DIM_SOCIO_COLUMNS if c not in ("country", "year", "school_enrollment", "life_expectancy"))
 
 
 # ---------------------------------------------------------------- staging
@@ -717,7 +715,6 @@ __all__ = [
     "dim_emissions",
     "dim_socio",
     "dim_wellbeing",
-    "entity_window",
     "fct_region",
     "fct_subregion",
     "gdp_correlation",

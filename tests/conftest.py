@@ -18,6 +18,7 @@ def spark():
         .appName("panelyze-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="panelyze-test-wh-"))
     )
     for k, v in SESSION_DEFAULTS.items():
         b = b.config(k, v)

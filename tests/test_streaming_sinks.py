@@ -63,3 +63,9 @@ def test_partitioned_table_and_view(spark, tmp_path):
     assert spark.sql("SELECT SUM(co2) AS s FROM v_panel_test").first()["s"] == 6.0
     W.write_parquet(df, str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3
+
+
+def test_save_as_table(spark):
+    df = spark.createDataFrame([("NLD", 2019, 1.0), ("NLD", 2020, 2.0)], "country string, year int, co2 double")
+    t = W.save_as_table(df, "t_saved_panel", ["year"])
+    assert t.count() == 2 and sorted(r["year"] for r in t.collect()) == [2019, 2020]
