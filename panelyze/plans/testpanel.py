@@ -16,8 +16,9 @@ Plan shape: lineitem is reduced to one row per order (partial aggregation
 before its shuffle on the order key), joined to orders on the order key
 (sort-merge; both sides are hash-partitioned on it), and aggregated to the
 customer-year grain.  Money is summed as whole cents (long), so sums are
-exact and do not depend on partitioning.  Nation and region have a fixed
-size (25 and 5 rows) and are broadcast; customer is not.
+exact and do not depend on partitioning.  No join carries a broadcast hint:
+nation and region (a few rows) are broadcast by the planner from their file
+size, customer only if it is small.
 """
 
 from __future__ import annotations
@@ -112,8 +113,10 @@ def combined_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def countries_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country dimension with the seed file's column names."""
-    nation = F.broadcast(table(spark, sf_dir, "nation"))
-    region = F.broadcast(table(spark, sf_dir, "region"))
+    # No hints: Spark broadcasts these two tiny tables from their file size,
+    # and would not if they ever grew.
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return (
         cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
