@@ -67,17 +67,24 @@ def read_yearly_csv(
 ) -> DataFrame | None:
     """Read yearly CSV files whose headers differ (order, missing columns).
 
-    Each file is read with its own header and the frames are stacked by
-    column *name*; reading all files in one call would map columns by
-    position and shift values when the order changes.  Names are cleaned
+    Reading all files in one call would map columns by position and shift
+    values when the order changes.  So each file's header is read first
+    (only its first line), files with the same header are read together in
+    one scan, and the per-header frames are stacked by column *name*.  The
+    plan has one scan per distinct header, not per file.  Names are cleaned
     (``clean_columns``) before stacking so ``SP.POP.TOTL`` and
-    ``sp_pop_totl`` meet.  Returns None when no file has data.
+    ``sp_pop_totl`` meet.  Empty files are skipped; returns None when no
+    file has data.
     """
-    frames = []
+    by_header: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
-        df = read_csv_file(spark, p, pattern, name_col)
-        if df is None:
-            continue
+        cols = spark.read.option("header", True).option("inferSchema", False).csv(p).columns
+        if cols:
+            by_header.setdefault(tuple(cols), []).append(p)
+    frames = []
+    for group in by_header.values():
+        df = spark.read.option("header", True).option("inferSchema", False).csv(group)
+        df = df.withColumn("_file_year", year_from_name(name_col, pattern))
         frames.append(clean_columns(df) if clean else df)
     return concat_frames(frames) if frames else None
 
