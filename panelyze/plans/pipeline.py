@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelyze.plans import models as M
 from panelyze.plans import testpanel
-from panelyze.session import materialize
+from panelyze.session import materialize, session_id
 
 _T = testpanel.PanelThresholds()
 TEST_PARAMS = M.ModelParams(income=_T.income, intensity=_T.intensity)
@@ -45,7 +45,7 @@ def panel_frames(
     (the dimension tables' partitioning and clustering), and the models
     read that table.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), params, _input_version(sf_dir))
+    key = (session_id(spark), os.path.abspath(sf_dir), params, _input_version(sf_dir))
     frames = _LAZY.get(key)
     if frames is None:
         combined = testpanel.combined_panel(spark, sf_dir)

@@ -47,10 +47,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="panelyze-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # no SparkContext handle (Spark Connect): the conf is used
+        pass
     return root
 
 
+def session_id(spark: SparkSession) -> str:
+    """An identifier of the running application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for one written table."""
     root = checkpoint_root(spark)
