@@ -73,6 +73,12 @@ class ModelParams:
     sum_scale: int = 2
     # rank cut of the top-emitter report
     top_n: int = 50
+    # The staged panel has one row per (country, year) (see
+    # quality.unique_violations).  Then the number of countries in a group of
+    # one year is a plain count, aggregated before its shuffle; a distinct
+    # count would shuffle every row on (group, country).  Set False for a
+    # panel that may repeat a key.
+    key_unique: bool = True
 
 
 # Source column -> staged name.
@@ -140,6 +146,11 @@ DIM_WELLBEING_COLUMNS = (
 )
 
 
+def country_count(p: ModelParams) -> Column:
+    """Countries in a group of one year (see ``ModelParams.key_unique``)."""
+    return F.count("country") if p.key_unique else F.count_distinct("country")
+
+
 # ---------------------------------------------------------------- staging
 
 
@@ -257,7 +268,7 @@ def fct_region(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     )
     counts = count_labels("income_category", C.INCOME_LABELS)
     return rows.groupBy("region", "year").agg(
-        F.count_distinct("country").alias("country_count"),
+        country_count(p).alias("country_count"),
         exact_sum(TOTAL, s).alias("total_emissions"),
         *[exact_sum(g, s).alias(g) for g in GASES],
         exact_sum("population", s).alias("total_population"),
@@ -294,7 +305,7 @@ def fct_subregion(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame
     tot = exact_sum(TOTAL, s)
     comp_counts = count_labels("ghg_composition", C.COMPOSITION_LABELS)
     out = rows.groupBy("region", "sub_region", "year").agg(
-        F.count_distinct("country").alias("country_count"),
+        country_count(p).alias("country_count"),
         tot.alias("total_emissions"),
         *[exact_sum(g, s).alias(g) for g in GASES],
         exact_sum("population", s).alias("total_population"),
@@ -332,7 +343,7 @@ def by_development(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFram
         intensity_guarded(TOTAL, "gdp_per_capita", "population", p.gdp_unit).alias("emissions_per_million_gdp"),
     )
     g = rows.groupBy("year", "income_category").agg(
-        F.count_distinct("country").alias("country_count"),
+        country_count(p).alias("country_count"),
         F.sum(F.col(TOTAL).cast(dec)).alias("_total"),
         *[exact_sum(c, s).alias(c) for c in GASES],
         round_half_up(exact_avg("emissions_per_capita"), 2).alias("avg_emissions_per_capita"),

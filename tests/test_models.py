@@ -140,3 +140,11 @@ def test_year_overwrite_keeps_other_years(spark, frames):
     assert back.select("year").distinct().count() == 7
     assert back.where("year = 2016").first()["co2"] == 950.0
     assert back.where("year = 2015").count() == 1
+
+
+def test_country_count_paths_agree(frames):
+    panel = frames[3]
+    for model in (M.fct_region, M.by_development, M.fct_subregion):
+        a = sorted(tuple(r) for r in model(panel).collect())
+        b = sorted(tuple(r) for r in model(panel, M.ModelParams(key_unique=False)).collect())
+        assert a == b, model.__name__
