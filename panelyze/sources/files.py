@@ -39,6 +39,18 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*") -> list[tup
         raise
 
 
+def discover_years(spark: SparkSession, *roots: str) -> list[int]:
+    """Years present as ``year=YYYY`` partitions under any of ``roots`` (the
+    union, so a year held by one source only is still processed)."""
+    years: set[int] = set()
+    for root in roots:
+        for path, _ in list_files(spark, root, "*"):
+            m = re.search(r"/year=(\d{4})/", path)
+            if m:
+                years.add(int(m.group(1)))
+    return sorted(years)
+
+
 def year_from_name(name_col: str = "_metadata.file_name", pattern: str = YEAR_IN_NAME):
     return F.regexp_extract(F.col(name_col), pattern, 1).try_cast("int")
 

@@ -69,3 +69,22 @@ def test_save_as_table(spark):
     df = spark.createDataFrame([("NLD", 2019, 1.0), ("NLD", 2020, 2.0)], "country string, year int, co2 double")
     t = W.save_as_table(df, "t_saved_panel", ["year"])
     assert t.count() == 2 and sorted(r["year"] for r in t.collect()) == [2019, 2020]
+
+
+def test_discover_years_union(spark, tmp_path):
+    from panelyze.sources.files import discover_years
+
+    a = spark.createDataFrame([("NLD", 2019, 1.0)], "country string, year int, co2 double")
+    b = spark.createDataFrame([("NLD", 2020, 1.0)], "country string, year int, co2 double")
+    W.write_years(a, str(tmp_path / "wb"))
+    W.write_years(b, str(tmp_path / "ct"))
+    assert discover_years(spark, str(tmp_path / "wb"), str(tmp_path / "ct"), str(tmp_path / "none")) == [2019, 2020]
+
+
+def test_column_name_report(spark):
+    from panelyze.operators.quality import column_name_report, preview
+
+    df = spark.createDataFrame([("NLD", 1.0)], "country string, `SP.POP.TOTL` double")
+    rep = {r["column_name"]: (r["data_type"], r["has_dot"]) for r in column_name_report(df).collect()}
+    assert rep == {"country": ("string", False), "SP.POP.TOTL": ("double", True)}
+    assert preview(df, 1).count() == 1
