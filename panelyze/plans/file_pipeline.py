@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelyze.operators import clean as CL
 from panelyze.operators.aggregate import sum_by_key_zero_fill
 from panelyze.operators.combine import merge_with_fallbacks
+from panelyze.operators.filters import only_years
 from panelyze.sinks.writers import write_years
 from panelyze.sources.files import YEAR_IN_NAME, read_yearly_csv
 
@@ -89,20 +90,35 @@ def run(
     out_root: str,
     pattern: str = YEAR_IN_NAME,
     name_col: str = "_metadata.file_name",
+    years: Sequence[int] | None = None,
 ) -> DataFrame:
     """Process both sources, replace their years under ``out_root``, and
-    write and return the combined panel (partitioned by year)."""
+    write and return the combined panel (partitioned by year).
+
+    With ``years`` (see ``sources.files.parse_year_list``) only those years
+    are processed and replaced, in every output; the other years already
+    written stay as they are.
+    """
     wb = process_indicators(spark, indicator_paths, pattern, name_col)
     ct = process_emissions(spark, emission_paths, pattern, name_col)
     read_back = []
     for name, df in (("indicators", wb), ("emissions", ct)):
-        if df is None:
-            read_back.append(None)
-            continue
-        write_years(df, f"{out_root}/{name}", "year", ["country"])
-        read_back.append(spark.read.parquet(f"{out_root}/{name}"))
+        if df is not None:
+            df = only_years(df, years)
+            if not df.isEmpty():
+                write_years(df, f"{out_root}/{name}", "year", ["country"])
+        read_back.append(_read_if_written(spark, f"{out_root}/{name}"))
     combined = combine_sources(*read_back)
     if combined.isEmpty():
         return combined
-    write_years(combined, f"{out_root}/combined", "year", ["country"])
+    write_years(only_years(combined, years), f"{out_root}/combined", "year", ["country"])
     return spark.read.parquet(f"{out_root}/combined")
+
+
+def _read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:  # nothing written yet for this source
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise

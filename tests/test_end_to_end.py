@@ -96,3 +96,20 @@ def test_pipeline_to_every_model(spark, landed):
     jc = {r["match_status"]: r for r in rows(outputs["join_check"])}
     assert jc["No match"]["sample_countries"] == ["AFE", "BVT", "XKX"]  # BVT: "Island" filtered out
     assert rows(outputs["source_check"]) == [{"total_rows": 14, "distinct_countries": 5}]  # 6 + AFE 2 + BVT 3 + XKX 3
+
+
+def test_pipeline_reload_of_one_year(spark, landed, tmp_path):
+    wb_paths, ct_paths, _ = landed
+    out = scratch_path(spark, "e2e_years")
+    FP.run(spark, wb_paths[:1], ct_paths[:1], out, years=[2021])
+    first = {(r["country"], r["year"]) for r in rows(spark.read.parquet(f"{out}/combined"))}
+    assert {y for _, y in first} == {2021}
+    # A corrected 2022 file arrives: only 2022 is processed and written.
+    fixed = tmp_path / "global_emissions_2022.csv"
+    fixed.write_text("country,year,co2,ch4,n2o,co2e_100yr,co2e_20yr\nNLD,2022,1,1,1,1,1\n")
+    FP.run(spark, wb_paths, [str(fixed)], out, years=[2022])
+    combined = rows(spark.read.parquet(f"{out}/combined"))
+    assert {r["year"] for r in combined} == {2021, 2022}
+    nld22 = [r for r in combined if (r["country"], r["year"]) == ("NLD", 2022)][0]
+    assert nld22["co2"] == 1.0
+    assert [r for r in combined if (r["country"], r["year"]) == ("DEU", 2021)][0]["co2"] == 700.0
