@@ -45,6 +45,25 @@ DRIFT_DROPS = "SP.DYN.LE00.IN"
 EMPTY_YEAR = 2002
 RELOAD_YEAR = 1998
 
+# Landed files are derived from the tables once per session and input folder
+# and then read by every query that needs them.
+_LANDED: dict[tuple, str] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, kind: str, land) -> str:
+    import os
+
+    from panelyze.plans.pipeline import _input_version
+    from panelyze.session import session_id
+
+    version = _input_version(sf_dir, ("orders", "lineitem", "customer", "nation", "region", "events"))
+    key = (session_id(spark), os.path.abspath(sf_dir), kind, version)
+    if key not in _LANDED:
+        root = scratch_path(spark, kind)
+        land(spark, sf_dir, root)
+        _LANDED[key] = root
+    return _LANDED[key]
+
 
 # ------------------------------------------------------------------ reshape
 
@@ -101,8 +120,7 @@ def _indicator_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:
 def json_indicator_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed payloads read back, decoded and pivoted; the last record in
     (time, page, position) order wins."""
-    path = scratch_path(spark, "payloads")
-    _indicator_payloads(spark, sf_dir, path)
+    path = _landed(spark, sf_dir, "payloads", _indicator_payloads)
     recs = SRC.read_indicator_payloads(spark, path, whole_file=False)
     recs = recs.withColumn("day", F.to_date(F.substring("date", 1, 10)))
     return RS.pivot_last(recs, ["country", "day"], "indicator", "value", EVENT_TYPES, ["date", "page", "seq"])
@@ -126,8 +144,7 @@ def _land_yearly_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def csv_yearly_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drifting yearly CSV read back by name, cleaned, typed, year from the path."""
-    root = scratch_path(spark, "csv_landing")
-    _land_yearly_csv(spark, sf_dir, root)
+    root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
     # One folder per year (a year's file written by several tasks).
     folders = sorted({p.rsplit("/", 1)[0] for p, _ in SRC.list_files(spark, root, "part-*")})
     stacked = SRC.read_yearly_csv(spark, folders, pattern=r"year=(\d{4})/", name_col="_metadata.file_path")
@@ -359,8 +376,7 @@ def process_emission_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly emission CSV -> gases summed per (country, year), zero-filled."""
     from panelyze.plans.file_pipeline import process_emissions
 
-    root = scratch_path(spark, "ct_landing")
-    _land_emission_csv(spark, sf_dir, root)
+    root = _landed(spark, sf_dir, "ct_landing", _land_emission_csv)
     return process_emissions(spark, _year_folders(spark, root), r"_y=(\d{4})/", "_metadata.file_path")
 
 
@@ -368,8 +384,7 @@ def process_indicator_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly indicator CSV (drifting headers, an empty year) -> typed rows."""
     from panelyze.plans.file_pipeline import process_indicators
 
-    root = scratch_path(spark, "wb_landing")
-    _land_yearly_csv(spark, sf_dir, root)
+    root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
     return process_indicators(spark, _year_folders(spark, root), r"year=(\d{4})/", "_metadata.file_path")
 
 
@@ -377,10 +392,8 @@ def file_pipeline_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sources landed, processed, written by year, merged and written."""
     from panelyze.plans import file_pipeline as FP
 
-    wb_root = scratch_path(spark, "wb_landing")
-    ct_root = scratch_path(spark, "ct_landing")
-    _land_yearly_csv(spark, sf_dir, wb_root)
-    _land_emission_csv(spark, sf_dir, ct_root)
+    wb_root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
+    ct_root = _landed(spark, sf_dir, "ct_landing", _land_emission_csv)
     wb = FP.process_indicators(spark, _year_folders(spark, wb_root), r"year=(\d{4})/", "_metadata.file_path")
     ct = FP.process_emissions(spark, _year_folders(spark, ct_root), r"_y=(\d{4})/", "_metadata.file_path")
     out_root = scratch_path(spark, "pipeline_out")

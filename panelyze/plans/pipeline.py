@@ -61,9 +61,10 @@ def panel_frames(
     return replace(frames, panel=_MATERIALISED[key])
 
 
-def _input_version(sf_dir: str) -> tuple:
+def _input_version(sf_dir: str, tables: tuple[str, ...] = _SOURCES) -> tuple:
+    """Modification times of the input tables (None for a remote path)."""
     out = []
-    for t in _SOURCES:
+    for t in tables:
         path = os.path.join(sf_dir, f"{t}.parquet")
         out.append(os.stat(path).st_mtime_ns if os.path.exists(path) else None)
     return tuple(out)
