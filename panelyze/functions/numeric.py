@@ -43,20 +43,41 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     ).otherwise(F.round(c, scale))
 
 
-def exact_sum(c: ColumnOrName, scale: int = 9) -> Column:
-    """Sum of a double column computed in decimal, returned as double.
+def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
+    """``x`` in units of ``10**-scale`` as a long, rounded half away from zero."""
+    x = col(c)
+    f = F.lit(10.0**scale)
+    return F.when(x < 0, -F.floor(-x * f + 0.5)).otherwise(F.floor(x * f + 0.5)).cast("long")
+
+
+def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
+    """Sum of a double column with each value rounded to ``scale`` decimals,
+    added as longs, returned as double.
 
     A double sum depends on the order rows arrive in, and so on partitioning
-    and on AQE coalescing; the decimal sum does not.  ``scale`` is the number
-    of decimal places kept per value (use 18 for values far below 1).
+    and on AQE coalescing; a long sum does not, and stays in generated code
+    (no per-row decimal objects).  Exact up to about ``9e18 / 10**scale``.
     """
-    return F.sum(col(c).cast(f"decimal(38,{scale})")).cast("double")
+    return F.sum(scaled_long(c, scale)).cast("double") / F.lit(10.0**scale)
 
 
 def exact_avg(c: ColumnOrName, scale: int = 9) -> Column:
-    """Average over non-NULL values, with the sum taken as in ``exact_sum``."""
-    c = col(c)
-    return F.try_divide(exact_sum(c, scale), F.count(c).cast("double"))
+    """Average over non-NULL values, independent of row order.
+
+    Each value is split into its integer part and its fraction at ``scale``
+    decimals (at most 9; smaller values are scaled up first); both parts are
+    summed as longs, so the sum is the same however rows are partitioned.
+    """
+    x = col(c)
+    pre = max(0, scale - 9)
+    frac_digits = min(scale, 9)
+    if pre:
+        x = x * F.lit(10.0**pre)
+    whole = F.floor(x)
+    frac = F.floor((x - whole) * F.lit(10.0**frac_digits) + 0.5)
+    total = F.sum(whole).cast("double") + F.sum(frac).cast("double") / F.lit(10.0**frac_digits)
+    avg = F.try_divide(total, F.count(x).cast("double"))
+    return avg / F.lit(10.0**pre) if pre else avg
 
 
 def money_cents(c: ColumnOrName) -> Column:

@@ -34,6 +34,7 @@ from panelyze.functions.numeric import (
     pct_diff_from,
     round_half_up,
     safe_divide,
+    scaled_long,
     share_pct,
     share_pct_or_zero,
     sum_all,
@@ -69,7 +70,7 @@ class ModelParams:
     trend: tuple[float, float, float, float] = C.TREND_BOUNDS
     # emissions per this much GDP
     gdp_unit: float = 1_000_000.0
-    # decimal places kept when summing emissions and population
+    # decimals kept per value when summing emissions and population
     sum_scale: int = 2
     # rank cut of the top-emitter report
     top_n: int = 50
@@ -327,10 +328,9 @@ def by_development(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFram
     """Emissions by income category and year with shares of the yearly total.
 
     The yearly total is a window over the already aggregated rows (a few per
-    year), with the sums kept in decimal so the shares are exact.
+    year), with the sums kept as exact longs so the shares are exact.
     """
     s = p.sum_scale
-    dec = f"decimal(38,{s})"
     rows = panel.where(F.col(HAS_EMISSIONS) & F.col(HAS_SOCIO) & (F.col("population") > 0)).select(
         "year",
         "income_category",
@@ -344,25 +344,26 @@ def by_development(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFram
     )
     g = rows.groupBy("year", "income_category").agg(
         country_count(p).alias("country_count"),
-        F.sum(F.col(TOTAL).cast(dec)).alias("_total"),
+        F.sum(scaled_long(TOTAL, s)).alias("_total"),
         *[exact_sum(c, s).alias(c) for c in GASES],
         round_half_up(exact_avg("emissions_per_capita"), 2).alias("avg_emissions_per_capita"),
         round_half_up(exact_avg("emissions_per_million_gdp"), 2).alias("avg_emissions_per_million_gdp"),
-        F.sum(F.col("population").cast(dec)).alias("_population"),
+        F.sum(scaled_long("population", s)).alias("_population"),
         round_half_up(exact_avg("gdp_per_capita"), 2).alias("avg_gdp_per_capita"),
     )
     yearly = Window.partitionBy("year")
+    unit = F.lit(10.0**s)
     e_share = F.col("_total").cast("double") / F.sum("_total").over(yearly).cast("double")
     p_share = F.col("_population").cast("double") / F.sum("_population").over(yearly).cast("double")
     return g.select(
         "year",
         "income_category",
         "country_count",
-        F.col("_total").cast("double").alias("total_emissions"),
+        (F.col("_total").cast("double") / unit).alias("total_emissions"),
         *GASES,
         "avg_emissions_per_capita",
         "avg_emissions_per_million_gdp",
-        F.col("_population").cast("double").alias("total_population"),
+        (F.col("_population").cast("double") / unit).alias("total_population"),
         "avg_gdp_per_capita",
         round_half_up(e_share * 100, 2).alias("percentage_of_global_emissions"),
         round_half_up(p_share * 100, 2).alias("percentage_of_global_population"),

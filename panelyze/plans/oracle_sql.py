@@ -6,8 +6,8 @@ They are an independent check of the DataFrame plans, which compute the
 same results without those joins.
 
 Conventions shared with the DataFrame side, so the outputs agree digit for
-digit: money summed in whole cents, model sums in ``DECIMAL(38,2)``,
-averages over ``DECIMAL(38,9)`` sums, rounding as
+digit: money summed in whole cents, model sums as longs of values rounded
+to the cent, averages from long sums of whole and fractional parts, rounding as
 ``ROUND(CAST(x AS DECIMAL(38,n+7)), n)``, NULLs last in descending order,
 ties broken by country.
 """
@@ -22,12 +22,27 @@ def R(expr: str, n: int = 2) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,{n + 7})), {n}) AS DOUBLE)"
 
 
+def SCALED(expr: str, s: int = 2) -> str:
+    f = f"CAST({10 ** s} AS DOUBLE)"
+    return (
+        f"CAST(CASE WHEN ({expr}) < 0 THEN -floor(-({expr}) * {f} + 0.5) "
+        f"ELSE floor(({expr}) * {f} + 0.5) END AS BIGINT)"
+    )
+
+
 def XSUM(expr: str, s: int = 2) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(38,{s}))) AS DOUBLE)"
+    return f"(CAST(SUM({SCALED(expr, s)}) AS DOUBLE) / CAST({10 ** s} AS DOUBLE))"
 
 
 def XAVG(expr: str, s: int = 9) -> str:
-    return f"(CAST(SUM(CAST({expr} AS DECIMAL(38,{s}))) AS DOUBLE) / CAST(COUNT({expr}) AS DOUBLE))"
+    pre = max(0, s - 9)
+    d = min(s, 9)
+    x = f"(({expr}) * CAST({10 ** pre} AS DOUBLE))" if pre else f"({expr})"
+    whole = f"floor({x})"
+    frac = f"floor(({x} - {whole}) * CAST({10 ** d} AS DOUBLE) + 0.5)"
+    total = f"(CAST(SUM(CAST({whole} AS BIGINT)) AS DOUBLE) + CAST(SUM(CAST({frac} AS BIGINT)) AS DOUBLE) / CAST({10 ** d} AS DOUBLE))"
+    avg = f"({total} / CAST(COUNT({expr}) AS DOUBLE))"
+    return f"({avg} / CAST({10 ** pre} AS DOUBLE))" if pre else avg
 
 
 def q(s: str) -> str:
@@ -224,6 +239,11 @@ joined_data AS (
 )""",
 )
 
+_E_CENTS = SCALED("calculated_total_emissions")
+_P_CENTS = SCALED("population")
+_ESHARE = f"(CAST(SUM({_E_CENTS}) AS DOUBLE) / CAST(SUM(SUM({_E_CENTS})) OVER (PARTITION BY year) AS DOUBLE))"
+_PSHARE = f"(CAST(SUM({_P_CENTS}) AS DOUBLE) / CAST(SUM(SUM({_P_CENTS})) OVER (PARTITION BY year) AS DOUBLE))"
+
 BY_DEVELOPMENT_SQL = with_base(
     f"""
 SELECT year, income_category,
@@ -236,9 +256,9 @@ SELECT year, income_category,
   {R(XAVG('emissions_per_million_gdp'))} AS avg_emissions_per_million_gdp,
   {XSUM('population')} AS total_population,
   {R(XAVG('gdp_per_capita'))} AS avg_gdp_per_capita,
-  {R(f"CAST(SUM(CAST(calculated_total_emissions AS DECIMAL(38,2))) AS DOUBLE) / CAST(SUM(SUM(CAST(calculated_total_emissions AS DECIMAL(38,2)))) OVER (PARTITION BY year) AS DOUBLE) * 100")} AS percentage_of_global_emissions,
-  {R(f"CAST(SUM(CAST(population AS DECIMAL(38,2))) AS DOUBLE) / CAST(SUM(SUM(CAST(population AS DECIMAL(38,2)))) OVER (PARTITION BY year) AS DOUBLE) * 100")} AS percentage_of_global_population,
-  {R("(CAST(SUM(CAST(calculated_total_emissions AS DECIMAL(38,2))) AS DOUBLE) / CAST(SUM(SUM(CAST(calculated_total_emissions AS DECIMAL(38,2)))) OVER (PARTITION BY year) AS DOUBLE)) / NULLIF((CAST(SUM(CAST(population AS DECIMAL(38,2))) AS DOUBLE) / CAST(SUM(SUM(CAST(population AS DECIMAL(38,2)))) OVER (PARTITION BY year) AS DOUBLE)), 0)")} AS emissions_to_population_ratio
+  {R(f"{_ESHARE} * 100")} AS percentage_of_global_emissions,
+  {R(f"{_PSHARE} * 100")} AS percentage_of_global_population,
+  {R(f"{_ESHARE} / NULLIF({_PSHARE}, 0)")} AS emissions_to_population_ratio
 FROM economic_emissions
 GROUP BY year, income_category""",
     """
@@ -712,8 +732,9 @@ FROM stg_combined"""
 
 PARQUET_YEARS_SQL = with_base("SELECT * FROM combined WHERE year IN (1996, 1997)")
 REGISTERED_VIEW_SQL = with_base(
-    f"""
-SELECT year, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries, {XSUM('co2_emissions')} AS co2_emissions
+    """
+SELECT year, COUNT(*) AS n_rows, COUNT(DISTINCT country) AS n_countries,
+       CAST(SUM(CAST(co2_emissions AS DECIMAL(38,2))) AS DOUBLE) AS co2_emissions
 FROM stg_combined WHERE population > 0 GROUP BY year"""
 )
 
