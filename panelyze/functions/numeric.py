@@ -6,10 +6,9 @@ it stays inside whole-stage codegen.  Two conventions hold throughout:
 * Division never raises: a zero or NULL denominator gives NULL (the SQL
   ``a / NULLIF(b, 0)`` idiom).  Spark 4 runs in ANSI mode, where a plain ``/``
   by zero is an error.
-* Rounding is HALF_UP on the decimal value of the double
-  (``round(cast(x as decimal(38, n+7)), n)``).  This gives the same digits as a
-  SQL warehouse or DuckDB for values such as 1.005, which binary rounding
-  would send down.
+* Rounding is HALF_UP on the value fixed to ``n + 7`` decimals
+  (``round(cast(x as decimal(38, n+7)), n)``), computed with longs.  This
+  gives the same digits as a SQL warehouse or DuckDB.
 """
 
 from __future__ import annotations
@@ -32,15 +31,25 @@ def safe_divide(num: ColumnOrName, den: ColumnOrName) -> Column:
 def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     """``ROUND(x, scale)`` on the decimal value of ``x``, returned as double.
 
-    ``x`` is first fixed to ``scale + 7`` decimal places, far below the
-    rounding digit, so the result agrees with decimal rounding elsewhere.
+    ``x`` is first fixed to ``scale + 7`` decimal places (as a long),
+    far below the rounding digit, then rounded half away from zero in
+    integer arithmetic.  This equals rounding ``CAST(x AS DECIMAL(38,
+    scale+7))`` and stays in generated code, with no per-row decimal
+    objects.  Values too large for a long at that precision take the
+    decimal path.
     """
-    c = col(c)
+    x = col(c)
+    a = F.abs(x)
     inner = scale + 7
-    return F.when(
-        F.abs(c) < F.lit(10.0 ** (37 - inner)),
-        F.round(c.cast(f"decimal(38,{inner})"), scale).cast("double"),
-    ).otherwise(F.round(c, scale))
+    step = 10 ** (inner - scale)
+    fixed = F.floor(a * F.lit(10.0**inner) + 0.5)  # |x| at `inner` decimals
+    t = fixed + F.lit(step // 2)
+    q = F.rint((t - F.pmod(t, F.lit(step))).cast("double") / F.lit(float(step)))
+    fast = F.when(x < 0, -q).otherwise(q) / F.lit(10.0**scale)
+    slow = F.when(
+        a < F.lit(10.0 ** (37 - inner)), F.round(x.cast(f"decimal(38,{inner})"), scale).cast("double")
+    ).otherwise(F.round(x, scale))
+    return F.when(a < F.lit(9e18 / 10.0**inner), fast).otherwise(slow)
 
 
 def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
