@@ -113,3 +113,13 @@ def test_pipeline_reload_of_one_year(spark, landed, tmp_path):
     nld22 = [r for r in combined if (r["country"], r["year"]) == ("NLD", 2022)][0]
     assert nld22["co2"] == 1.0
     assert [r for r in combined if (r["country"], r["year"]) == ("DEU", 2021)][0]["co2"] == 700.0
+
+
+def test_repeated_key_is_reported(spark, tmp_path):
+    from panelyze.operators.quality import unique_violations
+
+    p = tmp_path / "world_bank_indicators_2020.csv"
+    p.write_text(WB_HEAD + "\nNLD,1,2,3,4,5,6,7\nNLD,1,2,3,4,5,6,8\nBEL,1,2,3,4,5,6,7\n")
+    wb = FP.process_indicators(spark, [str(p)])
+    got = rows(unique_violations(wb, ["country", "year"]))
+    assert got == [{"country": "NLD", "year": 2020, "n_rows": 2}]
