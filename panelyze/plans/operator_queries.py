@@ -404,3 +404,16 @@ def file_pipeline_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     combined = FP.combine_sources(*read_back)
     W.write_years(combined, f"{out_root}/combined", "year", ["country"])
     return spark.read.parquet(f"{out_root}/combined")
+
+
+# ------------------------------------------------------------- model tables
+
+
+def socio_dimension_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The socioeconomic dimension built as a table (partitioned by year,
+    clustered by country and income category) and read back."""
+    from panelyze.plans.build import build_models, model_frames
+
+    f = panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True)
+    frames = model_frames(f.combined, f.countries, f.panel, TEST_PARAMS)
+    return build_models(spark, frames, scratch_path(spark, "model_tables"), only=["dim_socio"])["dim_socio"]

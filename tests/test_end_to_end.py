@@ -123,3 +123,19 @@ def test_repeated_key_is_reported(spark, tmp_path):
     wb = FP.process_indicators(spark, [str(p)])
     got = rows(unique_violations(wb, ["country", "year"]))
     assert got == [{"country": "NLD", "year": 2020, "n_rows": 2}]
+
+
+def test_build_every_model_table(spark, landed):
+    from panelyze.plans.build import LAYOUT, build_models, model_frames
+
+    wb_paths, ct_paths, seed_path = landed
+    combined = FP.run(spark, wb_paths, ct_paths, scratch_path(spark, "e2e_build"))
+    countries = M.stg_countries(read_seed(spark, seed_path))
+    panel = M.sovereign_panel(M.stg_combined(combined), countries)
+    frames = model_frames(combined, countries, panel, region="Europe")
+    built = build_models(spark, frames, scratch_path(spark, "tables"))
+    assert set(built) == set(LAYOUT)
+    for name, df in built.items():
+        assert df.columns == frames[name]().columns and df.count() > 0, name
+    for name in ("fct_region", "time_series"):
+        assert sorted(map(tuple, built[name].collect())) == sorted(map(tuple, frames[name]().collect())), name
