@@ -11,7 +11,7 @@ values = st.one_of(st.none(), st.sampled_from([0.0, 1.0, 1.0, 2.5, -3.0, float("
 rows_strategy = st.lists(st.tuples(st.integers(0, 2), values, values), min_size=1, max_size=40)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=rows_strategy, k=st.integers(1, 4))
 def test_row_numbers_match_window(spark, data, k):
     df = spark.createDataFrame(
