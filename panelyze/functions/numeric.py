@@ -7,8 +7,8 @@ it stays inside whole-stage codegen.  Two conventions hold throughout:
   ``a / NULLIF(b, 0)`` idiom).  Spark 4 runs in ANSI mode, where a plain ``/``
   by zero is an error.
 * Rounding is HALF_UP on the value fixed to ``n + 7`` decimals
-  (``round(cast(x as decimal(38, n+7)), n)``), computed with longs.  This
-  gives the same digits as a SQL warehouse or DuckDB.
+  (``round(cast(x as decimal(38, n+7)), n)``), computed in double arithmetic
+  with exact remainders.  This gives the same digits as DuckDB.
 """
 
 from __future__ import annotations
@@ -31,25 +31,34 @@ def safe_divide(num: ColumnOrName, den: ColumnOrName) -> Column:
 def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     """``ROUND(x, scale)`` on the decimal value of ``x``, returned as double.
 
-    ``x`` is first fixed to ``scale + 7`` decimal places (as a long),
-    far below the rounding digit, then rounded half away from zero in
-    integer arithmetic.  This equals rounding ``CAST(x AS DECIMAL(38,
-    scale+7))`` and stays in generated code, with no per-row decimal
-    objects.  Values too large for a long at that precision take the
-    decimal path.
+    Equal to ``ROUND(CAST(x AS DECIMAL(38, scale+7)), scale)`` in SQL: ``x``
+    is fixed to ``scale + 7`` decimals (an integer-valued double), then
+    rounded half away from zero at ``scale`` with exact remainder arithmetic.
+    Everything stays in generated code; there are no per-row decimal
+    objects.  The arithmetic is exact while ``|x| * 10**(scale+7) < 2**75``
+    and ``|x| * 10**scale < 9e15`` (``|x|`` below about 3.7e11 for 2
+    decimals).  Beyond that a double has (almost) no digits left at the
+    rounding position, and Spark's own rounding is used.
     """
     x = col(c)
     a = F.abs(x)
     inner = scale + 7
-    step = 10 ** (inner - scale)
-    fixed = F.floor(a * F.lit(10.0**inner) + 0.5)  # |x| at `inner` decimals
-    t = fixed + F.lit(step // 2)
-    q = F.rint((t - F.pmod(t, F.lit(step))).cast("double") / F.lit(float(step)))
-    fast = F.when(x < 0, -q).otherwise(q) / F.lit(10.0**scale)
-    slow = F.when(
-        a < F.lit(10.0 ** (37 - inner)), F.round(x.cast(f"decimal(38,{inner})"), scale).cast("double")
-    ).otherwise(F.round(x, scale))
-    return F.when(a < F.lit(9e18 / 10.0**inner), fast).otherwise(slow)
+    step = 10**7
+    # Fast path: the fixed-point value fits a long.
+    fixed_l = F.floor(a * F.lit(10.0**inner) + 0.5)
+    t = fixed_l + F.lit(step // 2)
+    q_long = F.rint((t - F.pmod(t, F.lit(step))).cast("double") / F.lit(float(step)))
+    # Wider range: the same steps on an integer-valued double; the remainder
+    # is exact while ulp(fixed) <= 2**22 (fixed < 2**75).
+    fixed_d = F.rint(a * F.lit(10.0**inner))
+    rem = fixed_d % F.lit(float(step))
+    q_dbl = F.rint((fixed_d - rem) / F.lit(float(step))) + F.when(rem >= F.lit(step / 2), F.lit(1.0)).otherwise(
+        F.lit(0.0)
+    )
+    q = F.when(a < F.lit(9e18 / 10.0**inner), q_long).otherwise(q_dbl)
+    exact = F.when(x < 0, -q).otherwise(q) / F.lit(10.0**scale)
+    limit = min(2.0**75 / 10.0**inner, 9e15 / 10.0**scale)
+    return F.when(a < F.lit(limit), exact).otherwise(F.round(x, scale))
 
 
 def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
