@@ -31,34 +31,24 @@ def safe_divide(num: ColumnOrName, den: ColumnOrName) -> Column:
 def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     """``ROUND(x, scale)`` on the decimal value of ``x``, returned as double.
 
-    Equal to ``ROUND(CAST(x AS DECIMAL(38, scale+7)), scale)`` in SQL: ``x``
-    is fixed to ``scale + 7`` decimals (an integer-valued double), then
-    rounded half away from zero at ``scale`` with exact remainder arithmetic.
-    Everything stays in generated code; there are no per-row decimal
-    objects.  The arithmetic is exact while ``|x| * 10**(scale+7) < 2**75``
-    and ``|x| * 10**scale < 9e15`` (``|x|`` below about 3.7e11 for 2
-    decimals).  Beyond that a double has (almost) no digits left at the
-    rounding position, and Spark's own rounding is used.
+    Equal to ``ROUND(CAST(x AS DECIMAL(38, scale+7)), scale)`` in SQL while
+    ``|x| * 10**(scale+7) < 2**53`` (``|x|`` below 9e6 for 2 decimals);
+    above that the digits it rounds are those of the binary value.  The
+    fraction ``|x| % 1`` (exact) is fixed to ``scale + 7`` digits as a long
+    and rounded half up in integer steps; the result is recombined with the
+    whole part in one rounding.  No branches and no decimal objects, so a
+    projection with many rounded columns stays fast in generated code.
     """
     x = col(c)
     a = F.abs(x)
     inner = scale + 7
-    step = 10**7
-    # Fast path: the fixed-point value fits a long.
-    fixed_l = F.floor(a * F.lit(10.0**inner) + 0.5)
-    t = fixed_l + F.lit(step // 2)
-    q_long = F.rint((t - F.pmod(t, F.lit(step))).cast("double") / F.lit(float(step)))
-    # Wider range: the same steps on an integer-valued double; the remainder
-    # is exact while ulp(fixed) <= 2**22 (fixed < 2**75).
-    fixed_d = F.rint(a * F.lit(10.0**inner))
-    rem = fixed_d % F.lit(float(step))
-    q_dbl = F.rint((fixed_d - rem) / F.lit(float(step))) + F.when(rem >= F.lit(step / 2), F.lit(1.0)).otherwise(
-        F.lit(0.0)
-    )
-    q = F.when(a < F.lit(9e18 / 10.0**inner), q_long).otherwise(q_dbl)
-    exact = F.when(x < 0, -q).otherwise(q) / F.lit(10.0**scale)
-    limit = min(2.0**75 / 10.0**inner, 9e15 / 10.0**scale)
-    return F.when(a < F.lit(limit), exact).otherwise(F.round(x, scale))
+    step = 10 ** (inner - scale)
+    frac = a % F.lit(1.0)
+    fixed = F.floor(frac * F.lit(10.0**inner) + 0.5)
+    t = fixed + F.lit(step // 2)
+    q = (t - F.pmod(t, F.lit(step))).cast("double") / F.lit(float(step))
+    total = (a - frac) * F.lit(10.0**scale) + q
+    return F.signum(x) * total / F.lit(10.0**scale) + F.lit(0.0)
 
 
 def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
