@@ -54,8 +54,7 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
 def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
     """``x`` in units of ``10**-scale`` as a long, rounded half away from zero."""
     x = col(c)
-    f = F.lit(10.0**scale)
-    return F.when(x < 0, -F.floor(-x * f + 0.5)).otherwise(F.floor(x * f + 0.5)).cast("long")
+    return (F.signum(x) * F.floor(F.abs(x) * F.lit(10.0**scale) + 0.5)).cast("long")
 
 
 def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
