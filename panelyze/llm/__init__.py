@@ -4,8 +4,16 @@
 names that SQL can express to their DuckDB form.
 """
 
-from panelyze.llm import mixing
+from panelyze.llm import mixing, topk, warc
 
-QUERIES = {"op3_systematic_mixing": mixing.op3_systematic_mixing}
+QUERIES = {
+    "op3_systematic_mixing": mixing.op3_systematic_mixing,
+    "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
+    "op6_warc_revisits": warc.op6_warc_revisits,
+}
 
-ORACLE_SQL = {"op3_systematic_mixing": mixing.SQL}
+ORACLE_SQL = {
+    "op3_systematic_mixing": mixing.SQL,
+    "op5_bit_sliced_topk": topk.SQL,
+    "op6_warc_revisits": warc.SQL,
+}
