@@ -4,9 +4,10 @@
 names that SQL can express to their DuckDB form.
 """
 
-from panelyze.llm import mixing, packing, topk, warc
+from panelyze.llm import mixing, packing, topk, toxicity, warc
 
 QUERIES = {
+    "op1_compression_toxicity": toxicity.op1_compression_toxicity,
     "op2_nnls_packing": packing.op2_nnls_packing,
     "op3_systematic_mixing": mixing.op3_systematic_mixing,
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
