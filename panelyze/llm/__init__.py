@@ -4,7 +4,7 @@
 names that SQL can express to their DuckDB form.
 """
 
-from panelyze.llm import mixing, packing, pii, topk, toxicity, warc
+from panelyze.llm import embeddings, mixing, packing, pii, topk, toxicity, warc
 
 QUERIES = {
     "op1_compression_toxicity": toxicity.op1_compression_toxicity,
@@ -12,6 +12,7 @@ QUERIES = {
     "op3_systematic_mixing": mixing.op3_systematic_mixing,
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
     "op6_warc_revisits": warc.op6_warc_revisits,
+    "op8_multi_index_vectors": embeddings.op8_multi_index_vectors,
     "op10_skip_chain_pii": pii.op10_skip_chain_pii,
 }
 
