@@ -4,12 +4,13 @@
 names that SQL can express to their DuckDB form.
 """
 
-from panelyze.llm import embeddings, mixing, packing, pii, topk, toxicity, warc
+from panelyze.llm import embeddings, mixing, neardup, packing, pii, topk, toxicity, warc
 
 QUERIES = {
     "op1_compression_toxicity": toxicity.op1_compression_toxicity,
     "op2_nnls_packing": packing.op2_nnls_packing,
     "op3_systematic_mixing": mixing.op3_systematic_mixing,
+    "op4_hamming_near_duplicates": neardup.op4_hamming_near_duplicates,
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
     "op6_warc_revisits": warc.op6_warc_revisits,
     "op8_multi_index_vectors": embeddings.op8_multi_index_vectors,
