@@ -4,7 +4,7 @@
 names that SQL can express to their DuckDB form.
 """
 
-from panelyze.llm import embeddings, mixing, neardup, packing, pii, substrings, topk, toxicity, warc
+from panelyze.llm import embeddings, mixing, neardup, packing, pii, substrings, suffixes, topk, toxicity, warc
 
 QUERIES = {
     "op1_compression_toxicity": toxicity.op1_compression_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op6_warc_revisits": warc.op6_warc_revisits,
     "op7_seed_extend_substrings": substrings.op7_seed_extend_substrings,
     "op8_multi_index_vectors": embeddings.op8_multi_index_vectors,
+    "op9_suffix_merge_sort": suffixes.op9_suffix_merge_sort,
     "op10_skip_chain_pii": pii.op10_skip_chain_pii,
 }
 

@@ -35,6 +35,12 @@ class Rolling:
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(symbols * powers(_INVERSE, n)[:n], dtype=np.uint64, out=self.sums[1:])
 
+    def every(self, length: int) -> np.ndarray:
+        """Hashes of all stretches of one length."""
+        n = len(self.sums) - length
+        salt = mix64(np.array([length + 1], np.uint64))[0]
+        return mix64((self.sums[length:] - self.sums[:n]) * self.up[:n] + salt)
+
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         length = (end - start).astype(np.uint64)
         return mix64((self.sums[end] - self.sums[start]) * self.up[start] + mix64(length + np.uint64(1)))
@@ -53,11 +59,12 @@ def window_anchors(rolling: Rolling, starts: np.ndarray, window: int, seed: int)
     if not len(starts):
         return np.empty(0, np.int64)
     n = len(rolling.sums) - 1
-    at = np.arange(n - seed + 1)
     if n >> _POS_BITS:
         raise ValueError("block too long")
     low = np.uint64((1 << _POS_BITS) - 1)
-    best = (rolling(at, at + seed) & ~low) | at.astype(np.uint64)
+    best = rolling.every(seed)
+    best &= ~low
+    best |= np.arange(len(best), dtype=np.uint64)
     width, span = window - seed + 1, 1
     while 2 * span <= width:
         best = np.minimum(best[:-span], best[span:]) if len(best) > span else best
