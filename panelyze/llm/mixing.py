@@ -105,11 +105,12 @@ def emit(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents themselves, each row repeated by its copies (repeated ids are matched in order)."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     same = W.partitionBy("doc_id").orderBy("source", "size")
-    left = docs.withColumn("size", size).withColumn("nth", F.row_number().over(same))
+    left = docs.withColumn("nth__", F.row_number().over(W.partitionBy("doc_id").orderBy("source", size)))
     right = mixed.select("doc_id", "source", "size", "copies").withColumn("nth", F.row_number().over(same))
     right = right.where("copies > 0").select("doc_id", "nth", "copies")
-    wide = left.join(right, ["doc_id", "nth"])
-    return wide.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+    wide = left.alias("l").join(right.alias("r"), F.expr("l.doc_id <=> r.doc_id and l.nth__ = r.nth"))
+    wide = wide.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.col("r.copies").alias("copies__"))
+    return wide.withColumn("copy__", F.explode(F.sequence(F.lit(1).cast("long"), "copies__"))).select(*docs.columns)
 
 
 def op3_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

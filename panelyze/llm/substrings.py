@@ -191,6 +191,8 @@ def cleaned(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated passages taken out of ``text`` (words joined by one space where any went)."""
     import pyarrow as pa
 
+    columns = docs.columns
+
     def run(batches):
         for batch in batches:
             i = batch.schema.get_field_index("text")
@@ -199,9 +201,9 @@ def cleaned(docs: DataFrame) -> DataFrame:
                 words, n = _kept(text, runs)
                 out.append(text if len(words) == n else b" ".join(words).decode("utf-8"))
             batch = batch.set_column(i, batch.schema.field(i), pa.array(out, batch.schema.field(i).type))
-            yield batch.select(docs.columns)
+            yield batch.select(columns)
 
-    return _with_runs(docs).select(*docs.columns, "runs__").mapInArrow(run, docs.schema)
+    return _with_runs(docs).select(*columns, "runs__").mapInArrow(run, docs.schema)
 
 
 def op7_seed_extend_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
