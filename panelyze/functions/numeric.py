@@ -51,40 +51,36 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     return F.signum(x) * total / F.lit(10.0**scale) + F.lit(0.0)
 
 
-def scaled_long(c: ColumnOrName, scale: int = 2) -> Column:
-    """``x`` in units of ``10**-scale`` as a long, rounded half away from zero."""
-    x = col(c)
-    return (F.signum(x) * F.floor(F.abs(x) * F.lit(10.0**scale) + 0.5)).cast("long")
-
-
-def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Sum of a double column with each value rounded to ``scale`` decimals,
-    added as longs, returned as double.
+def exact_sum_decimal(c: ColumnOrName, scale: int = 9) -> Column:
+    """Sum of a double column as DECIMAL(38, scale): every value enters with the
+    decimal digits it prints with, and nothing is rounded before the sum.
 
     A double sum depends on the order rows arrive in, and so on partitioning
-    and on AQE coalescing; a long sum does not, and stays in generated code
-    (no per-row decimal objects).  Exact up to about ``9e18 / 10**scale``.
+    and on AQE coalescing; this one does not.  Values with at most two
+    decimals are added as whole cents (longs, which stay in generated code and
+    raise an error rather than overflow); only the others become decimals.
     """
-    return F.sum(scaled_long(c, scale)).cast("double") / F.lit(10.0**scale)
+    x = col(c).cast("double")
+    cents = F.rint(x * F.lit(100.0))
+    is_cents = (F.abs(x) < F.lit(1e13)) & (cents / F.lit(100.0) == x)
+    # One digit less than the most there are: then the two sums add without losing a decimal.
+    kind = f"decimal(37,{scale})"
+    by_cents = F.sum(F.when(is_cents, cents.cast("long")))
+    others = F.sum(F.when(~is_cents, x.cast(kind)))
+    both = F.coalesce((by_cents.cast("decimal(20,0)") * F.expr("0.01BD")).cast(kind), F.lit(0).cast(kind)) + F.coalesce(
+        others.cast(kind), F.lit(0).cast(kind)
+    )
+    return F.when(F.count(x) > 0, both)
 
 
-def exact_avg(c: ColumnOrName, scale: int = 9) -> Column:
-    """Average over non-NULL values, independent of row order.
+def exact_sum(c: ColumnOrName, scale: int = 9) -> Column:
+    """``exact_sum_decimal`` as the nearest double."""
+    return exact_sum_decimal(c, scale).cast("double")
 
-    Each value is split into its integer part and its fraction at ``scale``
-    decimals (at most 9; smaller values are scaled up first); both parts are
-    summed as longs, so the sum is the same however rows are partitioned.
-    """
-    x = col(c)
-    pre = max(0, scale - 9)
-    frac_digits = min(scale, 9)
-    if pre:
-        x = x * F.lit(10.0**pre)
-    whole = F.floor(x)
-    frac = F.floor((x - whole) * F.lit(10.0**frac_digits) + 0.5)
-    total = F.sum(whole).cast("double") + F.sum(frac).cast("double") / F.lit(10.0**frac_digits)
-    avg = F.try_divide(total, F.count(x).cast("double"))
-    return avg / F.lit(10.0**pre) if pre else avg
+
+def exact_avg(c: ColumnOrName, scale: int = 9) -> Column:
+    """Average over non-NULL values, independent of row order (exact sum by count)."""
+    return F.try_divide(exact_sum(c, scale), F.count(col(c)).cast("double"))
 
 
 def money_cents(c: ColumnOrName) -> Column:

@@ -10,24 +10,22 @@ from pyspark.sql import functions as F
 from panelyze.functions.numeric import exact_avg, exact_sum
 
 
-def sum_by_key_zero_fill(df: DataFrame, keys: Sequence[str], values: Sequence[str], scale: int = 9) -> DataFrame:
+def sum_by_key_zero_fill(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Sum ``values`` by ``keys``; rows with a NULL key are dropped and an
     all-NULL group sums to 0 (dataframe-library semantics, unlike SQL).
-    Sums are exact to ``scale`` decimal places."""
+    Sums are exact (see ``numeric.exact_sum``)."""
     return (
         df.dropna(subset=list(keys))
         .groupBy(*keys)
-        .agg(*[F.coalesce(exact_sum(v, scale), F.lit(0.0)).alias(v) for v in values])
+        .agg(*[F.coalesce(exact_sum(v), F.lit(0.0)).alias(v) for v in values])
     )
 
 
-def entity_summary(
-    df: DataFrame, entity: str, total_col: str, share_col: str, total_scale: int = 9, share_scale: int = 9
-) -> DataFrame:
+def entity_summary(df: DataFrame, entity: str, total_col: str, share_col: str) -> DataFrame:
     """Per entity: sum of a total column and average of a share column."""
     return df.groupBy(entity).agg(
-        exact_sum(total_col, total_scale).alias("total_emissions"),
-        exact_avg(share_col, share_scale).alias(f"avg_{share_col}"),
+        exact_sum(total_col).alias("total_emissions"),
+        exact_avg(share_col).alias(f"avg_{share_col}"),
     )
 
 

@@ -62,7 +62,6 @@ def process_emissions(
     paths: Sequence[str],
     pattern: str = YEAR_IN_NAME,
     name_col: str = "_metadata.file_name",
-    scale: int = 2,
 ) -> DataFrame | None:
     """Emission files: clean names, numbers, integer year, then the gas
     columns summed per ``(country, year)``.  As in a dataframe library, rows
@@ -73,7 +72,7 @@ def process_emissions(
     df = CL.cast_numeric_except(df, keep=["country", "year", "_file_year"])
     df = CL.ensure_year(df)
     gases = [g for g in GAS_COLUMNS if g in df.columns]
-    return sum_by_key_zero_fill(df, list(KEYS), gases, scale)
+    return sum_by_key_zero_fill(df, list(KEYS), gases)
 
 
 def combine_sources(indicators: DataFrame | None, emissions: DataFrame | None) -> DataFrame:

@@ -16,7 +16,7 @@ per-entity window and the aggregations.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,13 +28,13 @@ from panelyze.functions.numeric import (
     cagr_pct,
     exact_avg,
     exact_sum,
+    exact_sum_decimal,
     intensity_guarded,
     intensity_nullif,
     pct_change,
     pct_diff_from,
     round_half_up,
     safe_divide,
-    scaled_long,
     share_pct,
     share_pct_or_zero,
     sum_all,
@@ -43,6 +43,7 @@ from panelyze.functions.numeric import (
 from panelyze.operators.aggregate import count_labels, mode_of_labels, sample_values
 from panelyze.operators.combine import enrich, restrict_to_dim
 from panelyze.operators.filters import NON_SOVEREIGN_PATTERNS, not_like_any, nonempty
+from panelyze.operators.quality import unique_violations
 from panelyze.operators.windows import (
     attach_group_stats,
     baseline_value,
@@ -70,16 +71,13 @@ class ModelParams:
     trend: tuple[float, float, float, float] = C.TREND_BOUNDS
     # emissions per this much GDP
     gdp_unit: float = 1_000_000.0
-    # decimals kept per value when summing emissions and population
-    sum_scale: int = 2
     # rank cut of the top-emitter report
     top_n: int = 50
-    # The staged panel has one row per (country, year) (see
-    # quality.unique_violations).  Then the number of countries in a group of
-    # one year is a plain count, aggregated before its shuffle; a distinct
-    # count would shuffle every row on (group, country).  Set False for a
-    # panel that may repeat a key.
-    key_unique: bool = True
+    # True: the caller has checked that the panel holds one row per (country,
+    # year) (``checked_unique``), so the number of countries in a group of one
+    # year is a plain count, aggregated before its shuffle.  By default the
+    # countries are counted distinct.
+    key_unique: bool = False
 
 
 # Source column -> staged name.
@@ -152,25 +150,30 @@ def country_count(p: ModelParams) -> Column:
     return F.count("country") if p.key_unique else F.count_distinct("country")
 
 
+def checked_unique(panel: DataFrame, p: ModelParams) -> ModelParams:
+    """``p`` for a panel without repeated keys; raises if a key repeats (one aggregation)."""
+    if unique_violations(panel, ["country", "year"]).limit(1).count():
+        raise ValueError("the panel repeats a (country, year) key")
+    return replace(p, key_unique=True)
+
+
 # ---------------------------------------------------------------- staging
 
 
 def stg_combined(combined: DataFrame) -> DataFrame:
-    """Typed panel with both sources present (missing source columns -> NULL)."""
-    present = set(combined.columns)
-
-    def src(name: str) -> Column:
-        return F.col(name) if name in present else F.lit(None)
+    """Typed panel of the rows with both sources present.
 
-    base = combined.where(
-        F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in REQUIRED_SOURCE if c in present))
-        if all(c in present for c in REQUIRED_SOURCE)
-        else F.lit(False)
-    )
+    A column that no source delivered is an error, not a column of NULLs.
+    """
+    needed = dict.fromkeys([*REQUIRED_SOURCE, *[c for c, _ in STAGED_COLUMNS]])
+    missing = [c for c in needed if c not in set(combined.columns)]
+    if missing:
+        raise ValueError(f"the combined panel lacks {', '.join(missing)}")
+    base = combined.where(F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in REQUIRED_SOURCE)))
     return base.select(
         F.col("country"),
         F.col("year").cast("int").alias("year"),
-        *[src(s).try_cast("double").alias(d) for s, d in STAGED_COLUMNS],
+        *[F.col(s).try_cast("double").alias(d) for s, d in STAGED_COLUMNS],
     )
 
 
@@ -263,18 +266,17 @@ def dim_wellbeing(panel: DataFrame) -> DataFrame:
 
 def fct_region(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     """Emissions, population and income mix by region and year."""
-    s = p.sum_scale
     rows = panel.where(F.col(HAS_EMISSIONS) & nonempty("region")).select(
         "region", "year", "country", TOTAL, *GASES, socio("population"), socio("gdp_per_capita"), socio("income_category")
     )
     counts = count_labels("income_category", C.INCOME_LABELS)
     return rows.groupBy("region", "year").agg(
         country_count(p).alias("country_count"),
-        exact_sum(TOTAL, s).alias("total_emissions"),
-        *[exact_sum(g, s).alias(g) for g in GASES],
-        exact_sum("population", s).alias("total_population"),
+        exact_sum(TOTAL).alias("total_emissions"),
+        *[exact_sum(g).alias(g) for g in GASES],
+        exact_sum("population").alias("total_population"),
         round_half_up(exact_avg("gdp_per_capita"), 2).alias("avg_gdp_per_capita"),
-        round_half_up(safe_divide(exact_sum(TOTAL, s), exact_sum("population", s)), 2).alias("emissions_per_capita"),
+        round_half_up(safe_divide(exact_sum(TOTAL), exact_sum("population")), 2).alias("emissions_per_capita"),
         counts[0].alias("high_income_count"),
         counts[1].alias("upper_middle_income_count"),
         counts[2].alias("lower_middle_income_count"),
@@ -288,7 +290,6 @@ def fct_subregion(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame
     The dominant composition is the mode over the known label set, taken
     from per-label counts in the same aggregation (ties: later label).
     """
-    s = p.sum_scale
     rows = panel.where(F.col(HAS_EMISSIONS) & nonempty("sub_region")).select(
         "region",
         "sub_region",
@@ -303,18 +304,18 @@ def fct_subregion(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame
     rows = rows.withColumn(
         "emissions_per_gdp", intensity_guarded(TOTAL, "gdp_per_capita", "population", unit=1.0)
     )
-    tot = exact_sum(TOTAL, s)
+    tot = exact_sum(TOTAL)
     comp_counts = count_labels("ghg_composition", C.COMPOSITION_LABELS)
     out = rows.groupBy("region", "sub_region", "year").agg(
         country_count(p).alias("country_count"),
         tot.alias("total_emissions"),
-        *[exact_sum(g, s).alias(g) for g in GASES],
-        exact_sum("population", s).alias("total_population"),
+        *[exact_sum(g).alias(g) for g in GASES],
+        exact_sum("population").alias("total_population"),
         round_half_up(exact_avg("gdp_per_capita"), 2).alias("avg_gdp_per_capita"),
-        round_half_up(share_pct(exact_sum("co2_emissions", s), tot), 2).alias("co2_percentage"),
-        round_half_up(share_pct(exact_sum("ch4_emissions", s), tot), 2).alias("ch4_percentage"),
-        round_half_up(share_pct(exact_sum("n2o_emissions", s), tot), 2).alias("n2o_percentage"),
-        round_half_up(safe_divide(tot, exact_sum("population", s)), 2).alias("emissions_per_capita"),
+        round_half_up(share_pct(exact_sum("co2_emissions"), tot), 2).alias("co2_percentage"),
+        round_half_up(share_pct(exact_sum("ch4_emissions"), tot), 2).alias("ch4_percentage"),
+        round_half_up(share_pct(exact_sum("n2o_emissions"), tot), 2).alias("n2o_percentage"),
+        round_half_up(safe_divide(tot, exact_sum("population")), 2).alias("emissions_per_capita"),
         round_half_up(exact_avg("emissions_per_gdp", 18), 8).alias("avg_emissions_per_gdp"),
         mode_of_labels(comp_counts, C.COMPOSITION_LABELS).alias("dominant_ghg_composition"),
     )
@@ -328,9 +329,8 @@ def by_development(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFram
     """Emissions by income category and year with shares of the yearly total.
 
     The yearly total is a window over the already aggregated rows (a few per
-    year), with the sums kept as exact longs so the shares are exact.
+    year), with the sums kept as decimals so the shares are exact.
     """
-    s = p.sum_scale
     rows = panel.where(F.col(HAS_EMISSIONS) & F.col(HAS_SOCIO) & (F.col("population") > 0)).select(
         "year",
         "income_category",
@@ -344,26 +344,25 @@ def by_development(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFram
     )
     g = rows.groupBy("year", "income_category").agg(
         country_count(p).alias("country_count"),
-        F.sum(scaled_long(TOTAL, s)).alias("_total"),
-        *[exact_sum(c, s).alias(c) for c in GASES],
+        exact_sum_decimal(TOTAL).alias("_total"),
+        *[exact_sum(c).alias(c) for c in GASES],
         round_half_up(exact_avg("emissions_per_capita"), 2).alias("avg_emissions_per_capita"),
         round_half_up(exact_avg("emissions_per_million_gdp"), 2).alias("avg_emissions_per_million_gdp"),
-        F.sum(scaled_long("population", s)).alias("_population"),
+        exact_sum_decimal("population").alias("_population"),
         round_half_up(exact_avg("gdp_per_capita"), 2).alias("avg_gdp_per_capita"),
     )
     yearly = Window.partitionBy("year")
-    unit = F.lit(10.0**s)
     e_share = F.col("_total").cast("double") / F.sum("_total").over(yearly).cast("double")
     p_share = F.col("_population").cast("double") / F.sum("_population").over(yearly).cast("double")
     return g.select(
         "year",
         "income_category",
         "country_count",
-        (F.col("_total").cast("double") / unit).alias("total_emissions"),
+        F.col("_total").cast("double").alias("total_emissions"),
         *GASES,
         "avg_emissions_per_capita",
         "avg_emissions_per_million_gdp",
-        (F.col("_population").cast("double") / unit).alias("total_population"),
+        F.col("_population").cast("double").alias("total_population"),
         "avg_gdp_per_capita",
         round_half_up(e_share * 100, 2).alias("percentage_of_global_emissions"),
         round_half_up(p_share * 100, 2).alias("percentage_of_global_population"),
@@ -630,7 +629,6 @@ def top_emitters(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     candidate rows only (``row_numbers_of_selected``), so no year is ever
     sorted in a single task.
     """
-    s = p.sum_scale
     rows = panel.where(F.col(HAS_EMISSIONS) & F.col(HAS_SOCIO) & (F.col("population") > 0)).select(
         "country",
         "country_name",
@@ -662,7 +660,7 @@ def top_emitters(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
     with_tot = attach_group_stats(
         ranked,
         ["year"],
-        {"_global_e": exact_sum(TOTAL, s), "_global_p": exact_sum("population", s)},
+        {"_global_e": exact_sum(TOTAL), "_global_p": exact_sum("population")},
         source=rows,
     )
     pct_e = round_half_up(share_pct(TOTAL, "_global_e"), 2)

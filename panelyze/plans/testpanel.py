@@ -10,7 +10,10 @@ and a country dimension.  From the order tables we build:
   N / A / R, and two weighted sums of them as warming potentials;
 * the remaining indicators are deterministic functions of the key, in 0..110,
   with a NULL for one residue each, so every ladder band is exercised;
-* the dimension is customer -> nation (sub-region) -> region.
+* the dimension is customer -> nation (sub-region) -> region;
+* fixed residues of the key make the odd rows: entities without a dimension
+  row, names that match each non-sovereign pattern, NULL and empty regions,
+  years with no gases or no population, and a NULL entity (see ``ODD``).
 
 Plan shape: lineitem is reduced to one row per order (partial aggregation
 before its shuffle on the order key), joined to orders on the order key
@@ -54,6 +57,16 @@ WEIGHTS_100YR = (1.0, 28.0, 300.0)
 WEIGHTS_20YR = (1.0, 84.0, 264.0)
 
 
+# The rows that make filters, joins and masks matter.  Entity
+# keys divisible by ``no_dim`` have no dimension row, those divisible by
+# ``null_key`` become the NULL entity; a name's suffix and an absent region
+# follow the key's residue; a year has no gases or no population where the
+# residue of key and year is 0.
+ODD = {"no_dim": 11, "null_key": 97, "no_gas": 19, "no_population": 23, "name": 29, "region": 31}
+NAME_SUFFIX = ((1, " Island"), (2, " Territory"), (3, " Dependency"), (4, " Dependencies"), (5, " Territories"))
+REGION_GAPS = ((1, None, "kept"), (2, "", "kept"), (3, "kept", None), (4, "kept", ""))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -82,8 +95,9 @@ def combined_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
     )
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    key = F.col("o_custkey")
     per_year = joined.groupBy(
-        F.col("o_custkey").alias("country"), F.year("o_orderdate").alias("year")
+        F.when(F.pmod(key, F.lit(ODD["null_key"])) != 0, key).alias("country"), F.year("o_orderdate").alias("year")
     ).agg(
         F.count(F.lit(1)).alias("_orders"),
         F.sum(money_cents("o_totalprice")).alias("_price_cents"),
@@ -91,12 +105,14 @@ def combined_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.sum(f"{gas}_cents").alias(f"_{gas}_cents") for _, gas in FLAG_GAS],
     )
     c, y = F.col("country"), F.col("year")
-    gas = {g: F.col(f"_{g}_cents") / F.lit(100.0) for _, g in FLAG_GAS}
+    no_gas = F.pmod(c + y, F.lit(ODD["no_gas"])) == 0
+    gas = {g: F.when(no_gas, F.lit(0.0)).otherwise(F.col(f"_{g}_cents") / F.lit(100.0)) for _, g in FLAG_GAS}
+    population = F.when(F.pmod(c * 3 + y, F.lit(ODD["no_population"])) == 0, F.lit(0.0)).otherwise(F.col("_qty"))
     w100, w20 = WEIGHTS_100YR, WEIGHTS_20YR
     return per_year.select(
         c,
         y,
-        F.col("_qty").alias("sp_pop_totl"),
+        population.alias("sp_pop_totl"),
         (F.col("_price_cents").cast("double") / (F.col("_orders") * F.lit(100))).alias("ny_gdp_pcap_cd"),
         _key_indicator(c, y, 7, 3, 40, 50, 13).alias("sp_dyn_le00_in"),
         _key_indicator(c, y, 11, 5, 70, 40, 7).alias("se_sec_enrr"),
@@ -118,16 +134,27 @@ def countries_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    key = F.col("c_custkey")
+    name = F.pmod(key, F.lit(ODD["name"]))
+    suffix = F.lit("")
+    for residue, text in NAME_SUFFIX:
+        suffix = F.when(name == residue, F.lit(text)).otherwise(suffix)
+    area, part = F.col("r_name"), F.col("n_name")
+    gap = F.pmod(key, F.lit(ODD["region"]))
+    for residue, upper, lower in REGION_GAPS:
+        area = area if upper == "kept" else F.when(gap == residue, F.lit(upper)).otherwise(area)
+        part = part if lower == "kept" else F.when(gap == residue, F.lit(lower)).otherwise(part)
+    cust = cust.where(F.pmod(key, F.lit(ODD["no_dim"])) != 0)
     return (
         cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
         .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
         .select(
-            F.col("c_name").alias("name"),
+            F.concat("c_name", suffix).alias("name"),
             F.substring("c_mktsegment", 1, 2).alias("alpha-2"),
             F.col("c_custkey").alias("alpha-3"),
             F.col("c_nationkey").alias("country-code"),
-            F.col("r_name").alias("region"),
-            F.col("n_name").alias("sub-region"),
+            area.alias("region"),
+            part.alias("sub-region"),
         )
     )
 
