@@ -3,7 +3,8 @@ or a small summary; none collects the data it checks."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,3 +67,22 @@ def column_name_report(df: DataFrame) -> DataFrame:
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows, for eyeballing a source."""
     return df.limit(n)
+
+
+def declared_checks(
+    frames: Mapping[str, DataFrame], not_null: Mapping[str, Sequence[str]], unique: Mapping[str, Sequence[str]] = {}
+) -> DataFrame:
+    """``(model, check_name, failures)`` for every declared check.
+
+    All not-null checks of a model are one aggregation over it; a uniqueness
+    check counts the key values that repeat.
+    """
+    out = []
+    for model, df in frames.items():
+        if cols := not_null.get(model):
+            counts = null_counts(df, cols)
+            out.append(counts.select(F.lit(model).alias("model"), F.concat(F.lit("not_null_"), "column_name").alias("check_name"), F.col("null_count").alias("failures")))
+        if keys := unique.get(model):
+            bad = unique_violations(df, keys).agg(F.count(F.lit(1)).alias("failures"))
+            out.append(bad.select(F.lit(model).alias("model"), F.lit("unique_" + "_".join(keys)).alias("check_name"), "failures"))
+    return reduce(DataFrame.unionByName, out)

@@ -42,15 +42,23 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], name_col: str, value_col: str,
     return df.where(F.col(value_col).isNotNull()).groupBy(*keys).pivot(name_col, list(names)).agg(F.sum(value_col))
 
 
-def flatten_map(df: DataFrame, key_col: str, map_col: str, measures: Sequence[str]) -> DataFrame:
-    """A map of measures -> one column per known measure.
+def map_keys_of(df: DataFrame, map_col: str) -> list[str]:
+    """The measure names that occur in a map column, sorted (one aggregation; a name is one row)."""
+    names = df.select(F.explode(F.map_keys(map_col)).alias("name")).distinct().orderBy("name")
+    return [r["name"] for r in names.collect()]
 
-    Rows without a key or with an empty map are skipped; keys of the map
-    outside ``measures`` are ignored.
+
+def flatten_map(df: DataFrame, key_col: str, map_col: str, measures: Sequence[str] | None = None) -> DataFrame:
+    """A map of measures -> one column per measure.
+
+    Without ``measures`` every name that occurs becomes a column.  Rows
+    without a key or with an empty map are skipped.
     """
     m = F.col(map_col)
     ok = F.col(key_col).isNotNull() & (F.col(key_col).cast("string") != F.lit("")) & m.isNotNull() & (F.size(m) > 0)
-    return df.where(ok).select(key_col, *[m.getItem(k).alias(k) for k in measures])
+    rows = df.where(ok)
+    names = list(measures) if measures is not None else map_keys_of(rows, map_col)
+    return rows.select(key_col, *[m.getItem(k).alias(k) for k in names])
 
 
 def concat_frames(frames: Sequence[DataFrame]) -> DataFrame:

@@ -15,10 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelyze.session import checkpoint_root
+from panelyze.session import materialize
 
 # Row limit for an eagerly checked broadcast (see ``join_small``).
-BROADCAST_ROW_LIMIT = 200_000
 
 
 def entity_window(entity: str | Sequence[str], period: str) -> Window:
@@ -63,26 +62,15 @@ def join_small(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Join a small derived table (group statistics) back to the rows.
 
-    By default no hint is given: with AQE on, Spark measures ``small`` when
-    its shuffle stage finishes and plans a broadcast join only below
+    No hint is given: with AQE on, Spark measures ``small`` in bytes when its
+    shuffle stage finishes and plans a broadcast join only below
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``, a sort-merge join
     above it.  Everything stays one job, so a subtree shared by both sides
     is computed once.
-
-    With ``max_rows`` the size is checked eagerly instead: ``small`` is
-    checkpointed under ``spark.checkpoint.dir``, counted, and broadcast
-    only when it has at most ``max_rows`` rows.  Use this when ``small``
-    comes from a materialised table, where the extra job is cheap.
     """
-    if max_rows is not None:
-        checkpoint_root(big.sparkSession)
-        small = small.checkpoint(eager=True)
-        if small.count() <= max_rows:
-            small = F.broadcast(small)
     return big.join(small, list(on), how)
 
 
@@ -91,7 +79,6 @@ def attach_group_stats(
     keys: Sequence[str],
     aggs: Mapping[str, Column],
     source: DataFrame | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Add group aggregates (e.g. the average of the row's region and year).
 
@@ -102,7 +89,7 @@ def attach_group_stats(
     source = df if source is None else source
     stats = source.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
     stats = stats.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    return join_small(df, stats, keys, "left", max_broadcast_rows)
+    return join_small(df, stats, keys, "left")
 
 
 def share_of_group_total(value: str | Column, group: Sequence[str]) -> Column:
@@ -141,7 +128,6 @@ def row_numbers_of_selected(
     group: Sequence[str],
     entity: str,
     metrics: Mapping[str, str],
-    max_broadcast_groups: int = BROADCAST_ROW_LIMIT,
 ) -> DataFrame:
     """Add ``ROW_NUMBER() OVER (PARTITION BY group ORDER BY metric DESC NULLS
     LAST, entity)`` columns, ranked among all rows of ``df``, to the few
@@ -149,10 +135,11 @@ def row_numbers_of_selected(
     in one task.
 
     ``candidates`` are rows of ``df`` (for instance the union of a few
-    top-k lists).  They are checkpointed once (a small, bounded table) and
-    their sort keys gathered per group into a short array, broadcast after
-    counting the groups.  Every row of ``df`` counts how many candidates
-    sort strictly before it (``pos``).  The candidate with row number k has
+    top-k lists).  They are written once (a small, bounded table; this runs
+    when the plan is built) and their sort keys gathered per group into a
+    short array.  Whether that is broadcast is left to the planner, which
+    knows its bytes.  Every row of ``df`` counts how many candidates sort
+    strictly before it (``pos``).  The candidate with row number k has
     ``pos = k - 1`` and its row number is the number of rows with
     ``pos <= k - 1``: a cumulative sum over the per-group histogram of
     ``pos``, which is aggregated partially before its shuffle and holds at
@@ -162,8 +149,7 @@ def row_numbers_of_selected(
     """
     keys = [*group, entity]
     names = list(metrics)
-    checkpoint_root(df.sparkSession)
-    cand = candidates.dropDuplicates(keys).checkpoint(eager=True)
+    cand = materialize(candidates.dropDuplicates(keys), "rank-candidates")
     arrays = cand.groupBy(*group).agg(
         *[
             agg
@@ -176,8 +162,6 @@ def row_numbers_of_selected(
             )
         ]
     )
-    if arrays.count() <= max_broadcast_groups:
-        arrays = F.broadcast(arrays)
 
     def before_row(v: Column, e: Column):
         return lambda t: _sorts_before(t, v, e)
@@ -209,19 +193,17 @@ def row_numbers_of_selected(
         ),
     )
     # A candidate's pos is the number of candidates before it: a window over
-    # the candidates of its group only.
-    out = cand.withColumns(
-        {
-            f"_p_{n}": F.row_number().over(
-                Window.partitionBy(*group).orderBy(F.col(m).desc_nulls_last(), F.col(entity))
-            )
-            - 1
-            for n, m in metrics.items()
-        }
-    )
-    for n in names:
-        r = cum.where(F.col("_o") == F.lit(n)).select(
-            *group, F.col("_pos").alias(f"_p_{n}"), F.col("_rank").cast("int").alias(n)
+    # the candidates of its group only.  All metrics meet the one histogram in
+    # one join.
+    own = [
+        F.struct(
+            F.lit(n).alias("o"),
+            (F.row_number().over(Window.partitionBy(*group).orderBy(F.col(m).desc_nulls_last(), F.col(entity))) - 1).alias("p"),
         )
-        out = out.join(r, [*group, f"_p_{n}"], "left").drop(f"_p_{n}")
-    return out
+        for n, m in metrics.items()
+    ]
+    placed = cand.select(*keys, F.array(*own).alias("_own")).select(*keys, F.explode("_own").alias("_s"))
+    placed = placed.select(*keys, F.col("_s.o").alias("_o"), F.col("_s.p").alias("_pos"))
+    ranks = placed.join(cum.select(*group, "_o", "_pos", "_rank"), [*group, "_o", "_pos"], "left")
+    wide = ranks.groupBy(*keys).pivot("_o", names).agg(F.first("_rank").cast("int"))
+    return cand.join(wide, keys)

@@ -103,20 +103,19 @@ def run(
     read_back = []
     for name, df in (("indicators", wb), ("emissions", ct)):
         if df is not None:
-            df = only_years(df, years)
-            if not df.isEmpty():
-                write_years(df, f"{out_root}/{name}", "year", ["country"])
+            write_years(only_years(df, years), f"{out_root}/{name}", "year", ["country"])
         read_back.append(_read_if_written(spark, f"{out_root}/{name}"))
+    # Both sides are written tables by now: testing them for rows reads one row.
     combined = combine_sources(*read_back)
-    if combined.isEmpty():
-        return combined
     write_years(only_years(combined, years), f"{out_root}/combined", "year", ["country"])
-    return spark.read.parquet(f"{out_root}/combined")
+    written = _read_if_written(spark, f"{out_root}/combined")
+    return combined if written is None else written
 
 
 def _read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    # Years are written one reload at a time, and a column may first come with a later one.
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path)
     except Exception as e:  # nothing written yet for this source
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None

@@ -718,6 +718,14 @@ def top_k(panel: DataFrame, metric: str, k: int = 10) -> DataFrame:
     return panel.orderBy(F.col(metric).desc_nulls_last(), "country", "year").limit(k)
 
 
+def top_k_per_head(panel: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` country-years with the most emissions per head, ties by country and year."""
+    rows = panel.where(F.col(HAS_EMISSIONS) & F.col(HAS_SOCIO)).select(
+        "country", "year", TOTAL, "population", safe_divide(TOTAL, "population").alias("emissions_per_capita")
+    )
+    return top_k(rows, "emissions_per_capita", k)
+
+
 __all__ = [
     "ModelParams",
     "by_development",

@@ -22,7 +22,7 @@ from panelyze.operators.filters import exclude_name_patterns
 from panelyze.plans import models as M
 from panelyze.plans.pipeline import TEST_PARAMS, panel_frames
 from panelyze.plans.testpanel import table
-from panelyze.session import scratch_path
+from panelyze.session import input_version, scratch_path, session_id
 from panelyze.sinks import writers as W
 from panelyze.sources import files as SRC
 
@@ -51,13 +51,9 @@ _LANDED: dict[tuple, str] = {}
 
 
 def _landed(spark: SparkSession, sf_dir: str, kind: str, land) -> str:
-    import os
-
-    from panelyze.plans.pipeline import _input_version
-    from panelyze.session import session_id
-
-    version = _input_version(sf_dir, ("orders", "lineitem", "customer", "nation", "region", "events"))
-    key = (session_id(spark), os.path.abspath(sf_dir), kind, version)
+    tables = ("orders", "lineitem", "customer", "nation", "region", "events")
+    version = input_version(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables])
+    key = (session_id(spark), sf_dir, kind, version if version is not None else object())
     if key not in _LANDED:
         root = scratch_path(spark, kind)
         land(spark, sf_dir, root)
@@ -78,11 +74,11 @@ def pivot_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON property maps -> one column per known key."""
+    """JSON property maps -> one column per name found."""
     ev = table(spark, sf_dir, "events").select(
         "event_id", F.from_json("props", "map<string,double>").alias("props")
     )
-    return RS.flatten_map(ev, "event_id", "props", ["k"])
+    return RS.flatten_map(ev, "event_id", "props")
 
 
 # ------------------------------------------------------------------ sources
@@ -178,8 +174,11 @@ def _lines_by_nation_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer-nation order totals vs supplier-nation shipped totals, merged
-    on (nation, year); shared names get ``_wb`` / ``_ct``."""
-    return merge_panels(_orders_by_nation_year(spark, sf_dir), _lines_by_nation_year(spark, sf_dir))
+    on (nation, year); shared names get ``_wb`` / ``_ct``.  Either side lacks
+    some keys, so all three cases of the full outer join occur."""
+    left = _orders_by_nation_year(spark, sf_dir).where(F.pmod(F.col("country") + F.col("year"), F.lit(7)) != 0)
+    right = _lines_by_nation_year(spark, sf_dir).where(F.pmod(F.col("country") + F.col("year"), F.lit(5)) != 0)
+    return merge_panels(left, right)
 
 
 def single_year_join(spark: SparkSession, sf_dir: str, year: int = 2000) -> DataFrame:
@@ -221,9 +220,10 @@ def distinct_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.distinct_values(panel_frames(spark, sf_dir, TEST_PARAMS).combined, ["country"])
 
 
-def part_name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The non-sovereign name patterns applied to part names."""
-    return exclude_name_patterns(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name")
+def sovereign_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-sovereign name patterns applied to the names of the seed."""
+    seed = panel_frames(spark, sf_dir, TEST_PARAMS).seed
+    return exclude_name_patterns(seed.select(F.col("`alpha-3`").alias("code"), "name"), "name")
 
 
 # ----------------------------------------------------------------- quality
@@ -236,11 +236,14 @@ def null_counts_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unique_panel_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.unique_violations(panel_frames(spark, sf_dir, TEST_PARAMS).combined, ["country", "year"])
+    """Customer-year keys that several orders repeat."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("country"), F.year("o_orderdate").alias("year"))
+    return Q.unique_violations(orders, ["country", "year"])
 
 
 def unique_dim_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.unique_violations(panel_frames(spark, sf_dir, TEST_PARAMS).countries, ["alpha_3"])
+    """Country codes (nations) that several entities of the dimension share."""
+    return Q.unique_violations(panel_frames(spark, sf_dir, TEST_PARAMS).countries, ["country_code"])
 
 
 def dim_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,10 +310,11 @@ def stream_year_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
     landing = scratch_path(spark, "landing")
-    W.write_partitioned_clustered(combined, landing, "year", ["country"])
+    # Two files for each year, taken three at a time: a year spans batches.
+    W.write_partitioned_clustered(combined.repartition(2, "country"), landing, "year", ["country"])
     schema = combined.drop("year").schema
     target = scratch_path(spark, "ingested")
-    out = ingest_years(spark, landing, target, schema, sort_by=["country"])
+    out = ingest_years(spark, landing, target, schema, sort_by=["country"], max_files=3)
     return out.select(*combined.columns)
 
 
@@ -416,3 +420,56 @@ def socio_dimension_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True)
     frames = model_frames(f.combined, f.countries, f.panel, TEST_PARAMS)
     return build_models(spark, frames, scratch_path(spark, "model_tables"), only=["dim_socio"])["dim_socio"]
+
+
+def rewritten_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model table written in full, then again with one year less: the year goes."""
+    dim = M.dim_wellbeing(panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True).panel)
+    path = scratch_path(spark, "rewritten")
+    W.write_partitioned_clustered(dim, path, "year", ["country"])
+    W.write_partitioned_clustered(dim.where(F.year("year") != RELOAD_YEAR), path, "year", ["country"])
+    return spark.read.parquet(path).select(*M.DIM_WELLBEING_COLUMNS)
+
+
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model saved as a managed table and read by its name."""
+    dim = M.dim_wellbeing(panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True).panel)
+    name = "dim_wellbeing_" + scratch_path(spark, "name").rsplit("-", 1)[-1]
+    return W.save_as_table(dim, name, ["year"]).select(*M.DIM_WELLBEING_COLUMNS)
+
+
+def late_column_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reloads of one panel, the later with a column the earlier lacks; read back whole."""
+    from panelyze.plans.file_pipeline import _read_if_written
+
+    combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined.select("country", "year", "co2", "si_pov_gini")
+    path = scratch_path(spark, "late_column")
+    W.write_years(combined.where(F.col("year") < RELOAD_YEAR).drop("si_pov_gini"), path, "year", ["country"])
+    W.write_years(combined.where(F.col("year") >= RELOAD_YEAR), path, "year", ["country"])
+    return _read_if_written(spark, path).select("country", "year", "co2", "si_pov_gini")
+
+
+def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The models' declared checks, one pass over each model: ``(model, check_name, failures)``."""
+    f = panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True)
+    frames = {
+        "stg_countries": f.countries,
+        "dim_emissions": M.dim_emissions(f.panel),
+        "dim_socio": M.dim_socio(f.panel),
+        "dim_wellbeing": M.dim_wellbeing(f.panel),
+        "fct_region": M.fct_region(f.panel, TEST_PARAMS),
+        "by_development": M.by_development(f.panel, TEST_PARAMS),
+    }
+    return Q.declared_checks(frames, DECLARED_NOT_NULL, DECLARED_UNIQUE)
+
+
+# Columns that must not be NULL, and keys that must be unique.
+DECLARED_NOT_NULL = {
+    "stg_countries": ("country_name", "alpha_3", "region"),
+    "dim_emissions": ("country", "year", "calculated_total_emissions"),
+    "dim_socio": ("country", "year", "gini_index"),
+    "dim_wellbeing": ("country", "year", "life_expectancy"),
+    "fct_region": ("region", "year", "total_emissions"),
+    "by_development": ("year", "income_category", "total_emissions"),
+}
+DECLARED_UNIQUE = {"stg_countries": ("alpha_3",), "fct_region": ("region", "year")}

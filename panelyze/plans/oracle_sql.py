@@ -569,7 +569,8 @@ ct AS (
 FULL_OUTER_MERGE_SQL = f"""WITH {_NATION_SIDES}
 SELECT COALESCE(wb.country, ct.country) AS country, COALESCE(wb.year, ct.year) AS year,
        wb.revenue AS revenue_wb, wb.n AS n_wb, ct.revenue AS revenue_ct, ct.n AS n_ct
-FROM wb FULL OUTER JOIN ct ON wb.country = ct.country AND wb.year = ct.year"""
+FROM (FROM wb WHERE (country + year) % 7 <> 0) wb
+FULL OUTER JOIN (FROM ct WHERE (country + year) % 5 <> 0) ct ON wb.country = ct.country AND wb.year = ct.year"""
 
 SINGLE_YEAR_JOIN_SQL = f"""WITH {_NATION_SIDES}
 SELECT wb.country, wb.year AS year_1, wb.revenue AS revenue_1, wb.n AS n_1,
@@ -600,10 +601,10 @@ GROUP BY region, year"""
 
 DISTINCT_COUNTRIES_SQL = with_base("SELECT DISTINCT country FROM combined")
 
-PART_NAME_FILTER_SQL = """
-SELECT p_partkey, p_name FROM part
-WHERE p_name NOT LIKE '%Territory%' AND p_name NOT LIKE '%Island%'
-  AND p_name NOT LIKE '%Dependencies%' AND p_name NOT LIKE '%Dependency%'"""
+SOVEREIGN_NAMES_SQL = f"""
+SELECT c_custkey AS code, c_name || {_SUFFIX} AS name FROM customer
+WHERE c_custkey % {ODD['no_dim']} <> 0
+  AND NOT regexp_matches(c_name || {_SUFFIX}, 'Territory|Island|Dependenc(y|ies)')"""
 
 _CHECK_COLS = ("population", "gdp_per_capita", "life_expectancy", "school_enrollment", "gini_index")
 NULL_COUNTS_SQL = with_base(
@@ -612,11 +613,12 @@ NULL_COUNTS_SQL = with_base(
         for c in _CHECK_COLS
     )
 )
-UNIQUE_PANEL_KEY_SQL = with_base(
-    "SELECT country, year, COUNT(*) AS n_rows FROM combined GROUP BY country, year HAVING COUNT(*) > 1"
-)
+UNIQUE_PANEL_KEY_SQL = """
+SELECT * FROM (
+  SELECT o_custkey AS country, CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS n_rows FROM orders GROUP BY ALL
+) WHERE n_rows > 1"""
 UNIQUE_DIM_KEY_SQL = with_base(
-    "SELECT alpha_3, COUNT(*) AS n_rows FROM places GROUP BY alpha_3 HAVING COUNT(*) > 1"
+    "SELECT * FROM (SELECT country_code, COUNT(*) AS n_rows FROM places GROUP BY ALL) WHERE n_rows > 1"
 )
 DIM_ROW_COUNT_SQL = with_base(
     "SELECT * FROM (SELECT COUNT(*) AS row_count FROM places) t WHERE NOT (row_count BETWEEN 180 AND 250)"
@@ -694,3 +696,26 @@ SELECT COALESCE(wb.country, ct.country) AS country, COALESCE(wb.year, ct.year) A
   wb.sp_pop_totl, wb.ny_gdp_pcap_cd, wb.sp_dyn_le00_in, wb.se_sec_enrr, wb.sl_uem_totl_zs, wb.si_pov_gaps,
   wb.si_pov_gini, ct.co2, ct.ch4, ct.n2o, ct.co2e_100yr, ct.co2e_20yr
 FROM wb FULL OUTER JOIN ct ON wb.country = ct.country AND wb.year = ct.year"""
+
+
+REWRITTEN_SQL = DIM_WELLBEING_SQL + "WHERE y <> 1998"
+LATE_COLUMN_SQL = with_base(
+    "SELECT country, year, co2, CASE WHEN year >= 1998 THEN si_pov_gini END AS si_pov_gini FROM combined"
+)
+
+
+def declared_checks_sql(not_null: dict, unique: dict) -> str:
+    frames = {
+        "stg_countries": STG_COUNTRIES_SQL, "dim_emissions": DIM_EMISSIONS_SQL, "dim_socio": DIM_SOCIO_SQL,
+        "dim_wellbeing": DIM_WELLBEING_SQL, "fct_region": FCT_REGION_SQL, "by_development": BY_DEVELOPMENT_SQL,
+    }
+    parts = [
+        f"SELECT {q(m)} AS model, {q('not_null_' + c)} AS check_name, COUNT(*) - COUNT({c}) AS failures FROM ({frames[m]})"
+        for m, cols in not_null.items()
+        for c in cols
+    ]
+    parts += [
+        f"SELECT {q(m)}, {q('unique_' + '_'.join(k))}, COUNT(*) FROM (SELECT COUNT(*) AS n FROM ({frames[m]}) GROUP BY {', '.join(k)}) WHERE n > 1"
+        for m, k in unique.items()
+    ]
+    return "\nUNION ALL\n".join(parts)

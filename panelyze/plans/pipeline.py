@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from panelyze.plans import models as M
 from panelyze.plans import testpanel
-from panelyze.session import materialize, session_id
+from panelyze.session import input_version, materialize, session_id
 
 _T = testpanel.PanelThresholds()
 TEST_PARAMS = M.ModelParams(income=_T.income, intensity=_T.intensity)
 
-# Tables the panel is derived from (their mtimes key the materialised copy).
+# Tables the panel is derived from (their version keys the materialised copy).
 _SOURCES = ("orders", "lineitem", "customer", "nation", "region")
 # Lazy frames are reused across queries of one session (building them reads
 # table footers and analyses the plan); the materialised panel likewise.
@@ -45,7 +44,9 @@ def panel_frames(
     (the dimension tables' partitioning and clustering), and the models
     read that table.
     """
-    key = (session_id(spark), os.path.abspath(sf_dir), params, _input_version(sf_dir))
+    version = input_version(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _SOURCES])
+    # An input without modification times is never taken from the cache.
+    key = (session_id(spark), sf_dir, params, version if version is not None else object())
     frames = _LAZY.get(key)
     if frames is None:
         combined = testpanel.combined_panel(spark, sf_dir)
@@ -59,12 +60,3 @@ def panel_frames(
     if key not in _MATERIALISED:
         _MATERIALISED[key] = materialize(frames.panel, "sovereign_panel", ["year"], ["year", "country"])
     return replace(frames, panel=_MATERIALISED[key])
-
-
-def _input_version(sf_dir: str, tables: tuple[str, ...] = _SOURCES) -> tuple:
-    """Modification times of the input tables (None for a remote path)."""
-    out = []
-    for t in tables:
-        path = os.path.join(sf_dir, f"{t}.parquet")
-        out.append(os.stat(path).st_mtime_ns if os.path.exists(path) else None)
-    return tuple(out)

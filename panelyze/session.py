@@ -36,22 +36,58 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Chosen by ``use_scratch_root``, or made once on a single machine.
+_ROOT: list[str] = []
+_WRITTEN: list[str] = []
+
+
+def use_scratch_root(path: str) -> None:
+    """Name the shared folder for sessions in which ``spark.checkpoint.dir`` is unset."""
+    _ROOT[:] = [path]
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables.
 
-    On a cluster this must be set (a shared file system or object store);
-    it is only invented here, under the local temp folder, when unset, which
-    is the case in tests and single-machine runs.
+    ``spark.checkpoint.dir`` of the session, else the folder given to
+    ``use_scratch_root``.  With neither, a session on one machine (``local``
+    master, as in tests) gets a temporary folder; on a cluster that would not
+    be shared, so it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="panelyze-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # no SparkContext handle (Spark Connect): the conf is used
-        pass
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or (_ROOT[0] if _ROOT else None)
+    if root:
+        return root.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir (or call use_scratch_root) to a folder that all executors share")
+    use_scratch_root(tempfile.mkdtemp(prefix="panelyze-scratch-"))
+    return _ROOT[0]
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete every scratch table that this process wrote."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def input_version(spark: SparkSession, paths: list[str]) -> tuple | None:
+    """Newest modification time and size of each input; None where the store keeps no times."""
+    jvm, conf, out = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            out.append((p, -1, -1))
+            continue
+        status = fs.getFileStatus(path)
+        files = list(fs.listStatus(path)) if status.isDirectory() else [status]
+        newest = max([f.getModificationTime() for f in files] + [status.getModificationTime()])
+        if newest <= 0:
+            return None
+        out.append((p, newest, sum(f.getLen() for f in files)))
+    return tuple(out)
 
 
 def session_id(spark: SparkSession) -> str:
@@ -64,9 +100,9 @@ def session_id(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint root for one written table."""
-    root = checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}panelyze/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/panelyze/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
+    return path
 
 
 def materialize(

@@ -39,8 +39,13 @@ def write_years(df: DataFrame, path: str, year_col: str = "year", sort_by: Seque
 
 
 def write_partitioned_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Sequence[str]) -> None:
-    """Full rewrite partitioned by ``partition_col``, clustered by ``cluster_by``."""
-    df.sortWithinPartitions(partition_col, *cluster_by).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    """Full rewrite partitioned by ``partition_col``, clustered by ``cluster_by``.
+
+    The overwrite is static whatever the session says: partitions that the
+    new frame lacks go.
+    """
+    out = df.sortWithinPartitions(partition_col, *cluster_by).write.mode("overwrite")
+    out.option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
 
 
 def write_ordered(df: DataFrame, path: str, order: Sequence) -> None:

@@ -80,27 +80,45 @@ def read_yearly_csv(
     """Read yearly CSV files whose headers differ (order, missing columns).
 
     Reading all files in one call would map columns by position and shift
-    values when the order changes.  So each file's header is read first
-    (only its first line), files with the same header are read together in
-    one scan, and the per-header frames are stacked by column *name*.  The
-    plan has one scan per distinct header, not per file.  Names are cleaned
-    (``clean_columns``) before stacking so ``SP.POP.TOTL`` and
-    ``sp_pop_totl`` meet.  Empty files are skipped; returns None when no
-    file has data.
+    values when the order changes.  So the header of every file is read first,
+    in one job; files with the same header are read together in one scan, and
+    the per-header frames are stacked by column *name*.  The parts of one
+    folder may differ as well: headers are those of files, not of paths.  Names
+    are cleaned (``clean_columns``) before stacking so ``SP.POP.TOTL`` and
+    ``sp_pop_totl`` meet.  Absent paths and empty files are skipped; returns
+    None when no file has data.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        cols = spark.read.option("header", True).option("inferSchema", False).csv(p).columns
-        if cols:
-            by_header.setdefault(tuple(cols), []).append(p)
+    there = [p for p in paths if path_exists(spark, p)]
+    if not there:
+        return None
+    first = (
+        spark.read.text(there)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+        .where("at = 0")
+        .withColumn("line", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "line").alias("header"))
+    )
+    by_header: dict[str, list[str]] = {}
+    # One short row for each yearly file.
+    for r in first.where(F.trim("header") != "").orderBy("file").toLocalIterator():
+        by_header.setdefault(r["header"], []).append(r["file"])
     frames = []
     for group in by_header.values():
-        df = spark.read.option("header", True).option("inferSchema", False).csv(group)
-        df = df.withColumn("_file_year", year_from_name(name_col, pattern))
+        # A file whose header is not the group's is an error, never shifted values.
+        reader = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+        df = reader.csv(group).withColumn("_file_year", year_from_name(name_col, pattern))
         frames.append(clean_columns(df) if clean else df)
     return concat_frames(frames) if frames else None
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a pattern of paths, leads to anything."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def read_parquet(spark: SparkSession, path: str, years: Sequence[int] | None = None, year_col: str = "year") -> DataFrame:
     """Parquet with partition discovery; ``years`` prunes year partitions."""
     df = spark.read.parquet(path)
@@ -132,6 +150,7 @@ EMISSION_RECORD = T.StructType(
 
 
 def _payload_text(spark: SparkSession, path: str, whole_file: bool) -> DataFrame:
+    """One document per line, or with ``whole_file`` one per file (which then must fit a task)."""
     return spark.read.text(path, wholetext=whole_file).select(
         F.col("value").alias("_doc"), F.col("_metadata.file_path").alias("_file")
     )
@@ -180,11 +199,11 @@ def emission_records(docs: DataFrame, doc_col: str = "_doc") -> DataFrame:
     )
 
 
-def read_indicator_payloads(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+def read_indicator_payloads(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     return indicator_records(_payload_text(spark, path, whole_file))
 
 
-def read_emission_payloads(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+def read_emission_payloads(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     return emission_records(_payload_text(spark, path, whole_file))
 
 

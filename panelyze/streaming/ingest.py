@@ -1,16 +1,15 @@
 """Incremental ingestion of yearly files with Structured Streaming.
 
-The reference reprocesses a dataset year by year on a schedule, replacing
-that year's output.  Here a file-source stream picks up every newly landed
-yearly file, and each micro-batch replaces exactly the years it contains in a
-year-partitioned Parquet table (dynamic partition overwrite).  The stream's
-checkpoint records which files were taken, so a rerun or a restart after a
-lost executor or driver continues where it stopped, and the write of each
-batch is idempotent (rewriting a year gives the same result).
+A file-source stream picks up every newly landed yearly file.  The target is
+a Parquet table partitioned by year and source file, and each micro-batch
+replaces exactly the files it holds (dynamic partition overwrite), so the files
+of one year may land at any time and in any number of batches: nothing of an
+earlier batch is lost.  The stream's checkpoint records which files were taken,
+so a rerun or a restart after a lost executor or driver continues where it
+stopped, and the write of a batch is idempotent.
 
 Run it as a scheduled job with ``trigger(availableNow=True)``: it takes all
-files present, then stops.  All files of one year must land together (one
-batch), since a batch replaces the whole year.
+files present, then stops.  ``max_files`` bounds a batch of a large backfill.
 """
 
 from __future__ import annotations
@@ -22,7 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelyze.session import scratch_path
-from panelyze.sinks.writers import write_years
+
+# Partition column of the target that names the landed file of a row.
+FILE_COL = "source_file"
 
 
 def yearly_stream(
@@ -61,18 +62,25 @@ def ingest_years(
     sort_by: Sequence[str] = (),
     checkpoint: str | None = None,
     options: dict[str, str] | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Run the ingestion stream until the landed files are taken, then return
-    the target table.  ``checkpoint`` defaults to a folder under
+    the target table (without ``FILE_COL``).  ``checkpoint`` defaults to a folder under
     ``spark.checkpoint.dir``; pass a fixed one to resume across runs."""
     ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    if max_files:
+        options = {**(options or {}), "maxFilesPerTrigger": str(max_files)}
     stream = yearly_stream(spark, landing, schema, fmt, year_col, options)
+    # The path below the landing folder, so that equal names in two folders differ.
+    name = F.replace(F.col("_metadata.file_path"), F.lit("/"), F.lit("|"))
+    stream = stream.withColumn(FILE_COL, F.concat(F.right(name, F.lit(80)), F.lit("-"), F.md5(name)))
 
-    def replace_years(batch: DataFrame, batch_id: int) -> None:
-        write_years(batch, target, year_col, sort_by)
+    def replace_files(batch: DataFrame, batch_id: int) -> None:
+        out = batch.sortWithinPartitions(year_col, FILE_COL, *sort_by).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(year_col, FILE_COL).parquet(target)
 
     query = (
-        stream.writeStream.foreachBatch(replace_years)
+        stream.writeStream.foreachBatch(replace_files)
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()
@@ -80,4 +88,4 @@ def ingest_years(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).drop(FILE_COL)

@@ -24,9 +24,6 @@ def spark():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    # Tests own their checkpoint folder (a cluster names a shared one).
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="panelyze-test-ckpt-"))
     yield s
     s.stop()
 
