@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -38,11 +39,29 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
+    """Write ``df`` to the shared folder and read it back: lineage ends here.
+
+    The shuffle files behind ``df`` are not needed any more.  Spark deletes
+    them when the driver collects its garbage, which a long job with little to
+    do on the driver may put off for half an hour, so it is asked to here.
+    """
+    spark, schema = df.sparkSession, df.schema
     path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    out = spark.read.schema(schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*saved: DataFrame) -> None:
+    """Delete tables made by ``save`` that nothing reads any more."""
+    for df in saved:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelyze.llm.common import save, shuffle_parts
+from panelyze.llm.common import discard, save, shuffle_parts
 
 RUN_BYTES = 24 << 20
 RANGE_BYTES = 8 << 20
@@ -263,5 +263,7 @@ def neighbours(strings: DataFrame, facts: Facts, keep: Callable[[bytes, int, int
                 yield pd.DataFrame({"run": np.full(n, run), "entry": entry, "id": ids})
 
     whose = coded.where(F.col("range") == MEMBERS).mapInPandas(unpack, "run long, entry int, id long")
-    members = whose.join(done.drop("s"), ["run", "entry"]).select("id", "cls", "mult", "x", "y")
-    return members, done.where(F.col("s").isNotNull()).select("cls", "s", "mult", "x", "y")
+    members = save(whose.join(done.drop("s"), ["run", "entry"]).select("id", "cls", "mult", "x", "y"), f"{name}-members")
+    kept = save(done.where(F.col("s").isNotNull()).select("cls", "s", "mult", "x", "y"), f"{name}-kept")
+    discard(coded, done)
+    return members, kept

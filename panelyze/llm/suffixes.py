@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelyze.llm import anchors as A
-from panelyze.llm.common import blocks, mix64, save, table
+from panelyze.llm.common import blocks, discard, mix64, save, table
 from panelyze.llm.lcpsort import neighbours
 from panelyze.llm.substrings import kept_mask
 
 WINDOW, SEED = 400, 32
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Random 64-bit numbers for the 256 byte values.
 _SYMBOLS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -179,14 +179,15 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     texts = docs.where(F.col("text").isNotNull()).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("d"), "text")
     seeds = save(seed_regions(texts), "suffix-seeds")
     often = seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
-    hits = seeds.join(save(often, "suffix-often"), "seed")
+    often = save(often, "suffix-often")
+    hits = seeds.join(often, "seed")
     # Equal texts are sorted once, with a count, from the one of the smallest id.
     hits = hits.groupBy("k", "lo", "hi", "at", "seed").agg(F.count("*").alias("copies"), F.min("d").alias("d"))
     hits = save(hits.withColumn("id", F.monotonically_increasing_id()).drop("seed"), "suffix-hits")
+    discard(seeds, often)
     strings = save(region_strings(texts, hits), "suffix-strings")
     members, parting = neighbours(strings, _right_facts, _may_part, "suffix-right")
-    members = save(members, "suffix-members")
-    parting = save(parting, "suffix-parting")
+    discard(strings)
     def turned(batches):
         for pdf in batches:
             out = []
@@ -201,11 +202,13 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     back = back.select(
         F.col("id").alias("cls"), F.when(F.col("mult") > 1, F.lit(1 << 30)).otherwise(F.col("x")).alias("back")
     )
-    open_ = save(parting.join(save(back, "suffix-backs"), "cls"), "suffix-open")
-    parts = save(part_strings(open_), "suffix-parts")
+    parts = save(part_strings(parting.join(back, "cls")), "suffix-parts")
+    discard(lefts, parting)
     twice = parts.groupBy("h1", "h2").agg(F.sum("mult").alias("n")).where("n > 1").select("h1", "h2")
-    found = parts.join(save(twice, "suffix-twice"), ["h1", "h2"]).select("cls", "p")
+    twice = save(twice, "suffix-twice")
+    found = parts.join(twice, ["h1", "h2"]).select("cls", "p")
     by_class = save(found.groupBy("cls").agg(F.collect_set("p").alias("ps")), "suffix-found")
+    discard(parts, twice)
     told = hits.join(members, "id")
     whole = told.where("mult > 1 or copies > 1").select("k", "lo", "hi")
     ends = told.where("mult = 1 and copies = 1 and y >= 0").select(
@@ -221,6 +224,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per document."""
     runs = save(repeated_runs(docs), "suffix-runs")
     by_text = save(runs.groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")), "suffix-text-runs")
+    discard(runs)
 
     def keyed(batches):
         for pdf in batches:
