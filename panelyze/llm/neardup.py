@@ -46,7 +46,7 @@ LONG = 256
 # A longer signature rules a pair out below this share of equal symbols: more than
 # five standard deviations under the threshold.
 LONG_SHARE = 0.60
-BLOCK = 256
+BLOCK = 1024
 BATCH_BYTES = 8 << 20
 
 
