@@ -5,12 +5,15 @@ is a grid of cells, and a vector lives in the cell of its nearest centroids.  A
 search visits cells in order of the summed distance of the halves
 (multi-sequence traversal) and compares the vector with the rows of each cell
 visited by the exact cosine in double precision.  How many cells are visited is
-the smallest number that reaches ``TARGET_RECALL`` of the links that brute force
-finds on a sample.
+the smallest number that reaches ``TARGET_RECALL`` twice: of pairs of a sampled
+vector and a random vector at the threshold's cosine from it, which are there
+whatever the table holds, and of the links that ``QUERIES`` vectors have among
+all rows by brute force.  Where no number in ``VISITS`` does, the grid is made
+coarser; with one cell every link is found.
 
 Fit on at most ``SAMPLE`` vectors, chosen by a hash of the id; every vector is
 indexed.  The number of cells grows with the table, so a cell keeps about
-``CELL_ROWS`` rows.
+``CELL_ROWS`` rows unless the recall asks for larger ones.
 
 Scale: equal vectors are one class with a count, searched once.  A cell with
 many rows or many visitors is split into blocks of ``BLOCK`` rows by
@@ -40,6 +43,12 @@ MAX_CENTROIDS = 1024
 BLOCK = 512
 VISITS = (1, 2, 4, 8, 12, 16, 24, 32, 48, 64)
 LEAST_VISITS = 4
+QUERIES = 1000
+# Pairs at the threshold's cosine that the visits are tuned on, at least.
+COPIES = 8000
+COARSER = 0.7
+# One in so many sampled vectors is kept from the codebooks.
+HELD_OUT = 5
 
 
 def unit_rows(vectors: list, width: int) -> np.ndarray:
@@ -100,19 +109,98 @@ def sample_recall(unit: np.ndarray, cells: np.ndarray, threshold: float = THRESH
     return found, total
 
 
-def fit(unit: np.ndarray, rows: int) -> dict:
-    """Codebooks for a table of ``rows`` vectors, and the number of cells to visit."""
-    k = int(min(MAX_CENTROIDS, max(2, round((rows / CELL_ROWS) ** 0.5)), max(1, len(unit))))
+def near_copies(unit: np.ndarray, dims: np.ndarray, threshold: float, times: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """``times`` random vectors at the cosine ``threshold`` from each row, within its first ``dims`` components, and the rows."""
+    rng = np.random.default_rng(9)
+    # One component leaves no other direction.
+    rows = np.repeat(np.flatnonzero(dims > 1), times)
+    u = unit[rows]
+    aside = rng.normal(size=u.shape) * (np.arange(unit.shape[1]) < dims[rows][:, None])
+    aside -= (aside * u).sum(1, keepdims=True) * u
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    return threshold * u + max(0.0, 1 - threshold**2) ** 0.5 * aside, u
+
+
+def found_at(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """For pairs of rows with the cells ``q`` and ``x``: how many must be visited until either visits the other's (0: more)."""
+    most = q.shape[1] + 1
+    at = np.full(len(q), most)
+    for cells, home in ((q, x[:, :1]), (x, q[:, :1])):
+        hit = cells == home
+        at = np.minimum(at, np.where(hit.any(1), hit.argmax(1) + 1, most))
+    return np.where(at == most, 0, at)
+
+
+def least_visits(hist: np.ndarray, cells: int) -> int | None:
+    """The smallest of ``VISITS`` that finds ``TARGET_RECALL`` of the pairs counted by ``found_at``."""
+    reached = np.cumsum(hist[1:])
+    for v in (min(v, cells) for v in VISITS if v >= LEAST_VISITS):
+        if reached[v - 1] >= TARGET_RECALL * hist.sum():
+            return v
+    return None
+
+
+def fit(unit: np.ndarray, rows: int, threshold: float = THRESHOLD, dims: np.ndarray | None = None, links=None) -> dict:
+    """Codebooks for a table of ``rows`` vectors, and the number of cells to visit.
+
+    ``links(index)`` counts the table's own links by ``found_at``.
+    """
+    dims = np.full(len(unit), unit.shape[1]) if dims is None else dims
+    # Codebooks fit their own vectors best; where the table holds others, so do those that recall is tuned on.
+    apart = len(unit) // HELD_OUT if rows > len(unit) else 0
+    known, seen, dims = unit[apart:], unit[: apart or COPIES], dims[: apart or COPIES]
+    copies, tested = near_copies(seen, dims, threshold, -(-COPIES // max(1, len(seen))))
+    k = int(min(MAX_CENTROIDS, max(2, round((rows / CELL_ROWS) ** 0.5)), max(1, len(known))))
     cut = (unit.shape[1] + 1) // 2
-    right = unit[:, cut:] if unit.shape[1] > cut else np.zeros((len(unit), 0))
-    books = kmeans(unit[:, :cut], k), kmeans(right, k)
-    test = unit[:8000]
-    visits = LEAST_VISITS
-    for visits in [v for v in VISITS if v >= LEAST_VISITS]:
-        found, total = sample_recall(test, traversal(test, books, min(visits, k * k)))
-        if found >= TARGET_RECALL * total:
-            break
-    return {"books": books, "visits": min(visits, k * k), "width": unit.shape[1]}
+    right = known[:, cut:] if unit.shape[1] > cut else np.zeros((len(known), 0))
+    while True:
+        books = kmeans(known[:, :cut], k), kmeans(right, k)
+        most = min(max(VISITS), k * k)
+        index = {"books": books, "visits": most, "width": unit.shape[1]}
+        hist = np.zeros(most + 1, np.int64)
+        for at in range(0, len(tested), 1024):
+            pair = [traversal(p[at : at + 1024], books, most) for p in (tested, copies)]
+            hist += np.bincount(found_at(*pair), minlength=most + 1)
+        visits = least_visits(hist, k * k)
+        if visits and links:
+            own = least_visits(links(index), k * k)
+            visits = own and max(visits, own)
+        if visits:
+            return index | {"visits": visits}
+        if k == 1:
+            raise RuntimeError(f"no grid finds {TARGET_RECALL} of the links")
+        k = int(k * COARSER)
+
+
+def query_links(classes: DataFrame, queries: pd.DataFrame, index: dict, threshold: float) -> np.ndarray:
+    """Links between ``queries(id, embedding)`` and all rows, compared with each other whole, counted by ``found_at``."""
+    ids = queries["id"].to_numpy(np.int64)
+    dims = queries["embedding"].map(len).to_numpy()
+    q_unit = unit_rows(queries["embedding"].tolist(), index["width"])
+    books, most = index["books"], index["visits"]
+    q_cells = traversal(q_unit, books, most)
+
+    def run(batches):
+        hist = np.zeros(most + 1, np.int64)
+        for pdf in batches:
+            for at in range(0, len(pdf), 1024):
+                part = pdf.iloc[at : at + 1024]
+                unit = unit_rows(part["embedding"].tolist(), index["width"])
+                other = part["id"].to_numpy(np.int64)[:, None] != ids[None, :]
+                alike = part["embedding"].map(len).to_numpy()[:, None] == dims[None, :]
+                x, q = np.nonzero((unit @ q_unit.T >= threshold) & other & alike)
+                if len(x):
+                    rows, x = np.unique(x, return_inverse=True)
+                    cells = traversal(unit[rows], books, most)
+                    hist += np.bincount(found_at(q_cells[q], cells[x]), minlength=most + 1)
+        yield pd.DataFrame({"at": np.arange(most + 1), "n": hist})
+
+    counts = classes.select("id", "embedding").mapInPandas(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    hist = np.zeros(most + 1, np.int64)
+    # One row for each number of visits.
+    for r in counts.collect():
+        hist[r["at"]] = r["n"]
+    return hist
 
 
 def clean(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +269,7 @@ def link_block(members: pd.DataFrame, visitors: pd.DataFrame, threshold: float)
 
 def link(rows: DataFrame, threshold: float) -> DataFrame:
     """``(id, links, other)`` over all cells: partial counts, and edges id - other."""
-    visits = rows.select("id", "m", "dim", "unit", "home", "cells", F.explode("cells").alias("cell"))
+    visits = rows.select("id", "m", "dim", "unit", "home", F.explode("cells").alias("cell"))
     split = lambda c: F.ceil(c / F.lit(float(BLOCK))).cast("int")
     own = rows.groupBy("dim", F.col("home").alias("cell")).agg(split(F.count("*")).alias("b"))
     seen = visits.groupBy("dim", "cell").agg(split(F.count("*")).alias("p"))
@@ -192,7 +280,8 @@ def link(rows: DataFrame, threshold: float) -> DataFrame:
     x = rows.withColumn("cell", F.col("home")).select(*keep).join(grid, ["dim", "cell"])
     x = x.withColumn("mb", part(1, "b")).withColumn("pb", every("p")).withColumn("visitor", F.lit(False))
     q = visits.join(grid, ["dim", "cell"]).withColumn("pb", part(2, "p")).withColumn("mb", every("b"))
-    q = q.withColumn("visitor", F.lit(True))
+    # Only the members' cells are looked at.
+    q = q.withColumn("visitor", F.lit(True)).withColumn("cells", F.lit(None).cast("array<int>"))
     key = ["dim", "cell", "mb", "pb"]
     both = x.select(*key, "visitor", "id", "m", "unit", "home", "cells").unionByName(
         q.select(*key, "visitor", "id", "m", "unit", "home", "cells")
@@ -237,7 +326,15 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     own = vectors.join(classes, "embedding").select("vec_id", F.col("id").alias("class_id"), "m")
     if n:
         widest = classes.agg(F.max(F.size("embedding"))).first()[0]
-        index = fit(unit_rows(picked, widest), n)
+        # Bounded too; drawn apart from the sample, as most of a large table's rows are.
+        queries = classes.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(QUERIES).select("id", "embedding").toPandas()
+        index = fit(
+            unit_rows(picked, widest),
+            n,
+            threshold,
+            np.array([len(v) for v in picked]),
+            lambda grid: query_links(classes, queries, grid, threshold),
+        )
         found = save(link(save(indexed(classes, index), "vector-index"), threshold), "vector-links")
     else:
         found = df.sparkSession.createDataFrame([], "id long, links long, other long")

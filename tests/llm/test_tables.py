@@ -76,6 +76,40 @@ def test_recall_on_the_table(spark):
     assert total > 100 and found >= 0.9 * total
 
 
+def test_recall_of_pairs_the_sample_does_not_hold(spark):
+    """Vectors without any link to tune on, and their partners at cosine 0.95."""
+    rng = np.random.default_rng(12)
+    unit = embeddings.unit_rows(list(rng.normal(size=(6000, 64))), 64)
+    assert embeddings.sample_recall(unit, np.zeros((6000, 1)))[1] == 0
+    index = embeddings.fit(unit[:3000], 100_000)
+    aside = rng.normal(size=unit.shape)
+    aside -= (aside * unit).sum(1, keepdims=True) * unit
+    near = 0.9501 * unit + (1 - 0.9501**2) ** 0.5 * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    both = np.vstack([unit[3000:], near[3000:]])
+    found, total = embeddings.sample_recall(both, embeddings.traversal(both, index["books"], index["visits"]))
+    assert total == 3000 and found >= 0.99 * total
+
+
+def test_grid_gets_coarser_until_the_links_are_found(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "VISITS", (4,))
+    monkeypatch.setattr(embeddings, "BLOCK", 64)
+    rng = np.random.default_rng(13)
+    base = embeddings.unit_rows(list(rng.normal(size=(400, 16))), 16)
+    aside = rng.normal(size=base.shape)
+    aside -= (aside * base).sum(1, keepdims=True) * base
+    near = 0.951 * base + (1 - 0.951**2) ** 0.5 * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([base, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df).collect()}
+    assert len(got) == 800 and sum(n > 0 for n in got.values()) >= 0.985 * 800
+    index = embeddings.fit(base, 100_000)
+    assert len(index["books"][0]) < 64 and index["visits"] <= 4
+    queries = df.where("vec_id < 100").withColumnRenamed("vec_id", "id").toPandas()
+    hist = embeddings.query_links(df.withColumnRenamed("vec_id", "id"), queries, index, 0.95)
+    unit = np.vstack([base, near])
+    assert hist.sum() == (unit[:100] @ unit.T >= 0.95).sum() - 100
+
+
 def test_traversal_visits_the_nearest_cells():
     rng = np.random.default_rng(6)
     x = rng.normal(size=(40, 8))
