@@ -14,6 +14,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POS_BITS = 26
 _POWERS: dict[int, np.ndarray] = {}
+# Texts of more symbols are worked through in stretches; at least two windows.
+STRETCH = 1 << 22
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -78,3 +80,39 @@ def regions(starts: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.nda
         return np.empty(0, np.int64), np.empty(0, np.int64)
     new = np.flatnonzero(np.r_[True, (starts[1:] != starts[:-1] + 1) | (anchors[1:] != anchors[:-1])])
     return new, np.r_[new[1:], len(starts)] - 1
+
+
+def region_stretches(parts: list, windows, stretch: int):
+    """``(w, doc, begin, first, last)``: the regions of ``parts``, their part, and where it begins in the flat array.
+
+    ``windows(parts)`` gives the windows of some parts.  Parts of more than
+    ``stretch`` symbols come one by one and in stretches; each starts with the
+    last region of the one before, which the cut may have shortened, so regions
+    are those of the whole part.
+    """
+    if sum(map(len, parts)) <= stretch:
+        w = windows(parts)
+        first, last = regions(w.starts, w.anchors)
+        doc = np.searchsorted(w.ends, w.starts[first], "right")
+        yield w, doc, w.begin[doc], first, last
+        return
+    for d, part in enumerate(parts):
+        at, more = 0, True
+        while more:
+            w, more = windows([part[at : at + stretch]]), at + stretch < len(part)
+            first, last = regions(w.starts, w.anchors)
+            n = len(first) - more
+            yield w, np.full(n, d), np.full(n, -at), first[:n], last[:n]
+            at += int(w.starts[first[-1]]) if more else 0
+
+
+def place_stretches(parts: list, windows, doc: np.ndarray, lo: np.ndarray, reach: int, stretch: int):
+    """``(w, begin, places)``: windows that hold the places ``lo`` to ``lo + reach`` of the parts ``doc``."""
+    if sum(map(len, parts)) <= stretch:
+        w = windows(parts)
+        yield w, w.begin[doc], np.arange(len(doc))
+        return
+    for d, nth in sorted(set(zip(doc.tolist(), (lo // stretch).tolist()))):
+        places = np.flatnonzero((doc == d) & (lo // stretch == nth))
+        at = nth * stretch
+        yield windows([parts[d][at : at + stretch + reach]]), np.full(len(places), -at), places

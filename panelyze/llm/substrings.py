@@ -19,7 +19,8 @@ its region.
 Overlapping windows are joined to maximal repeats, whose words are removed.
 Words are compared by 128 bits of hash.
 
-Defined cases: a null text has no words; texts under ``WINDOW`` words are kept;
+Defined cases: a text may be of any length (its task holds its words, its
+windows in stretches); a null text has no words; texts under ``WINDOW`` words are kept;
 rows that repeat an id are one document and lose the same windows if their texts
 are equal; null ids neither remove nor are removed from; an empty table gives
 an empty result; further columns are kept by ``cleaned`` and ignored by the
@@ -50,22 +51,24 @@ def text_key(text: str | None) -> int:
 
 
 class Windows:
-    """Windows, anchors and hashes of a block of texts."""
+    """Windows, anchors and hashes of a block of texts, given as word hashes."""
 
-    def __init__(self, texts: list, hashes: WordHashes):
-        parts = [hashes(words_of(t, lower=False)) for t in texts]
+    def __init__(self, parts: list[np.ndarray]):
         self.ends = np.cumsum([len(p) for p in parts])
         self.begin = np.r_[0, self.ends[:-1]]
         flat = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         self.rolling = A.Rolling(flat)
         self.starts = A.window_starts(self.ends, WINDOW)
         self.anchors = A.window_anchors(self.rolling, self.starts, WINDOW, SEED)
-        self.doc = np.searchsorted(self.ends, self.starts, "right")
 
     def seeds(self, at: np.ndarray) -> np.ndarray:
         return self.rolling(at, at + SEED).view(np.int64)
 
 
+def _symbols(texts, hashes: WordHashes) -> list[np.ndarray]:
+    return [hashes(words_of(t, lower=False)) for t in texts]
+
+
 def _text_blocks(pdf: pd.DataFrame, limit: int = BATCH_BYTES):
     size = pdf["text"].map(lambda t: len(t) if isinstance(t, str) else 0).to_numpy()
     for a, b in blocks(size, limit):
@@ -75,19 +78,21 @@ def _text_blocks(pdf: pd.DataFrame, limit: int = BATCH_BYTES):
 def seed_regions(docs: DataFrame) -> DataFrame:
     """``(seed, body, doc_id, k, lo, hi)``: each region with the hash of its words and its first and last window."""
 
+    stretch = A.STRETCH
+
     def run(batches):
         hashes = WordHashes()
         for pdf in batches:
             for part in _text_blocks(pdf):
-                w = Windows(part["text"].tolist(), hashes)
-                first, last = A.regions(w.starts, w.anchors)
-                if not len(first):
-                    continue
-                lo, hi, doc = w.starts[first], w.starts[last], w.doc[first]
                 keys = np.array([text_key(t) for t in part["text"]], np.int32)
-                out = {"seed": w.seeds(w.anchors[first]), "body": w.rolling(lo, hi + WINDOW).view(np.int64)}
-                out |= {"doc_id": part["doc_id"].to_numpy(np.int64)[doc], "k": keys[doc]}
-                yield pd.DataFrame(out | {"lo": (lo - w.begin[doc]).astype(np.int32), "hi": (hi - w.begin[doc]).astype(np.int32)})
+                symbols = _symbols(part["text"].tolist(), hashes)
+                for w, doc, begin, first, last in A.region_stretches(symbols, Windows, stretch):
+                    if not len(first):
+                        continue
+                    lo, hi = w.starts[first], w.starts[last]
+                    out = {"seed": w.seeds(w.anchors[first]), "body": w.rolling(lo, hi + WINDOW).view(np.int64)}
+                    out |= {"doc_id": part["doc_id"].to_numpy(np.int64)[doc], "k": keys[doc]}
+                    yield pd.DataFrame(out | {"lo": (lo - begin).astype(np.int32), "hi": (hi - begin).astype(np.int32)})
 
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     return ids.mapInPandas(run, "seed long, body long, doc_id long, k int, lo int, hi int")
@@ -96,12 +101,12 @@ def seed_regions(docs: DataFrame) -> DataFrame:
 def parting_windows(docs: DataFrame, places: DataFrame) -> DataFrame:
     """``(h1, h2, doc_id, k, lo)``: one row for each window of the regions ``places``."""
     by_doc = places.groupBy("doc_id").agg(F.collect_set(F.struct("k", "lo", "hi")).alias("places"))
+    stretch = A.STRETCH
 
     def run(batches):
         hashes = WordHashes()
         for pdf in batches:
             for part in _text_blocks(pdf, BATCH_BYTES // 4):
-                w = Windows(part["text"].tolist(), hashes)
                 keys = [text_key(t) for t in part["text"]]
                 doc, lo, hi = [], [], []
                 for d, rows in enumerate(part["places"]):
@@ -112,16 +117,19 @@ def parting_windows(docs: DataFrame, places: DataFrame) -> DataFrame:
                             hi.append(r["hi"])
                 if not doc:
                     continue
-                doc, lo, hi = np.array(doc), np.array(lo), np.array(hi)
-                n = hi - lo + 1
-                start = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-                doc = np.repeat(doc, n)
-                at = start + w.begin[doc]
-                anchor = w.anchors[np.searchsorted(w.starts, at)]
-                h2 = mix64(w.seeds(anchor).view(np.uint64) + (anchor - at).astype(np.uint64))
-                out = {"h1": w.rolling(at, at + WINDOW).view(np.int64), "h2": h2.view(np.int64)}
-                out |= {"doc_id": part["doc_id"].to_numpy(np.int64)[doc], "k": np.array(keys, np.int32)[doc]}
-                yield pd.DataFrame(out | {"lo": start.astype(np.int32)})
+                docs_, los, his = np.array(doc), np.array(lo), np.array(hi)
+                symbols = _symbols(part["text"].tolist(), hashes)
+                # A region's windows share a seed, so they end within two windows of its first.
+                for w, begin, places in A.place_stretches(symbols, Windows, docs_, los, 2 * WINDOW, stretch):
+                    doc, lo, hi = docs_[places], los[places], his[places]
+                    n = hi - lo + 1
+                    start = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                    doc, at = np.repeat(doc, n), start + np.repeat(begin, n)
+                    anchor = w.anchors[np.searchsorted(w.starts, at)]
+                    h2 = mix64(w.seeds(anchor).view(np.uint64) + (anchor - at).astype(np.uint64))
+                    out = {"h1": w.rolling(at, at + WINDOW).view(np.int64), "h2": h2.view(np.int64)}
+                    out |= {"doc_id": part["doc_id"].to_numpy(np.int64)[doc], "k": np.array(keys, np.int32)[doc]}
+                    yield pd.DataFrame(out | {"lo": start.astype(np.int32)})
 
     wide = docs.select("doc_id", "text").join(by_doc, "doc_id")
     return wide.mapInPandas(run, "h1 long, h2 long, doc_id long, k int, lo int")

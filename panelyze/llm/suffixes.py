@@ -19,7 +19,8 @@ cannot repeat and are dropped first.
 Strings found are joined to maximal runs, whose bytes are removed; every
 occurrence goes, also within one document.
 
-Defined cases: a null text is empty; texts under ``WINDOW`` bytes are kept; rows
+Defined cases: a text may be of any length (its task holds it whole, its
+windows in stretches); a null text is empty; texts under ``WINDOW`` bytes are kept; rows
 that repeat are occurrences of each other; a null id takes part like any other;
 an empty table gives an empty result; further columns are ignored.
 """
@@ -77,21 +78,21 @@ NO_ID = -(1 << 63)
 def seed_regions(docs: DataFrame) -> DataFrame:
     """``(seed, k, d, lo, hi, at)``: first and last window of each region and its anchor; k is the text's hash, d its id."""
 
+    stretch = A.STRETCH
+
     def run(batches):
         for pdf in batches:
             for part, data in _byte_blocks(pdf):
-                w = Windows(data)
-                first, last = A.regions(w.starts, w.anchors)
-                if not len(first):
-                    continue
-                lo, hi, at = w.starts[first], w.starts[last], w.anchors[first]
-                doc = np.searchsorted(w.ends, lo, "right")
-                out = {"seed": w.rolling(at, at + SEED).view(np.int64)}
-                out["k"] = np.array([text_key(x) for x in data], np.int64)[doc]
-                out["d"] = part["d"].to_numpy(np.int64)[doc]
-                for c, v in (("lo", lo), ("hi", hi), ("at", at)):
-                    out[c] = (v - w.begin[doc]).astype(np.int32)
-                yield pd.DataFrame(out)
+                keys = np.array([text_key(x) for x in data], np.int64)
+                for w, doc, begin, first, last in A.region_stretches(data, Windows, stretch):
+                    if not len(first):
+                        continue
+                    lo, hi, at = w.starts[first], w.starts[last], w.anchors[first]
+                    out = {"seed": w.rolling(at, at + SEED).view(np.int64)}
+                    out |= {"k": keys[doc], "d": part["d"].to_numpy(np.int64)[doc]}
+                    for c, v in (("lo", lo), ("hi", hi), ("at", at)):
+                        out[c] = (v - begin).astype(np.int32)
+                    yield pd.DataFrame(out)
 
     return docs.select("d", "text").mapInPandas(run, "seed long, k long, d long, lo int, hi int, at int")
 

@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelyze.llm import lcpsort, mixing, neardup, packing, substrings, suffixes, toxicity
+from panelyze.llm import anchors, lcpsort, mixing, neardup, packing, substrings, suffixes, toxicity
 from panelyze.llm.common import table
 from tests.llm.cases import odd_docs
 
@@ -150,6 +150,40 @@ def test_byte_strings_of_little_variety(spark, monkeypatch):
     assert Counter(tuple(r) for r in suffixes.deduplicated(df).collect()) == brute_bytes(rows, 400)
 
 
+def test_long_texts_go_in_stretches(spark, monkeypatch):
+    """Texts of many stretches, copies that part at any place, and empty texts in the same block."""
+    monkeypatch.setattr(anchors, "STRETCH", 900)
+    rng = np.random.default_rng(21)
+    core = [f"c{i % 61}x{i}" for i in range(2500)]
+    rows = [(0, ""), (1, None), (2, " ".join(core)), (3, "short one")]
+    for i in range(4, 16):
+        a, b = sorted(rng.integers(0, 2500, 2).tolist())
+        rows.append((i, " ".join([f"n{i}"] + core[a:b] + [f"m{i}"] + core[b : b + 70])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    test_word_windows_match_brute_force(df)
+    assert Counter(tuple(r) for r in suffixes.deduplicated(df).collect()) == brute_bytes(rows, 400)
+
+
+@pytest.mark.parametrize("module", [suffixes, substrings])
+def test_regions_of_a_text_longer_than_a_block_may_be(monkeypatch, module):
+    rng = np.random.default_rng(22)
+    text = rng.integers(97, 123, 9000, dtype=np.uint8).tobytes()
+    parts = [b"", text] if module is suffixes else [np.empty(0, np.uint64), suffixes._SYMBOLS[np.frombuffer(text, np.uint8)]]
+
+    def found(stretch):
+        return [
+            (int(d), int(w.starts[a] - s), int(w.starts[b] - s), int(w.anchors[a] - s), int(w.rolling(w.starts[[a]], w.starts[[b]] + module.WINDOW)[0]))
+            for w, doc, begin, first, last in anchors.region_stretches(parts, module.Windows, stretch)
+            for d, s, a, b in zip(doc, begin, first, last)
+        ]
+
+    whole = found(1 << 20)
+    monkeypatch.setattr(anchors, "_POS_BITS", 13)
+    with pytest.raises(ValueError):
+        module.Windows(parts)
+    assert found(1000) == whole
+
+
 @settings(max_examples=300, deadline=None, derandomize=True)
 @given(st.lists(st.lists(st.binary(max_size=6).map(lambda b: bytes(x % 3 for x in b)), max_size=12), min_size=1, max_size=7))
 def test_loser_tree_sorts_and_knows_prefixes(lists):
