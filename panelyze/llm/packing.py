@@ -23,13 +23,15 @@ bytes an id; ranks are a running number within a partition plus the counts of
 the partitions before; histogram and plan are bounded by the window.
 
 Defined cases: a null or empty text is the end id alone; a text of any length is
-cut whole; rows that repeat are documents of their own; an empty table gives an
+cut whole; the strings of added tokens (``<|endoftext|>``) have those tokens'
+ids; rows that repeat are documents of their own; an empty table gives an
 empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import deque
@@ -58,6 +60,8 @@ _ENCODERS: dict[str, "WordEncoder"] = {}
 class WordEncoder:
     """Byte-level BPE ids of a text, looked up word by word.
 
+    The added tokens of the vocabulary's JSON stand for their own ids; a text is
+    cut at them, the longest first, and the parts are encoded apart.
     The vocabulary's split pattern always starts a new token at a space that a
     non-space follows, so a text cut there can be encoded part by part, and most
     parts repeat.  Texts with other white space after a space are encoded whole.
@@ -71,7 +75,14 @@ class WordEncoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.json = public_tokenizers.path(f"{vocabulary}.json")
         self.bpe = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.dtype = np.uint16 if len(ranks) < 1 << 16 else np.uint32
+        with open(self.json, encoding="utf-8") as f:
+            added = json.load(f)["added_tokens"]
+        if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added tokens of {vocabulary} are not plain strings")
+        self.added = {t["content"]: t["id"] for t in added}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.at_added = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+        self.dtype = np.uint16 if max([len(ranks) - 1, *self.added.values()]) < 1 << 16 else np.uint32
         self.known: dict[str, bytes] = {}
         self.plain = None
         self.odd_space = re.compile(r" (?:\s|$)").search
@@ -87,6 +98,15 @@ class WordEncoder:
         return np.array(self.bpe.encode_ordinary(text), self.dtype).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self.at_added is None or not self.at_added.search(text):
+            return self.ordinary(text)
+        parts = self.at_added.split(text)
+        # Every second part is an added token.
+        return b"".join(
+            np.array([self.added[p]], self.dtype).tobytes() if i % 2 else self.ordinary(p) for i, p in enumerate(parts)
+        )
+
+    def ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         if self.odd_space(text):

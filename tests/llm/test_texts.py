@@ -289,6 +289,33 @@ def test_word_by_word_ids_are_the_tokenizers(text):
     assert np.frombuffer(enc(text), enc.dtype).tolist() == _T.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "\n", "a", "Ab é", "漢7", "'s "]), max_size=12).map("".join))
+def test_added_tokens_have_the_ids_of_the_plain_call(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")) if "_P" not in globals() else _P
+    globals()["_P"] = plain
+    enc = packing.encoder("byte_bpe_50k")
+    assert np.frombuffer(enc(text), enc.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_texts_with_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    # The last holds a run for the library without depth limit.
+    texts = ["a <|endoftext|> b", "<|endoftext|>" * 1500, "x" * 150_000 + "<|endoftext|> y", "no token"]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for i, t in enumerate(texts):
+        ids = np.array(plain.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        mine = [r for r in rows if r.doc_id == i]
+        assert sum(r.length for r in mine) == len(ids) and {r.doc_tokens for r in mine} == {len(ids)}
+        assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in mine)
+
+
 def test_mix_targets_and_copies(docs):
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count()
