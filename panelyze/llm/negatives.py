@@ -11,7 +11,7 @@ into blocks of about ``BLOCK`` rows.  Each block is one compressed cover tree:
 a point stands once, at its highest level; its children lie within
 ``BASE ** level`` of it, level by level, and with every point goes the
 distance to its farthest descendant.  An anchor's search
-opens the node with the highest bound first, skips nodes that cannot reach any
+opens the nodes with the highest bounds first (``AT_ONCE`` at a time), skips nodes that cannot reach any
 open window or whose bound is under what has been found, and scores the points
 of opened nodes exactly, in integers.
 
@@ -50,6 +50,8 @@ ANCHOR_STEP, RELABEL_STEP, LABELS = 100, 7, 10
 POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH, WHOLE = 30, 90, 100
 BLOCK, LEAF, BASE = 4096, 48, 1.3
+# Nodes opened together, the best of the agenda.
+AT_ONCE = 16
 PIVOTS, SAMPLE = 512, 8192
 EXACT = 1 << 53
 
@@ -149,15 +151,14 @@ def cover_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tree:
-    """A block's tree, ready to be searched."""
+    """A block's tree, ready to be searched; the children of a point stand side by side."""
 
     def __init__(self, vectors: np.ndarray, square: float, ids, labels, rids, parent, radius):
-        self.vectors, self.square, self.radius = vectors, square, radius
-        self.ids, self.labels, self.rids = ids, labels, rids
         order = np.argsort(parent, kind="stable")
         cuts = np.searchsorted(parent[order], np.arange(len(parent) + 1))
-        self.below = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        self.root = int(order[0])
+        self.first, self.last = cuts[order], cuts[order + 1]
+        self.square, self.vectors, self.radius = square, np.ascontiguousarray(vectors[order]), radius[order]
+        self.ids, self.labels, self.rids = ids[order], labels[order], rids[order]
 
     def search(self, q, rid: int, label: int, same: bool, low: np.ndarray, high: np.ndarray, k: int):
         """For each window [low, high]: positions and scores of its best ``k`` rows."""
@@ -168,7 +169,7 @@ class Tree:
         top = high.max()
 
         def take(rows, score):
-            fits = (self.labels[rows] == label) == same
+            fits = ((self.labels[rows] == label) == same) & (score >= need.min()) & (score <= top)
             fits &= self.rids[rows] != rid
             rows, score = rows[fits], score[fits]
             for w in range(n):
@@ -176,32 +177,36 @@ class Tree:
                 if not ok.any():
                     continue
                 r, s = np.r_[found[w][0], rows[ok]], np.r_[found[w][1], score[ok]]
+                if len(r) > k:
+                    # The k-th best score; equal scores may still win by their id.
+                    need[w] = max(need[w], np.partition(s, -k)[-k])
+                    r, s = r[s >= need[w]], s[s >= need[w]]
                 best = np.lexsort((self.rids[r], self.ids[r], -s))[:k]
                 found[w] = r[best], s[best]
-                if len(best) == k:
-                    # Equal scores may still win by their id.
-                    need[w] = max(need[w], s[best[-1]])
-
-        root = np.array([self.root])
-        score = self.vectors[root] @ q
-        take(root, score)
-        up, down = ball_bounds(score, self.radius[root], qq, self.square)
-        agenda = [(-min(up[0], top), self.root, up[0], down[0])]
-        while agenda:
-            _, node, up, down = heapq.heappop(agenda)
-            if not ((up >= need) & (down <= high)).any():
-                continue
-            rows = self.below[node]
+
+        def opened(rows):
+            """Scores some points and puts those with children that may matter on the agenda."""
             score = self.vectors[rows] @ q
             take(rows, score)
-            inner = self.radius[rows] > 0
-            inner |= np.fromiter((len(self.below[r]) > 0 for r in rows), bool, len(rows))
+            inner = self.last[rows] > self.first[rows]
             if inner.any():
-                rows, score = rows[inner], score[inner]
-                ups, downs = ball_bounds(score, self.radius[rows], qq, self.square)
-                open_ = ((ups[:, None] >= need) & (downs[:, None] <= high)).any(1)
-                for r, u, d in zip(rows[open_].tolist(), ups[open_].tolist(), downs[open_].tolist()):
-                    heapq.heappush(agenda, (-min(u, top), r, u, d))
+                rows = rows[inner]
+                ups, downs = ball_bounds(score[inner], self.radius[rows], qq, self.square)
+                reach = ((ups[:, None] >= need) & (downs[:, None] <= high)).any(1)
+                for i, u, d in zip(rows[reach].tolist(), ups[reach].tolist(), downs[reach].tolist()):
+                    heapq.heappush(agenda, (-min(u, top), i, u, d))
+
+        agenda: list[tuple[float, int, float, float]] = []
+        # The root stands first.
+        opened(np.array([0]))
+        while agenda:
+            best = []
+            while agenda and len(best) < AT_ONCE:
+                _, node, up, down = heapq.heappop(agenda)
+                if ((up >= need) & (down <= high)).any():
+                    best.append(np.arange(self.first[node], self.last[node]))
+            if best:
+                opened(np.concatenate(best))
         return found
 
 
