@@ -8,8 +8,8 @@ is no piece at the end becomes its UTF-8 bytes.
 
 A pair can only merge where the vocabulary has a piece with these two
 characters side by side.  So a text falls into stretches that never touch each
-other, between a character and a word mark behind it and around characters that
-no longer piece holds, and each distinct stretch is merged once per worker.
+other, between a character and a word mark behind it and wherever else no piece holds
+the two characters so; ids of stretches are remembered by the worker.
 
 Every Arrow batch is checked against the sentencepiece library: the ids must be
 the library's own ids, else the job fails.  Decoding is the library's.
@@ -29,9 +29,9 @@ own, raise an error.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -47,6 +47,28 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 BLOCK_CHARS = 1 << 20
 CACHED_STRETCHES = 300_000
+# Up to so many symbols, a look through all pairs is cheaper than a heap.
+SHORT = 40
+
+
+class Known(dict):
+    """Ids of stretches, found when first asked for; when full, what the last ``limit`` entries do not hold goes."""
+
+    def __init__(self, find, limit: int = CACHED_STRETCHES):
+        super().__init__()
+        self.find, self.limit, self.older = find, limit, {}
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.find(text)
+        # Long stretches hardly come again.
+        if len(text) <= 64:
+            if len(self) >= self.limit:
+                self.older = dict(self)
+                self.clear()
+            self[text] = ids
+        return ids
 
 
 class Merger:
@@ -64,10 +86,15 @@ class Merger:
         if any(p.type in (kind.USER_DEFINED, kind.UNUSED) for p in model.pieces):
             raise ValueError("the model has user-defined or unused pieces")
         self.prefix = MARK if norm.add_dummy_prefix else ""
-        self.pieces = {p.piece: (-p.score, i) for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
+        normal = {p.piece: (p.score, i) for i, p in enumerate(model.pieces) if p.type == kind.NORMAL}
+        self.ids = {p: i for p, (_, i) in normal.items()}
+        # Equal scores have equal places.
+        place = {score: at for at, score in enumerate(sorted({score for score, _ in normal.values()}, reverse=True))}
+        self.places = {p: place[score] for p, (score, _) in normal.items()}
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == kind.BYTE}
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == kind.UNKNOWN)
-        long = [p for p in self.pieces if len(p) > 1]
+        long = [p for p in normal if len(p) > 1]
+        self.touching = {a + b for p in long for a, b in zip(p, p[1:])}
         inner = sorted(set("".join(long)) - {MARK})
         some = "[" + "".join(map(re.escape, inner)) + "]"
         if any(MARK in p.lstrip(MARK) for p in long):
@@ -75,61 +102,88 @@ class Merger:
             self.stretch = re.compile(f"(?:{MARK}|{some})+|.", re.DOTALL)
         else:
             self.stretch = re.compile(f"{MARK}*{some}+|{MARK}+|.", re.DOTALL)
-        self.known: dict[str, list[int]] = {}
+        self.known = Known(self.stretch_ids)
 
-    def merged(self, text: str) -> list[str]:
-        """The symbols that are left of a stretch when no pair merges any more."""
-        n, pieces = len(text), self.pieces
+    def merged_short(self, text: str) -> list[str]:
+        """As ``merged``; the agenda is a list in order of place in the text, whose best entry is looked for."""
+        place, none = self.places.get, len(self.places)
         symbols = list(text)
-        before, behind = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda: list[tuple[float, int, int, int]] = []
+        agenda = [place(text[i : i + 2], none) for i in range(len(text) - 1)]
+        while agenda and (best := min(agenda)) != none:
+            # The first of equals.
+            i = agenda.index(best)
+            symbol = symbols[i] = symbols[i] + symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = place(symbol + symbols[i + 1], none)
+            if i:
+                agenda[i - 1] = place(symbols[i - 1] + symbol, none)
+        return symbols
 
-        def offer(left: int, right: int) -> None:
-            piece = pieces.get(symbols[left] + symbols[right])
-            if piece is not None:
-                heapq.heappush(agenda, (piece[0], left, right, len(symbols[left]) + len(symbols[right])))
+    def merged(self, text: str) -> list[str]:
+        """The symbols that are left of a stretch when no pair merges any more.
 
+        The agenda is a heap, ordered by score and then by place in the text.
+        ``offered[i]`` is the place of the pair that now starts at i (-1: no
+        piece); entries of the agenda that say otherwise are out of date.
+        """
+        n, place = len(text), self.places.get
+        symbols = list(text)
+        before, behind, offered = list(range(-1, n - 1)), list(range(1, n + 1)), [-1] * n
+        agenda = []
         for i in range(n - 1):
-            offer(i, i + 1)
+            at = place(text[i : i + 2])
+            if at is not None:
+                offered[i] = at
+                agenda.append(at << 32 | i)
+        heapify(agenda)
         while agenda:
-            _, left, right, size = heapq.heappop(agenda)
-            # One of the two has been merged since.
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
+            entry = heappop(agenda)
+            left = entry & 0xFFFFFFFF
+            if offered[left] != entry >> 32:
                 continue
-            symbols[left] += symbols[right]
+            right = behind[left]
+            symbol = symbols[left] = symbols[left] + symbols[right]
             symbols[right] = ""
+            offered[right] = offered[left] = -1
             follows = behind[left] = behind[right]
             if follows < n:
                 before[follows] = left
-                offer(left, follows)
-            if before[left] >= 0:
-                offer(before[left], left)
+                at = place(symbol + symbols[follows])
+                if at is not None:
+                    offered[left] = at
+                    heappush(agenda, at << 32 | left)
+            first = before[left]
+            if first >= 0:
+                at = place(symbols[first] + symbol)
+                if at is None:
+                    offered[first] = -1
+                else:
+                    offered[first] = at
+                    heappush(agenda, at << 32 | first)
         return [s for s in symbols if s]
 
-    def stretch_ids(self, text: str) -> list[int]:
-        known = self.known
-        ids = known.get(text)
-        if ids is None:
-            ids = []
-            for s in self.merged(text):
-                if (piece := self.pieces.get(s)) is not None:
-                    ids.append(piece[1])
-                elif self.bytes:
-                    ids.extend(self.bytes[b] for b in s.encode("utf-8"))
-                else:
-                    ids.append(self.unknown)
-            if len(known) >= CACHED_STRETCHES:
-                known.clear()
-            # Long stretches hardly come again.
-            if len(text) <= 64:
-                known[text] = ids
-        return ids
+    def stretch_ids(self, text: str) -> tuple[int, ...]:
+        touching = self.touching
+        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in touching]
+        if cuts:
+            parts = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+            return tuple(chain.from_iterable(map(self.known.__getitem__, parts)))
+        ids = []
+        for s in self.merged_short(text) if len(text) <= SHORT else self.merged(text):
+            if (piece := self.ids.get(s)) is not None:
+                ids.append(piece)
+            elif self.bytes:
+                ids.extend(self.bytes[b] for b in s.encode("utf-8"))
+            else:
+                ids.append(self.unknown)
+        return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         marked = self.prefix + text.replace(" ", MARK)
-        return list(chain.from_iterable(map(self.stretch_ids, self.stretch.findall(marked))))
+        return list(chain.from_iterable(map(self.known.__getitem__, self.stretch.findall(marked))))
 
 
 _MERGERS: dict[str, tuple[Merger, sentencepiece.SentencePieceProcessor]] = {}
@@ -182,6 +236,14 @@ def encoded_parts(texts: list[str], path: str) -> Iterator[tuple[int, list[int],
         yield from flush()
 
 
+class Names(dict):
+    """Ids as text."""
+
+    def __missing__(self, i: int) -> str:
+        name = self[i] = str(i)
+        return name
+
+
 def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
@@ -209,6 +271,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: ``encode`` with its columns digested as they are made."""
 
     def run(batches):
+        names = Names()
         for batch in batches:
             rows, last = [], -1
             for i, ids, decoded in encoded_parts(_texts(batch), path):
@@ -216,7 +279,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     rows.append([0, hashlib.sha256(), hashlib.sha256()])
                 row, more, last = rows[-1], i == last, i
                 if ids:
-                    row[1].update(("," if row[0] else "").encode() + ",".join(map(str, ids)).encode())
+                    row[1].update(("," if row[0] else "").encode() + ",".join(map(names.__getitem__, ids)).encode())
                 row[2].update((" " if more else "").encode() + decoded.encode("utf-8"))
                 row[0] += len(ids)
             out = [

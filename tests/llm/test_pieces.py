@@ -27,6 +27,7 @@ def test_agenda_equals_library(text):
     text = text.encode("utf-8", "ignore").decode()
     own, _ = pieces.merger(PATH)
     assert own.encode(text) == LIBRARY.encode(text)
+    assert own.merged(text) == own.merged_short(text)
 
 
 @given(st.text(alphabet=st.sampled_from("ab ▁\n"), max_size=80), st.integers(1, 10))
