@@ -11,8 +11,9 @@ characters side by side.  So a text falls into stretches that never touch each
 other, between a character and a word mark behind it and wherever else no piece holds
 the two characters so; ids of stretches are remembered by the worker.
 
-Every Arrow batch is checked against the sentencepiece library: the ids must be
-the library's own ids, else the job fails.  Decoding is the library's.
+With every Arrow batch, the stretches that were merged for it are checked against
+the sentencepiece library, all of them, each when it is merged: the ids must be
+the library's own, else the job fails.  Decoding is the library's.
 
 Scale: one pass over the documents without a shuffle; a task holds one Arrow
 batch, and the ids of about ``BLOCK_CHARS`` characters.
@@ -45,6 +46,7 @@ from panelyze.llm.common import blocks, table
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
+BREAK = "\n"
 BLOCK_CHARS = 1 << 20
 CACHED_STRETCHES = 300_000
 # Up to so many symbols, a look through all pairs is cheaper than a heap.
@@ -103,6 +105,10 @@ class Merger:
         else:
             self.stretch = re.compile(f"{MARK}*{some}+|{MARK}+|.", re.DOTALL)
         self.known = Known(self.stretch_ids)
+        # Merged since the last check.
+        self.fresh: list[tuple[str, tuple[int, ...]]] = []
+        if BREAK in inner:
+            raise ValueError("a piece holds the line break that parts stretches in the check")
 
     def merged_short(self, text: str) -> list[str]:
         """As ``merged``; the agenda is a list in order of place in the text, whose best entry is looked for."""
@@ -177,8 +183,21 @@ class Merger:
                 ids.extend(self.bytes[b] for b in s.encode("utf-8"))
             else:
                 ids.append(self.unknown)
+        self.fresh.append((text, tuple(ids)))
         return tuple(ids)
 
+    def check(self, library: sentencepiece.SentencePieceProcessor) -> None:
+        """Compare what was merged since the last check with the library, as lines of one text."""
+        fresh, self.fresh = self.fresh, []
+        if not fresh:
+            return
+        text = BREAK + BREAK.join(s.replace(MARK, " ") for s, _ in fresh)
+        between = tuple(self.bytes[b] for b in BREAK.encode()) if self.bytes else (self.unknown,)
+        between = (self.ids[BREAK],) if BREAK in self.ids else between
+        first = (self.ids.get(self.prefix, self.unknown),) if self.prefix else ()
+        if library.encode(text) != list(chain(first, chain.from_iterable(between + ids for _, ids in fresh))):
+            raise AssertionError("the agenda's ids differ from the sentencepiece library's")
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
@@ -215,15 +234,14 @@ def text_parts(text: str, limit: int = BLOCK_CHARS, prefix: bool = True) -> Iter
 
 
 def encoded_parts(texts: list[str], path: str) -> Iterator[tuple[int, list[int], str]]:
-    """``(text's number, ids, decoded)`` for the parts of each text, in order; checked against the library."""
+    """``(text's number, ids, decoded)`` for the parts of each text, in order; nothing comes out unchecked."""
     own, library = merger(path)
     parts = ((i, p) for i, t in enumerate(texts) for p in text_parts(t, prefix=bool(own.prefix)))
     held, size = [], 0
 
     def flush():
         ids = [own.encode(p) for _, p in held]
-        if ids != library.encode([p for _, p in held], num_threads=1):
-            raise AssertionError("the agenda's ids differ from the sentencepiece library's")
+        own.check(library)
         yield from zip((i for i, _ in held), ids, library.decode(ids))
 
     for i, p in parts:

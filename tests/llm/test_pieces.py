@@ -63,10 +63,25 @@ def test_long_text_in_parts(spark, monkeypatch):
 
 
 def test_a_difference_from_the_library_is_an_error(monkeypatch):
-    own, _ = pieces.merger(PATH)
-    monkeypatch.setattr(own, "encode", lambda text: [5])
+    own = pieces.Merger(PATH)
+    own.encode("some text\n\n  with ▁ marks, 漢字 and ü\u0000")
+    own.check(LIBRARY)
+    assert own.fresh == []
+    # Left to right instead of by score.
+    monkeypatch.setattr(own, "merged_short", lambda text: list(text))
+    own.encode("unmerged")
     with pytest.raises(AssertionError):
-        list(pieces.encoded_parts(["some text"], PATH))
+        own.check(LIBRARY)
+
+
+@given(st.text(alphabet=st.sampled_from("abcdeth  ▁.,\n\t'é漢<0xA>\u0000🙂"), max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_check_accepts_what_the_library_gives(text):
+    own, _ = pieces.merger(PATH)
+    own.known.clear()
+    own.known.older.clear()
+    own.encode(text)
+    own.check(LIBRARY)
 
 
 def test_empty_table(spark):
