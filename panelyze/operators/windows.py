@@ -15,10 +15,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelyze.session import materialize
-
-# Row limit for an eagerly checked broadcast (see ``join_small``).
-
 
 def entity_window(entity: str | Sequence[str], period: str) -> Window:
     keys = [entity] if isinstance(entity, str) else list(entity)
@@ -114,96 +110,3 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     partial per-partition top-k before the shuffle (WindowGroupLimit).
     """
     return df.withColumn(rank_col, rank_within(group, order)).where(F.col(rank_col) <= k)
-
-
-def _sorts_before(t: Column, value: Column, entity: Column) -> Column:
-    """``t`` precedes (value, entity) in ``value DESC NULLS LAST, entity ASC``."""
-    tv, te = t["v"], t["e"]
-    return (tv.isNotNull() & (value.isNull() | (tv > value))) | (tv.eqNullSafe(value) & (te < entity))
-
-
-def row_numbers_of_selected(
-    df: DataFrame,
-    candidates: DataFrame,
-    group: Sequence[str],
-    entity: str,
-    metrics: Mapping[str, str],
-) -> DataFrame:
-    """Add ``ROW_NUMBER() OVER (PARTITION BY group ORDER BY metric DESC NULLS
-    LAST, entity)`` columns, ranked among all rows of ``df``, to the few
-    ``candidates`` rows of each group, exactly, without sorting a whole group
-    in one task.
-
-    ``candidates`` are rows of ``df`` (for instance the union of a few
-    top-k lists).  They are written once (a small, bounded table; this runs
-    when the plan is built) and their sort keys gathered per group into a
-    short array.  Whether that is broadcast is left to the planner, which
-    knows its bytes.  Every row of ``df`` counts how many candidates sort
-    strictly before it (``pos``).  The candidate with row number k has
-    ``pos = k - 1`` and its row number is the number of rows with
-    ``pos <= k - 1``: a cumulative sum over the per-group histogram of
-    ``pos``, which is aggregated partially before its shuffle and holds at
-    most one entry per candidate plus one.
-
-    ``(group, entity)`` must be unique.
-    """
-    keys = [*group, entity]
-    names = list(metrics)
-    cand = materialize(candidates.dropDuplicates(keys), "rank-candidates")
-    arrays = cand.groupBy(*group).agg(
-        *[
-            agg
-            for n, m in metrics.items()
-            for agg in (
-                F.collect_list(F.struct(F.col(m).alias("v"), F.col(entity).alias("e"))).alias(f"_a_{n}"),
-                F.min(m).alias(f"_lo_{n}"),
-                F.max(m).alias(f"_hi_{n}"),
-                F.count(m).alias(f"_nn_{n}"),
-            )
-        ]
-    )
-
-    def before_row(v: Column, e: Column):
-        return lambda t: _sorts_before(t, v, e)
-
-    def position(n: str, m: str) -> Column:
-        # Above every candidate: none before it.  Below every candidate: all
-        # non-NULL candidates before it.  Otherwise count in the array.
-        v = F.col(m)
-        return (
-            F.when(v.isNotNull() & (v > F.col(f"_hi_{n}")), F.lit(0))
-            .when(v.isNotNull() & (v < F.col(f"_lo_{n}")), F.col(f"_nn_{n}").cast("int"))
-            .otherwise(F.size(F.filter(f"_a_{n}", before_row(v, F.col(entity)))))
-            .alias(f"_p_{n}")
-        )
-
-    # Rows of groups without candidates cannot change any row number.
-    with_pos = df.select(*keys, *metrics.values()).join(arrays, list(group), "inner").select(
-        *group, *[position(n, m) for n, m in metrics.items()]
-    )
-    stacked = with_pos.select(
-        *group,
-        F.explode(F.array(*[F.struct(F.lit(n).alias("o"), F.col(f"_p_{n}").alias("p")) for n in names])).alias("_s"),
-    ).select(*group, F.col("_s.o").alias("_o"), F.col("_s.p").alias("_pos"))
-    hist = stacked.groupBy(*group, "_o", "_pos").agg(F.count(F.lit(1)).alias("_n"))
-    cum = hist.withColumn(
-        "_rank",
-        F.sum("_n").over(
-            Window.partitionBy(*group, "_o").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-    )
-    # A candidate's pos is the number of candidates before it: a window over
-    # the candidates of its group only.  All metrics meet the one histogram in
-    # one join.
-    own = [
-        F.struct(
-            F.lit(n).alias("o"),
-            (F.row_number().over(Window.partitionBy(*group).orderBy(F.col(m).desc_nulls_last(), F.col(entity))) - 1).alias("p"),
-        )
-        for n, m in metrics.items()
-    ]
-    placed = cand.select(*keys, F.array(*own).alias("_own")).select(*keys, F.explode("_own").alias("_s"))
-    placed = placed.select(*keys, F.col("_s.o").alias("_o"), F.col("_s.p").alias("_pos"))
-    ranks = placed.join(cum.select(*group, "_o", "_pos", "_rank"), [*group, "_o", "_pos"], "left")
-    wide = ranks.groupBy(*keys).pivot("_o", names).agg(F.first("_rank").cast("int"))
-    return cand.join(wide, keys)

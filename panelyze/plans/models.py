@@ -43,6 +43,7 @@ from panelyze.functions.numeric import (
 from panelyze.operators.aggregate import count_labels, mode_of_labels, sample_values
 from panelyze.operators.combine import enrich, restrict_to_dim
 from panelyze.operators.filters import NON_SOVEREIGN_PATTERNS, not_like_any, nonempty
+from panelyze.operators.ordinals import top_row_numbers
 from panelyze.operators.quality import unique_violations
 from panelyze.operators.windows import (
     attach_group_stats,
@@ -50,8 +51,6 @@ from panelyze.operators.windows import (
     exact_lag_present,
     exact_lag_value,
     lag_value,
-    row_numbers_of_selected,
-    top_k_per_group,
 )
 
 
@@ -625,9 +624,9 @@ def top_emitters(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
 
     Yearly totals are a ``groupBy(year)`` joined back behind a size check.
     The three rankings are row numbers within the year, ties broken by
-    country so the result is deterministic.  They are computed for the
-    candidate rows only (``row_numbers_of_selected``), so no year is ever
-    sorted in a single task.
+    country so the result is deterministic.  They are counted over ranges
+    (``ordinals.top_row_numbers``), so no year is ever sorted in a single
+    task; the few numbered rows are written when the plan is built.
     """
     rows = panel.where(F.col(HAS_EMISSIONS) & F.col(HAS_SOCIO) & (F.col("population") > 0)).select(
         "country",
@@ -644,19 +643,9 @@ def top_emitters(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFrame:
         safe_divide(TOTAL, "population").alias("_epc"),
         intensity_guarded(TOTAL, "gdp_per_capita", "population", p.gdp_unit).alias("_epmg"),
     )
-    # Candidates: the top ``top_n`` of each year by total and by per-head
-    # emissions (row-number filters, planned as partial top-k).
-    order_e = [F.col(TOTAL).desc_nulls_last(), F.col("country")]
-    order_p = [F.col("_epc").desc_nulls_last(), F.col("country")]
-    top_e = top_k_per_group(rows, ["year"], order_e, p.top_n, "_r").drop("_r")
-    top_p = top_k_per_group(rows, ["year"], order_p, p.top_n, "_r").drop("_r")
-    ranked = row_numbers_of_selected(
-        rows,
-        top_e.unionByName(top_p),
-        ["year"],
-        "country",
-        {"emissions_rank": TOTAL, "per_capita_rank": "_epc", "carbon_intensity_rank": "_epmg"},
-    ).where((F.col("emissions_rank") <= p.top_n) | (F.col("per_capita_rank") <= p.top_n))
+    ranks = {"emissions_rank": TOTAL, "per_capita_rank": "_epc", "carbon_intensity_rank": "_epmg"}
+    top = top_row_numbers(rows, ["year"], "country", ranks, ["emissions_rank", "per_capita_rank"], p.top_n)
+    ranked = rows.join(top, ["year", "country"])
     with_tot = attach_group_stats(
         ranked,
         ["year"],

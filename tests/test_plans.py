@@ -72,3 +72,25 @@ def test_group_stats_join_not_a_window(panel):
     full = plan_of(M.gdp_correlation(panel))
     assert "avg_regional" not in re.sub(r"\s+", "", "".join(re.findall(r"Window \(\d+\).*", full)))
     assert re.search(r"HashAggregate.*\n.*Keys \[2\]: \[year#\d+, region#\d+\]", full) or "Keys [2]: [year" in full
+
+
+def test_top_emitters_counts_over_ranges(spark, panel):
+    from panelyze.session import materialize
+
+    rows = materialize(panel, "plan-panel", ["year"])
+    plan = plan_of(M.top_emitters(rows))
+    assert tree(plan).count("Scan parquet") <= 3
+    assert "lambda" not in plan and "collect_list" not in plan and "row_number()" not in plan
+
+
+def test_top_row_numbers_uses_no_window_over_a_group(spark, panel, monkeypatch):
+    from panelyze.operators import ordinals
+
+    made = []
+    monkeypatch.setattr(ordinals, "materialize", lambda df, name: made.append(df) or df)
+    ordinals.top_row_numbers(panel, ["year"], "country", {"r": M.TOTAL}, ["r"], 2)
+    ranged, numbered = (plan_of(df) for df in made)
+    assert "rangepartitioning(year" in ranged and "Window" not in ranged
+    # The one window counts ranges, after an aggregation.
+    specs = re.findall(r"windowspecdefinition\(([^)]*)\)", numbered)
+    assert specs and all("_range" in s for s in specs)
