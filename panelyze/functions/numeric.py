@@ -51,31 +51,67 @@ def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     return F.signum(x) * total / F.lit(10.0**scale) + F.lit(0.0)
 
 
-def exact_sum_decimal(c: ColumnOrName, scale: int = 9) -> Column:
-    """Sum of a double column as DECIMAL(38, scale): every value enters with the
-    decimal digits it prints with, and nothing is rounded before the sum.
+# Bits of the low limb of a value in cents.
+_LOW_BITS = 24
+# What an aggregation may have met besides finite values.
+_POS_INF, _NEG_INF, _NAN = 1, 2, 4
+
+
+def _is_finite(x: Column) -> Column:
+    # NaN is above infinity in Spark's order.
+    return F.abs(x) < F.lit(float("inf"))
+
 
-    A double sum depends on the order rows arrive in, and so on partitioning
-    and on AQE coalescing; this one does not.  Values with at most two
-    decimals are added as whole cents (longs, which stay in generated code and
-    raise an error rather than overflow); only the others become decimals.
+def exact_sum_decimal(c: ColumnOrName, scale: int = 9) -> Column:
+    """Sum of the finite values of a double column as DECIMAL(38, scale); see ``nonfinite_seen`` for the others.
+
+    Every value enters with the decimal digits it prints with, of which those
+    behind ``scale`` are rounded off (half up), so the sum does not depend on
+    the order of rows, and so not on partitioning or on AQE coalescing.
+    Values below 1e13 with at most two decimals are added as whole cents in
+    two limbs, ``high * 2**24 + low``, both longs that stay in generated code:
+    each limb holds some 1e11 rows of the largest values.  The others are added
+    as decimals.  A value of 1e28 or more, or a sum beyond its type, is an
+    error, never a wrong number.
     """
     x = col(c).cast("double")
     cents = F.rint(x * F.lit(100.0))
     is_cents = (F.abs(x) < F.lit(1e13)) & (cents / F.lit(100.0) == x)
+    whole = cents.cast("long")
+    high = F.sum(F.when(is_cents, F.shiftright(whole, _LOW_BITS)))
+    low = F.sum(F.when(is_cents, whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))))
     # One digit less than the most there are: then the two sums add without losing a decimal.
     kind = f"decimal(37,{scale})"
-    by_cents = F.sum(F.when(is_cents, cents.cast("long")))
-    others = F.sum(F.when(~is_cents, x.cast(kind)))
-    both = F.coalesce((by_cents.cast("decimal(20,0)") * F.expr("0.01BD")).cast(kind), F.lit(0).cast(kind)) + F.coalesce(
-        others.cast(kind), F.lit(0).cast(kind)
-    )
+    others = F.sum(F.when(~is_cents & _is_finite(x), x.cast(kind)))
+    limb = F.lit(1 << _LOW_BITS).cast("decimal(8,0)")
+    in_cents = high.cast("decimal(19,0)") * limb + low.cast("decimal(19,0)")
+    zero = F.lit(0).cast(kind)
+    both = F.coalesce((in_cents * F.expr("0.01BD")).cast(kind), zero) + F.coalesce(others.cast(kind), zero)
     return F.when(F.count(x) > 0, both)
 
 
+def nonfinite_seen(c: ColumnOrName) -> Column:
+    """Aggregate: which of NaN, infinity and minus infinity a column holds, as bits (NULL for no rows)."""
+    x = col(c).cast("double")
+    inf = float("inf")
+    return F.bit_or(
+        F.when(F.isnan(x), _NAN).when(x == F.lit(inf), _POS_INF).when(x == F.lit(-inf), _NEG_INF).otherwise(0)
+    )
+
+
+def sum_with_nonfinite(total: Column, seen: Column) -> Column:
+    """A finite sum as a double, or what SQL makes of it where ``seen`` (see ``nonfinite_seen``) is not 0."""
+    return (
+        F.when(F.coalesce(seen, F.lit(0)) == 0, total.cast("double"))
+        .when(seen == _POS_INF, F.lit(float("inf")))
+        .when(seen == _NEG_INF, F.lit(float("-inf")))
+        .otherwise(F.lit(float("nan")))
+    )
+
+
 def exact_sum(c: ColumnOrName, scale: int = 9) -> Column:
-    """``exact_sum_decimal`` as the nearest double."""
-    return exact_sum_decimal(c, scale).cast("double")
+    """``exact_sum_decimal`` as the nearest double; NaN and infinities make it NaN or infinite, as in SQL."""
+    return sum_with_nonfinite(exact_sum_decimal(c, scale), nonfinite_seen(c))
 
 
 def exact_avg(c: ColumnOrName, scale: int = 9) -> Column:

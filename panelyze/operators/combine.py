@@ -107,11 +107,17 @@ def enrich(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, cols:
     return facts.join(d, fact_key, how)
 
 
-def join_single_period(left: DataFrame, right: DataFrame, entity: str = "country") -> DataFrame:
+def join_single_period(left: DataFrame, right: DataFrame, entity: str = "country", period: str | None = None) -> DataFrame:
     """Inner join on the entity only, for inputs that each hold one period.
 
-    Duplicate non-key names get suffixes.  On multi-period inputs this would
-    multiply rows; use ``merge_panels`` on ``(entity, period)`` instead.
+    Names that both sides have get suffixes.  Inputs of several periods would
+    multiply rows: name their ``period`` column and the join is made for every
+    period that both hold, each as if it stood alone.
     """
-    left, right = suffix_collisions(left, right, [entity], ("_1", "_2"))
-    return left.join(right, entity, "inner")
+    same = [entity]
+    if period:
+        right = right.withColumn("_period", F.col(period))
+        left = left.withColumn("_period", F.col(period))
+        same.append("_period")
+    left, right = suffix_collisions(left, right, same, ("_1", "_2"))
+    return left.join(right, same, "inner").drop("_period")

@@ -31,6 +31,7 @@ from panelyze.functions.numeric import (
     exact_sum_decimal,
     intensity_guarded,
     intensity_nullif,
+    nonfinite_seen,
     pct_change,
     pct_diff_from,
     round_half_up,
@@ -38,6 +39,7 @@ from panelyze.functions.numeric import (
     share_pct,
     share_pct_or_zero,
     sum_all,
+    sum_with_nonfinite,
     year_to_date,
 )
 from panelyze.operators.aggregate import count_labels, mode_of_labels, sample_values
@@ -344,24 +346,29 @@ def by_development(panel: DataFrame, p: ModelParams = ModelParams()) -> DataFram
     g = rows.groupBy("year", "income_category").agg(
         country_count(p).alias("country_count"),
         exact_sum_decimal(TOTAL).alias("_total"),
+        nonfinite_seen(TOTAL).alias("_total_seen"),
         *[exact_sum(c).alias(c) for c in GASES],
         round_half_up(exact_avg("emissions_per_capita"), 2).alias("avg_emissions_per_capita"),
         round_half_up(exact_avg("emissions_per_million_gdp"), 2).alias("avg_emissions_per_million_gdp"),
         exact_sum_decimal("population").alias("_population"),
+        nonfinite_seen("population").alias("_population_seen"),
         round_half_up(exact_avg("gdp_per_capita"), 2).alias("avg_gdp_per_capita"),
     )
     yearly = Window.partitionBy("year")
-    e_share = F.col("_total").cast("double") / F.sum("_total").over(yearly).cast("double")
-    p_share = F.col("_population").cast("double") / F.sum("_population").over(yearly).cast("double")
+    own = {c: sum_with_nonfinite(F.col(c), F.col(f"{c}_seen")) for c in ("_total", "_population")}
+    share = {
+        c: v / sum_with_nonfinite(F.sum(c).over(yearly), F.bit_or(f"{c}_seen").over(yearly)) for c, v in own.items()
+    }
+    e_share, p_share = share["_total"], share["_population"]
     return g.select(
         "year",
         "income_category",
         "country_count",
-        F.col("_total").cast("double").alias("total_emissions"),
+        own["_total"].alias("total_emissions"),
         *GASES,
         "avg_emissions_per_capita",
         "avg_emissions_per_million_gdp",
-        F.col("_population").cast("double").alias("total_population"),
+        own["_population"].alias("total_population"),
         "avg_gdp_per_capita",
         round_half_up(e_share * 100, 2).alias("percentage_of_global_emissions"),
         round_half_up(p_share * 100, 2).alias("percentage_of_global_population"),

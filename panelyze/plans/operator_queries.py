@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyze.functions.numeric import exact_sum, money_cents
+from panelyze.functions.numeric import exact_avg, exact_sum, money_cents
 from panelyze.operators import aggregate as A
 from panelyze.operators import clean as CL
 from panelyze.operators import quality as Q
@@ -172,22 +172,27 @@ def _lines_by_nation_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _by_key_year(df: DataFrame, key: str, date: str, money: str) -> DataFrame:
+    return df.groupBy(F.col(key).alias("country"), F.year(date).alias("year")).agg(
+        (F.sum(money_cents(money)) / 100.0).alias("revenue"), F.count(F.lit(1)).alias("n")
+    )
+
+
 def full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer-nation order totals vs supplier-nation shipped totals, merged
-    on (nation, year); shared names get ``_wb`` / ``_ct``.  Either side lacks
-    some keys, so all three cases of the full outer join occur."""
-    left = _orders_by_nation_year(spark, sf_dir).where(F.pmod(F.col("country") + F.col("year"), F.lit(7)) != 0)
-    right = _lines_by_nation_year(spark, sf_dir).where(F.pmod(F.col("country") + F.col("year"), F.lit(5)) != 0)
-    return merge_panels(left, right)
+    """Order totals by customer and year vs shipped totals by supplier and year, merged on
+    (key, year); shared names get ``_wb`` / ``_ct``.  There are more customers
+    than suppliers, some without orders, and more ship than order years, so all
+    three cases of the full outer join occur."""
+    left = _by_key_year(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice")
+    return merge_panels(left, _by_key_year(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate", "l_extendedprice"))
 
 
-def single_year_join(spark: SparkSession, sf_dir: str, year: int = 2000) -> DataFrame:
-    """Entity-only inner join of two single-year inputs."""
+def single_year_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity-only inner join of two single-year inputs, for every year in both."""
     from panelyze.operators.combine import join_single_period
 
-    a = _orders_by_nation_year(spark, sf_dir).where(F.col("year") == year)
-    b = _lines_by_nation_year(spark, sf_dir).where(F.col("year") == year)
-    return join_single_period(a, b, "country")
+    a, b = _orders_by_nation_year(spark, sf_dir), _lines_by_nation_year(spark, sf_dir)
+    return join_single_period(a, b, "country", "year")
 
 
 # ------------------------------------------------------------- aggregation
@@ -295,9 +300,22 @@ def entity_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_totals_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact (decimal) revenue per supplier nation, all years."""
-    li = _lines_by_nation_year(spark, sf_dir)
-    return li.groupBy("country").agg(exact_sum("revenue").alias("revenue"))
+    """Exact revenue per supplier nation, and of made groups: one that passes 1e18, with NaN, with either infinity.
+
+    ``special`` names a total that is no finite number, which ``revenue`` leaves out.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_quantity", "l_returnflag", "l_extendedprice")
+    large = li.select(F.explode(F.array(F.lit(9.9e12) + F.col("l_quantity"), F.lit(9.9e12 + 0.25))).alias("revenue"))
+    odd = lambda v: F.when(F.col("l_returnflag") == "A", F.lit(float(v))).otherwise(F.col("l_extendedprice"))
+    groups = {-2: "nan", -3: "inf", -4: "-inf"}
+    special = li.select(F.explode(F.array(*[F.struct(F.lit(k).alias("country"), odd(v).alias("revenue")) for k, v in groups.items()])).alias("r"))
+    rows = _lines_by_nation_year(spark, sf_dir).select("country", "revenue")
+    rows = rows.unionByName(large.select(F.lit(-1).alias("country"), "revenue")).unionByName(special.select("r.*"))
+    sums = rows.groupBy("country").agg(exact_sum("revenue").alias("v"))
+    sums = sums.unionByName(li.agg(exact_avg(odd("nan")).alias("v")).select(F.lit(-5).alias("country"), "v"))
+    finite = F.abs("v") < float("inf")
+    name = F.when(F.isnan("v"), "nan").when(F.col("v") > 0, "inf").otherwise("-inf")
+    return sums.select("country", F.when(finite, F.col("v")).alias("revenue"), F.when(~finite, name).alias("special"))
 
 
 # --------------------------------------------------------------- streaming

@@ -104,6 +104,7 @@ def _gap(column: str, side: int) -> str:
     return f"CASE c_custkey % {ODD['region']} {whens} ELSE {column} END"
 
 
+_CODE = f"CASE WHEN c_custkey % {ODD['no_dim']} <> 0 THEN c_custkey END"
 _FOREIGN = " OR ".join(f"contains(country_name, {q(w)})" for w in ("Territory", "Island", "Dependencies", "Dependency"))
 
 # Staged name of each source column, in the order of the staged panel.
@@ -118,18 +119,17 @@ STAGING = f"""
 staged AS (
   SELECT country, year, {', '.join(f'{s}::DOUBLE AS {d}' for d, s in _STAGED.items())}
   FROM combined
-  WHERE num_nulls(country, year, co2, ny_gdp_pcap_cd, sp_pop_totl) = 0
+  WHERE country IS NOT NULL AND year IS NOT NULL AND co2 IS NOT NULL AND ny_gdp_pcap_cd IS NOT NULL
+    AND sp_pop_totl IS NOT NULL
 ),
 places AS (
   SELECT * FROM (
-    SELECT c_name || {_SUFFIX} AS country_name, left(c_mktsegment, 2) AS alpha_2, c_custkey AS alpha_3,
+    SELECT c_name || {_SUFFIX} AS country_name, left(c_mktsegment, 2) AS alpha_2, {_CODE} AS alpha_3,
            c_nationkey AS country_code, {_gap('r_name', 1)} AS region, {_gap('n_name', 2)} AS sub_region
     FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
-    WHERE c_custkey % {ODD['no_dim']} <> 0
   ) named
   WHERE alpha_3 IS NOT NULL AND country_code IS NOT NULL AND NOT ({_FOREIGN})
-)""".replace("num_nulls(country, year, co2, ny_gdp_pcap_cd, sp_pop_totl) = 0",
-             " AND ".join(f"{c} IS NOT NULL" for c in ("country", "year", "co2", "ny_gdp_pcap_cd", "sp_pop_totl")))
+)"""
 
 _G20, _G100 = "co2e_20yr_global_warming_potential", "co2e_100yr_global_warming_potential"
 _LABELS = {
@@ -566,19 +566,33 @@ ct AS (
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2
 )"""
 
-FULL_OUTER_MERGE_SQL = f"""WITH {_NATION_SIDES}
+FULL_OUTER_MERGE_SQL = """
 SELECT COALESCE(wb.country, ct.country) AS country, COALESCE(wb.year, ct.year) AS year,
        wb.revenue AS revenue_wb, wb.n AS n_wb, ct.revenue AS revenue_ct, ct.n AS n_ct
-FROM (FROM wb WHERE (country + year) % 7 <> 0) wb
-FULL OUTER JOIN (FROM ct WHERE (country + year) % 5 <> 0) ct ON wb.country = ct.country AND wb.year = ct.year"""
+FROM (SELECT o_custkey AS country, CAST(year(o_orderdate) AS INTEGER) AS year,
+             CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS n
+      FROM orders GROUP BY 1, 2) wb
+FULL OUTER JOIN (SELECT l_suppkey AS country, CAST(year(l_shipdate) AS INTEGER) AS year,
+             CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS n
+      FROM lineitem GROUP BY 1, 2) ct ON wb.country = ct.country AND wb.year = ct.year"""
 
 SINGLE_YEAR_JOIN_SQL = f"""WITH {_NATION_SIDES}
 SELECT wb.country, wb.year AS year_1, wb.revenue AS revenue_1, wb.n AS n_1,
        ct.year AS year_2, ct.revenue AS revenue_2, ct.n AS n_2
-FROM (SELECT * FROM wb WHERE year = 2000) wb JOIN (SELECT * FROM ct WHERE year = 2000) ct ON wb.country = ct.country"""
+FROM wb JOIN ct ON wb.country = ct.country AND wb.year = ct.year"""
 
 SUPPLIER_TOTALS_SQL = f"""WITH {_NATION_SIDES}
-SELECT country, {XSUM('revenue')} AS revenue FROM ct GROUP BY country"""
+SELECT country, CASE WHEN isfinite(revenue) THEN revenue END AS revenue, CASE WHEN NOT isfinite(revenue) THEN revenue::VARCHAR END AS special
+FROM (
+  SELECT country, {XSUM('revenue')} AS revenue FROM ct GROUP BY country
+  UNION ALL SELECT -1, CAST(SUM(CAST(v AS DECIMAL(38,9))) AS DOUBLE)
+  FROM (SELECT 9900000000000 + CAST(l_quantity AS DECIMAL(38,9)) AS v FROM lineitem
+        UNION ALL SELECT 9900000000000.25 FROM lineitem)
+  UNION ALL SELECT -2, SUM(CASE l_returnflag WHEN 'A' THEN 'NaN'::DOUBLE ELSE l_extendedprice END) FROM lineitem
+  UNION ALL SELECT -3, SUM(CASE l_returnflag WHEN 'A' THEN 'Infinity'::DOUBLE ELSE l_extendedprice END) FROM lineitem
+  UNION ALL SELECT -4, SUM(CASE l_returnflag WHEN 'A' THEN '-Infinity'::DOUBLE ELSE l_extendedprice END) FROM lineitem
+  UNION ALL SELECT -5, AVG(CASE l_returnflag WHEN 'A' THEN 'NaN'::DOUBLE ELSE l_extendedprice END) FROM lineitem
+)"""
 
 SUM_BY_SUPPLIER_YEAR_SQL = "SELECT l_suppkey AS supplier, CAST(year(l_shipdate) AS INTEGER) AS year,\n" + ",\n".join(
     f"  COALESCE({XSUM(f'CASE WHEN l_returnflag = {q(f)} THEN l_extendedprice END')}, 0.0) AS flag_{f}"
@@ -602,9 +616,8 @@ GROUP BY region, year"""
 DISTINCT_COUNTRIES_SQL = with_base("SELECT DISTINCT country FROM combined")
 
 SOVEREIGN_NAMES_SQL = f"""
-SELECT c_custkey AS code, c_name || {_SUFFIX} AS name FROM customer
-WHERE c_custkey % {ODD['no_dim']} <> 0
-  AND NOT regexp_matches(c_name || {_SUFFIX}, 'Territory|Island|Dependenc(y|ies)')"""
+SELECT {_CODE} AS code, c_name || {_SUFFIX} AS name FROM customer
+WHERE NOT regexp_matches(c_name || {_SUFFIX}, 'Territory|Island|Dependenc(y|ies)')"""
 
 _CHECK_COLS = ("population", "gdp_per_capita", "life_expectancy", "school_enrollment", "gini_index")
 NULL_COUNTS_SQL = with_base(

@@ -11,8 +11,8 @@ and a country dimension.  From the order tables we build:
 * the remaining indicators are deterministic functions of the key, in 0..110,
   with a NULL for one residue each, so every ladder band is exercised;
 * the dimension is customer -> nation (sub-region) -> region;
-* fixed residues of the key make the odd rows: entities without a dimension
-  row, names that match each non-sovereign pattern, NULL and empty regions,
+* fixed residues of the key make the odd rows: entities whose seed row has no
+  code, names that match each non-sovereign pattern, NULL and empty regions,
   years with no gases or no population, and a NULL entity (see ``ODD``).
 
 Plan shape: lineitem is reduced to one row per order (partial aggregation
@@ -58,7 +58,7 @@ WEIGHTS_20YR = (1.0, 84.0, 264.0)
 
 
 # The rows that make filters, joins and masks matter.  Entity
-# keys divisible by ``no_dim`` have no dimension row, those divisible by
+# keys divisible by ``no_dim`` have no code in the seed, those divisible by
 # ``null_key`` become the NULL entity; a name's suffix and an absent region
 # follow the key's residue; a year has no gases or no population where the
 # residue of key and year is 0.
@@ -144,14 +144,14 @@ def countries_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for residue, upper, lower in REGION_GAPS:
         area = area if upper == "kept" else F.when(gap == residue, F.lit(upper)).otherwise(area)
         part = part if lower == "kept" else F.when(gap == residue, F.lit(lower)).otherwise(part)
-    cust = cust.where(F.pmod(key, F.lit(ODD["no_dim"])) != 0)
+    code = F.when(F.pmod(key, F.lit(ODD["no_dim"])) != 0, key)
     return (
         cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
         .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
         .select(
             F.concat("c_name", suffix).alias("name"),
             F.substring("c_mktsegment", 1, 2).alias("alpha-2"),
-            F.col("c_custkey").alias("alpha-3"),
+            code.alias("alpha-3"),
             F.col("c_nationkey").alias("country-code"),
             area.alias("region"),
             part.alias("sub-region"),

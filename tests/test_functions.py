@@ -1,5 +1,7 @@
 """Scalar functions and classification ladders at their boundaries."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +35,27 @@ def test_exact_sum_independent_of_order(spark):
     assert a == b == 1000000.01
 
 
+def test_exact_sum_beyond_a_long_of_cents(spark):
+    n = 30000
+    df = spark.range(n).select((F.lit(9.9e12) + F.col("id") / 4).alias("x"))
+    want = sum(Decimal(9900000000000) + Decimal(i) / 4 for i in range(n))
+    assert df.agg(N.exact_sum("x")).first()[0] == float(want)
+    minus = df.select((-F.col("x")).alias("x"))
+    assert minus.agg(N.exact_sum_decimal("x")).first()[0] == -want
+    assert df.unionByName(minus).agg(N.exact_sum("x")).first()[0] == 0.0
+
+
+def test_sums_and_averages_of_numbers_that_are_not_finite(spark):
+    inf, nan = float("inf"), float("nan")
+    for values, total in (([1.0, nan], nan), ([1.0, inf], inf), ([-inf, 2.5], -inf), ([inf, -inf], nan), ([None, inf], inf)):
+        got = one_col(spark, values).agg(N.exact_sum("x").alias("s"), N.exact_avg("x").alias("a")).first()
+        assert repr(got.s) == repr(total) and repr(got.a) == repr(total)
+    got = one_col(spark, [None, 1.0, 0.1 + 0.2]).agg(N.exact_sum("x").alias("s"), N.exact_avg("x").alias("a")).first()
+    assert (got.s, got.a) == (1.3, 0.65)
+    none = one_col(spark, [None, None]).agg(N.exact_sum("x").alias("s"), N.exact_avg("x").alias("a")).first()
+    assert (none.s, none.a) == (None, None)
+
+
 def test_cagr_and_pct_change(spark):
     df = spark.createDataFrame([(121.0, 100.0, 2022, 2020), (50.0, 100.0, 2020, 2020), (10.0, 0.0, 2021, 2020)],
                                "v double, b double, t int, t0 int")
