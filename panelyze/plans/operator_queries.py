@@ -142,7 +142,7 @@ def csv_yearly_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drifting yearly CSV read back by name, cleaned, typed, year from the path."""
     root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
     # One folder per year (a year's file written by several tasks).
-    folders = sorted({p.rsplit("/", 1)[0] for p, _ in SRC.list_files(spark, root, "part-*")})
+    folders = _year_folders(spark, root)
     stacked = SRC.read_yearly_csv(spark, folders, pattern=r"year=(\d{4})/", name_col="_metadata.file_path")
     typed = CL.cast_numeric_except(stacked, keep=["country", "_file_year"])
     typed = CL.ensure_year(typed)
@@ -389,8 +389,8 @@ def _land_emission_csv(spark: SparkSession, sf_dir: str, root: str) -> None:
     recs.withColumn("_y", F.col("year")).write.mode("overwrite").partitionBy("_y").option("header", True).csv(root)
 
 
-def _year_folders(spark: SparkSession, root: str) -> list[str]:
-    return sorted({p.rsplit("/", 1)[0] for p, _ in SRC.list_files(spark, root, "part-*")})
+def _year_folders(spark: SparkSession, root: str, key: str = "year") -> list[str]:
+    return sorted(SRC.partition_folders(spark, root, key).values())
 
 
 def process_emission_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,7 +398,7 @@ def process_emission_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelyze.plans.file_pipeline import process_emissions
 
     root = _landed(spark, sf_dir, "ct_landing", _land_emission_csv)
-    return process_emissions(spark, _year_folders(spark, root), r"_y=(\d{4})/", "_metadata.file_path")
+    return process_emissions(spark, _year_folders(spark, root, "_y"), r"_y=(\d{4})/", "_metadata.file_path")
 
 
 def process_indicator_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,7 +416,7 @@ def file_pipeline_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     wb_root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
     ct_root = _landed(spark, sf_dir, "ct_landing", _land_emission_csv)
     wb = FP.process_indicators(spark, _year_folders(spark, wb_root), r"year=(\d{4})/", "_metadata.file_path")
-    ct = FP.process_emissions(spark, _year_folders(spark, ct_root), r"_y=(\d{4})/", "_metadata.file_path")
+    ct = FP.process_emissions(spark, _year_folders(spark, ct_root, "_y"), r"_y=(\d{4})/", "_metadata.file_path")
     out_root = scratch_path(spark, "pipeline_out")
     read_back = []
     for name, df in (("indicators", wb), ("emissions", ct)):

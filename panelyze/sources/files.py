@@ -7,6 +7,8 @@ import datetime as dt
 import json
 import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,37 +20,21 @@ from panelyze.operators.reshape import concat_frames
 YEAR_IN_NAME = r"(\d{4})(?=\.[A-Za-z0-9]+$)"
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*") -> list[tuple[str, int]]:
-    """``(path, bytes)`` of the files under ``directory`` matching ``glob``.
+def partition_folders(spark: SparkSession, root: str, key: str = "year") -> dict[str, str]:
+    """``{value: path}`` of the ``key=value`` folders directly under ``root``; empty where ``root`` is absent.
 
-    Listed by Spark's file index (works on any Hadoop file system); only the
-    listing, which is small, reaches the driver, never file contents.
+    One listing of folders; no file is listed, let alone opened.
     """
-    try:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true")
-            .load(directory)
-            .select("path", "length")
-        )
-        return sorted((r.path, r.length) for r in listing.collect())
-    except Exception as e:  # an absent folder is "no files"
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return []
-        raise
-
-
-def discover_years(spark: SparkSession, *roots: str) -> list[int]:
-    """Years present as ``year=YYYY`` partitions under any of ``roots`` (the
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{key}=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return {f.getPath().getName().split("=", 1)[1]: f.getPath().toString() for f in found if f.isDirectory()}
+
+
+def discover_years(spark: SparkSession, *roots: str, key: str = "year") -> list[int]:
+    """Years present as ``year=YYYY`` folders under any of ``roots`` (the
     union, so a year held by one source only is still processed)."""
-    years: set[int] = set()
-    for root in roots:
-        for path, _ in list_files(spark, root, "*"):
-            m = re.search(r"/year=(\d{4})/", path)
-            if m:
-                years.add(int(m.group(1)))
-    return sorted(years)
+    years = {v for root in roots for v in partition_folders(spark, root, key)}
+    return sorted(int(v) for v in years if re.fullmatch(r"\d{4}", v))
 
 
 def year_from_name(name_col: str = "_metadata.file_name", pattern: str = YEAR_IN_NAME):
@@ -70,6 +56,34 @@ def read_csv_file(
     return df.withColumn("_file_year", year_from_name(name_col, pattern))
 
 
+# Larger than any file: a file is then one partition, and a partition one file.
+_WHOLE_FILE = str(1 << 50)
+# Files whose first lines one job reads.
+_BUNCH = 64
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """``{file: first line}`` of every file under ``paths`` that has a line, read without the rest of the file.
+
+    A limit ends a scan after its first row, so what is read of a file is one
+    buffer, whatever its size.  A job takes a bunch of files, each in a task
+    of its own; one short string of each reaches the driver.
+    """
+    own = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        own.conf.set(f"spark.sql.files.{name}", _WHOLE_FILE)
+    # Listed as URIs, read as patterns.
+    files = [re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(f)) for f in sorted(own.read.text(list(paths)).inputFiles())]
+    out: dict[str, str] = {}
+    for at in range(0, len(files), _BUNCH):
+        ones = [
+            own.read.text(f).select(F.lit(f).alias("file"), F.col("value").alias("line")).limit(1)
+            for f in files[at : at + _BUNCH]
+        ]
+        out |= {r["file"]: r["line"] for r in reduce(DataFrame.union, ones).collect()}
+    return out
+
+
 def read_yearly_csv(
     spark: SparkSession,
     paths: Sequence[str],
@@ -80,8 +94,8 @@ def read_yearly_csv(
     """Read yearly CSV files whose headers differ (order, missing columns).
 
     Reading all files in one call would map columns by position and shift
-    values when the order changes.  So the header of every file is read first,
-    in one job; files with the same header are read together in one scan, and
+    values when the order changes.  So the first line of every file is read
+    first (``first_lines``); files with the same header are read together in one scan, and
     the per-header frames are stacked by column *name*.  The parts of one
     folder may differ as well: headers are those of files, not of paths.  Names
     are cleaned (``clean_columns``) before stacking so ``SP.POP.TOTL`` and
@@ -91,18 +105,10 @@ def read_yearly_csv(
     there = [p for p in paths if path_exists(spark, p)]
     if not there:
         return None
-    first = (
-        spark.read.text(there)
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-        .where("at = 0")
-        .withColumn("line", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by("value", "line").alias("header"))
-    )
     by_header: dict[str, list[str]] = {}
-    # One short row for each yearly file.
-    for r in first.where(F.trim("header") != "").orderBy("file").toLocalIterator():
-        by_header.setdefault(r["header"], []).append(r["file"])
+    for file, line in first_lines(spark, there).items():
+        if line.strip():
+            by_header.setdefault(line, []).append(file)
     frames = []
     for group in by_header.values():
         # A file whose header is not the group's is an error, never shifted values.

@@ -152,3 +152,45 @@ def test_concat_frames_missing_columns(spark):
     b = spark.createDataFrame([("BEL", 2.0)], "country string, y double")
     got = rows(RS.concat_frames([a, b]), ["country"])
     assert got == [{"country": "BEL", "x": None, "y": 2.0}, {"country": "NLD", "x": 1.0, "y": None}]
+
+
+def _bytes_read(spark):
+    """Bytes that this machine's file system has read for Spark so far."""
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    return stats.getLong("bytesRead")
+
+
+def test_first_lines_do_not_read_the_files(spark, tmp_path):
+    small, large = tmp_path / "s", tmp_path / "l"
+    for folder, n in ((small, 10), (large, 1_500_000)):
+        folder.mkdir()
+        for year in (2001, 2002):
+            (folder / f"x_{year}.csv").write_text("country,SP.POP.TOTL\n" + "AAA,1234567.5\n" * n)
+    (large / "x_2003.csv").write_text("\n")
+    (large / "x_2004.csv").write_text("")
+    read = []
+    for folder in (small, large):
+        before = _bytes_read(spark)
+        got = {f.rsplit("/", 1)[1]: line for f, line in SRC.first_lines(spark, [str(folder)]).items()}
+        read.append(_bytes_read(spark) - before)
+        assert got["x_2001.csv"] == got["x_2002.csv"] == "country,SP.POP.TOTL"
+    assert got.get("x_2003.csv") == "" and "x_2004.csv" not in got
+    # A buffer of each file, not 40 MB.
+    assert sum(f.stat().st_size for f in large.iterdir()) > 40_000_000
+    assert read[1] < 400_000
+
+
+def test_first_lines_in_bunches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SRC, "_BUNCH", 3)
+    for i in range(8):
+        (tmp_path / f"with space [%2{i}].csv").write_text(f"h{i},x\n1,2\n")
+    assert sorted(SRC.first_lines(spark, [str(tmp_path)]).values()) == [f"h{i},x" for i in range(8)]
+
+
+def test_folders_of_years(spark, tmp_path):
+    for name in ("year=2001", "year=2003", "year=old", "other=2002"):
+        (tmp_path / "a" / name).mkdir(parents=True)
+    (tmp_path / "b" / "year=2002").mkdir(parents=True)
+    (tmp_path / "a" / "year=1999").write_text("a file, no folder")
+    assert SRC.discover_years(spark, str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "absent")) == [2001, 2002, 2003]
+    assert set(SRC.partition_folders(spark, str(tmp_path / "a"))) == {"2001", "2003", "old"}
