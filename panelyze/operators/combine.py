@@ -66,15 +66,18 @@ def merge_with_fallbacks(
     keys: Sequence[str] = DEFAULT_KEYS,
     empty_columns: Sequence[str] = DEFAULT_KEYS,
     suffixes: tuple[str, str] = ("_wb", "_ct"),
+    has_rows: tuple[bool, bool] | None = None,
 ) -> DataFrame:
     """Merge, using whichever side has rows when the other is missing or empty.
 
     ``None`` stands for a source that has no files.  When both are absent a
-    typed empty frame with ``empty_columns`` (strings) is returned.  The
-    emptiness test reads at most one row per side.
+    typed empty frame with ``empty_columns`` (strings) is returned.
+    ``has_rows`` says which side has rows where that is known (for written
+    tables see ``sources.files.footer_rows``); otherwise a job looks for one
+    row of each side.
     """
-    has_left = left is not None and not left.isEmpty()
-    has_right = right is not None and not right.isEmpty()
+    known = has_rows or tuple(df is not None and not df.isEmpty() for df in (left, right))
+    has_left, has_right = (df is not None and has for df, has in zip((left, right), known))
     if has_left and has_right:
         return merge_panels(left, right, keys, "full", suffixes)
     if has_left:

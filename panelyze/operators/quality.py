@@ -3,10 +3,9 @@ or a small summary; none collects the data it checks."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -69,20 +68,30 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def declared_checks(
-    frames: Mapping[str, DataFrame], not_null: Mapping[str, Sequence[str]], unique: Mapping[str, Sequence[str]] = {}
-) -> DataFrame:
-    """``(model, check_name, failures)`` for every declared check.
+_NTH = "_nth_"
 
-    All not-null checks of a model are one aggregation over it; a uniqueness
-    check counts the key values that repeat.
+
+def watched(
+    df: DataFrame, not_null: Sequence[str] = (), unique: Sequence[Sequence[str]] = ()
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], Observation]:
+    """Checks that are counted while ``df`` is written, without a scan of their own.
+
+    Returns the frame to hand to a writer, what the writer must apply to the
+    rows just before it writes them, and the observation that holds
+    ``{check name: failures}`` when it has.  Failures are rows with a NULL, or
+    keys that occur more than once.
     """
-    out = []
-    for model, df in frames.items():
-        if cols := not_null.get(model):
-            counts = null_counts(df, cols)
-            out.append(counts.select(F.lit(model).alias("model"), F.concat(F.lit("not_null_"), "column_name").alias("check_name"), F.col("null_count").alias("failures")))
-        if keys := unique.get(model):
-            bad = unique_violations(df, keys).agg(F.count(F.lit(1)).alias("failures"))
-            out.append(bad.select(F.lit(model).alias("model"), F.lit("unique_" + "_".join(keys)).alias("check_name"), "failures"))
-    return reduce(DataFrame.unionByName, out)
+    seen, marks = Observation(), {}
+    metrics = [F.count_if(F.col(c).isNull()).alias(f"not_null_{c}") for c in not_null]
+    for i, keys in enumerate(unique):
+        # A key that repeats has exactly one second row.
+        marks[f"{_NTH}{i}"] = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+        metrics.append(F.count_if(F.col(f"{_NTH}{i}") == 2).alias("unique_" + "_".join(keys)))
+    marked = df.withColumns(marks) if marks else df
+    return marked, lambda rows: rows.observe(seen, *metrics).drop(*marks), seen
+
+
+def check_report(spark: SparkSession, seen: Mapping[str, Observation]) -> DataFrame:
+    """``(model, check_name, failures)`` of the checks of written models, a row for each."""
+    rows = [(m, name, n) for m, o in seen.items() for name, n in o.get.items()]
+    return spark.createDataFrame(rows, "model string, check_name string, failures long")

@@ -9,10 +9,11 @@ models' declared partitioning and clustering.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelyze.operators.quality import check_report, watched
 from panelyze.plans import models as M
 from panelyze.sinks.writers import write_parquet, write_partitioned_clustered
 
@@ -82,3 +83,29 @@ def build_models(
             write_parquet(df, path)
         built[name] = spark.read.parquet(path).select(*df.columns)
     return built
+
+
+def build_and_check(
+    spark: SparkSession,
+    frames: dict[str, Callable[[], DataFrame]],
+    out_root: str,
+    not_null: Mapping[str, Sequence[str]],
+    unique: Mapping[str, Sequence[Sequence[str]]],
+) -> DataFrame:
+    """Build models and count their declared checks in the pass that builds them.
+
+    Models without a layout are views: their one pass goes to no sink.
+    Returns ``(model, check_name, failures)``.
+    """
+    seen = {}
+    for name, make in frames.items():
+        df, watch, seen[name] = watched(make(), not_null.get(name, ()), unique.get(name, ()))
+        part, cluster = LAYOUT.get(name, (None, ()))
+        path = f"{out_root.rstrip('/')}/{name}"
+        if part:
+            write_partitioned_clustered(df, path, part, list(cluster), watch)
+        elif name in LAYOUT:
+            write_parquet(watch(df), path)
+        else:
+            watch(df).write.format("noop").mode("overwrite").save()
+    return check_report(spark, seen)

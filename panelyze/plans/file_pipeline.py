@@ -17,8 +17,9 @@ from panelyze.operators import clean as CL
 from panelyze.operators.aggregate import sum_by_key_zero_fill
 from panelyze.operators.combine import merge_with_fallbacks
 from panelyze.operators.filters import only_years
+from panelyze.sinks.versions import publish_years, read_published
 from panelyze.sinks.writers import write_years
-from panelyze.sources.files import YEAR_IN_NAME, read_yearly_csv
+from panelyze.sources.files import YEAR_IN_NAME, footer_rows, path_exists, read_yearly_csv
 
 # Gas columns summed per (country, year), and the columns of
 # the combined panel when neither source has data.
@@ -75,11 +76,29 @@ def process_emissions(
     return sum_by_key_zero_fill(df, list(KEYS), gases)
 
 
-def combine_sources(indicators: DataFrame | None, emissions: DataFrame | None) -> DataFrame:
+def combine_sources(
+    indicators: DataFrame | None, emissions: DataFrame | None, years: Sequence[int] | None = None
+) -> DataFrame:
     """Full outer merge on ``(country, year)``; shared names get ``_wb`` /
     ``_ct``; one missing or empty side gives the other; none gives an empty
-    frame with the combined columns."""
-    return merge_with_fallbacks(indicators, emissions, KEYS, EMPTY_COMBINED)
+    frame with the combined columns.  With ``years`` only these are merged:
+    the filter stands below the merge, on either side, where a table
+    partitioned by year opens no other year."""
+    sides = [df if df is None else only_years(df, years) for df in (indicators, emissions)]
+    return merge_with_fallbacks(*sides, KEYS, EMPTY_COMBINED)
+
+
+def combine_tables(
+    spark: SparkSession, indicator_path: str, emission_path: str, years: Sequence[int] | None = None
+) -> DataFrame:
+    """``combine_sources`` of two written tables; which of them is absent or empty is read from file footers."""
+    sides = []
+    for path in (indicator_path, emission_path):
+        df = _read_if_written(spark, path)
+        has = df is not None and footer_rows(spark, path, years) > 0
+        sides.append((df if df is None else only_years(df, years), has))
+    (left, has_left), (right, has_right) = sides
+    return merge_with_fallbacks(left, right, KEYS, EMPTY_COMBINED, has_rows=(has_left, has_right))
 
 
 def run(
@@ -92,31 +111,26 @@ def run(
     years: Sequence[int] | None = None,
 ) -> DataFrame:
     """Process both sources, replace their years under ``out_root``, and
-    write and return the combined panel (partitioned by year).
+    publish and return the combined panel (``sinks.versions``).
 
     With ``years`` (see ``sources.files.parse_year_list``) only those years
-    are processed and replaced, in every output; the other years already
-    written stay as they are.
+    are processed, merged and replaced; the others stay as they are, and
+    readers of the published panel see the reload whole or not at all.
     """
     wb = process_indicators(spark, indicator_paths, pattern, name_col)
     ct = process_emissions(spark, emission_paths, pattern, name_col)
-    read_back = []
     for name, df in (("indicators", wb), ("emissions", ct)):
         if df is not None:
             write_years(only_years(df, years), f"{out_root}/{name}", "year", ["country"])
-        read_back.append(_read_if_written(spark, f"{out_root}/{name}"))
-    # Both sides are written tables by now: testing them for rows reads one row.
-    combined = combine_sources(*read_back)
-    write_years(only_years(combined, years), f"{out_root}/combined", "year", ["country"])
-    written = _read_if_written(spark, f"{out_root}/combined")
+    combined = combine_tables(spark, f"{out_root}/indicators", f"{out_root}/emissions", years)
+    publish_years(combined, f"{out_root}/combined", "year", ["country"], years)
+    written = read_published(spark, f"{out_root}/combined")
     return combined if written is None else written
 
 
 def _read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written table; None where nothing is written yet, which the file system knows."""
+    if not path_exists(spark, path):
+        return None
     # Years are written one reload at a time, and a column may first come with a later one.
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except Exception as e:  # nothing written yet for this source
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+    return spark.read.option("mergeSchema", True).parquet(path)

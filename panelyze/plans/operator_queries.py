@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyze.functions.numeric import exact_avg, exact_sum, money_cents
+from panelyze.functions.numeric import date_to_year, exact_avg, exact_sum, money_cents
 from panelyze.operators import aggregate as A
 from panelyze.operators import clean as CL
+from panelyze.operators import ordinals as ORD
 from panelyze.operators import quality as Q
 from panelyze.operators import reshape as RS
 from panelyze.operators.combine import merge_panels
@@ -22,7 +23,9 @@ from panelyze.operators.filters import exclude_name_patterns
 from panelyze.plans import models as M
 from panelyze.plans.pipeline import TEST_PARAMS, panel_frames
 from panelyze.plans.testpanel import table
-from panelyze.session import input_version, scratch_path, session_id
+from panelyze.session import input_version, materialize, scratch_path, session_id
+from panelyze.sinks import catalog as CAT
+from panelyze.sinks import versions as V
 from panelyze.sinks import writers as W
 from panelyze.sources import files as SRC
 
@@ -468,26 +471,197 @@ def late_column_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The models' declared checks, one pass over each model: ``(model, check_name, failures)``."""
+    """The models' declared checks, counted in the pass that builds each model: ``(model, check_name, failures)``."""
+    from panelyze.plans.build import build_and_check
+
     f = panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True)
+    p = TEST_PARAMS
     frames = {
-        "stg_countries": f.countries,
-        "dim_emissions": M.dim_emissions(f.panel),
-        "dim_socio": M.dim_socio(f.panel),
-        "dim_wellbeing": M.dim_wellbeing(f.panel),
-        "fct_region": M.fct_region(f.panel, TEST_PARAMS),
-        "by_development": M.by_development(f.panel, TEST_PARAMS),
+        "stg_combined": lambda: f.staged,
+        "stg_countries": lambda: f.countries,
+        "stg_sovereign": lambda: M.stg_sovereign(f.staged, f.countries),
+        "dim_emissions": lambda: M.dim_emissions(f.panel),
+        "dim_socio": lambda: M.dim_socio(f.panel),
+        "dim_wellbeing": lambda: M.dim_wellbeing(f.panel),
+        "fct_region": lambda: M.fct_region(f.panel, p),
+        "by_development": lambda: M.by_development(f.panel, p),
+        "gdp_correlation": lambda: M.gdp_correlation(f.panel, p),
+        "country_profile": lambda: M.country_profile(f.panel, None, p),
+        "time_series": lambda: M.time_series(f.panel, p),
     }
-    return Q.declared_checks(frames, DECLARED_NOT_NULL, DECLARED_UNIQUE)
+    return build_and_check(spark, frames, scratch_path(spark, "checked_models"), DECLARED_NOT_NULL, DECLARED_UNIQUE)
 
 
 # Columns that must not be NULL, and keys that must be unique.
 DECLARED_NOT_NULL = {
+    "stg_combined": ("country", "year", "school_enrollment"),
     "stg_countries": ("country_name", "alpha_3", "region"),
+    "stg_sovereign": ("country", "year"),
     "dim_emissions": ("country", "year", "calculated_total_emissions"),
     "dim_socio": ("country", "year", "gini_index"),
     "dim_wellbeing": ("country", "year", "life_expectancy"),
     "fct_region": ("region", "year", "total_emissions"),
     "by_development": ("year", "income_category", "total_emissions"),
+    "gdp_correlation": ("country", "year", "gdp_growth_pct"),
+    "country_profile": ("year", "gini_index"),
+    "time_series": ("country", "year"),
+}
+DECLARED_UNIQUE = {
+    "stg_countries": (("alpha_3",), ("country_code", "alpha_2")),
+    "fct_region": (("region", "year"),),
 }
-DECLARED_UNIQUE = {"stg_countries": ("alpha_3",), "fct_region": ("region", "year")}
+
+
+# ------------------------------------------- ordered, bucketed, published, listed
+
+
+def ordered_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sub-region facts written in their order and read back with each row's place."""
+    out = M.fct_subregion(panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True).panel, TEST_PARAMS)
+    order = [F.col("year").desc(), F.col("total_emissions").desc(), F.col("region"), F.col("sub_region")]
+    path = scratch_path(spark, "in_order")
+    W.write_ordered(out, path, order)
+    if ORD.order_certificate(spark.read.parquet(path), order).where("inversions > 0 or not follows").count():
+        raise RuntimeError(f"{path} is out of order")
+    return ORD.read_in_order(spark, path)
+
+
+def bucketed_time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trends over a panel that is bucketed by country: its windows need no exchange."""
+    panel = panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True).panel
+    name = "panel_by_country_" + scratch_path(spark, "name").rsplit("-", 1)[-1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return M.time_series(W.save_bucketed(panel, name, "country", buckets, ["year"]), TEST_PARAMS)
+
+
+def published_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined panel published, one corrected year published over it, and the newest version read."""
+    combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
+    root = scratch_path(spark, "published")
+    V.publish_years(combined, root, "year", ["country"])
+    reload = combined.where(F.col("year") == RELOAD_YEAR).withColumn("co2", F.col("co2") * 2)
+    V.publish_years(reload, root, "year", ["country"], [RELOAD_YEAR])
+    return V.read_published(spark, root).select(*combined.columns)
+
+
+def combined_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file pipeline's tables merged and published, then one corrected year merged and published alone."""
+    from panelyze.plans import file_pipeline as FP
+
+    wb_root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
+    ct_root = _landed(spark, sf_dir, "ct_landing", _land_emission_csv)
+    wb = FP.process_indicators(spark, _year_folders(spark, wb_root), r"year=(\d{4})/", "_metadata.file_path")
+    ct = FP.process_emissions(spark, _year_folders(spark, ct_root, "_y"), r"_y=(\d{4})/", "_metadata.file_path")
+    root = scratch_path(spark, "reloaded")
+    W.write_years(wb, f"{root}/indicators", "year", ["country"])
+    W.write_years(ct, f"{root}/emissions", "year", ["country"])
+    both = f"{root}/indicators", f"{root}/emissions"
+    V.publish_years(FP.combine_tables(spark, *both), f"{root}/combined", "year", ["country"])
+    fixed = spark.read.parquet(both[1]).where(F.col("year") == RELOAD_YEAR).withColumn("co2", F.col("co2") * 2)
+    W.write_years(materialize(fixed, "fixed-year"), both[1], "year", ["country"])
+    again = FP.combine_tables(spark, *both, years=[RELOAD_YEAR])
+    V.publish_years(again, f"{root}/combined", "year", ["country"], [RELOAD_YEAR])
+    return V.read_published(spark, f"{root}/combined")
+
+
+def merge_fallbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals and shipped totals merged where both, one or none of the two tables has rows or is there at all."""
+    from panelyze.plans import file_pipeline as FP
+
+    left = _by_key_year(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice")
+    right = _by_key_year(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate", "l_extendedprice")
+    root = scratch_path(spark, "sides")
+    for name, df in (("left", left), ("right", right), ("left_empty", left.limit(0)), ("right_empty", right.limit(0))):
+        W.write_parquet(df, f"{root}/{name}")
+    cases = {
+        "both": ("left", "right"),
+        "left absent": ("absent", "right"),
+        "left empty": ("left_empty", "right"),
+        "right absent": ("left", "absent"),
+        "right empty": ("left", "right_empty"),
+        "both empty": ("left_empty", "right_empty"),
+        "both absent": ("absent", "absent"),
+    }
+    out = []
+    for case, (a, b) in cases.items():
+        merged = FP.combine_tables(spark, f"{root}/{a}", f"{root}/{b}")
+        names = [c for c in merged.columns if c in ("country", "year", "n") or c.startswith(("revenue", "n_"))]
+        key = {"country": "long", "year": "int"}
+        out.append(merged.select(F.lit(case).alias("case"), *[F.col(c).cast(key[c]) if c in key else F.col(c) for c in names]))
+    return RS.concat_frames(out)
+
+
+def _year_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """Two year tables in the catalog, indicators by order year and emissions by ship year, and where the first one lies."""
+    combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
+    shipped = _lines_by_nation_year(spark, sf_dir)
+    names, root = [], scratch_path(spark, "year_tables")
+    for kind, df in (("indicators", combined), ("emissions", shipped)):
+        path, name = f"{root}/{kind}", f"{kind}_" + scratch_path(spark, "name").rsplit("-", 1)[-1]
+        W.write_years(df, path, "year", ["country"])
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        CAT.create_year_table(spark, name, path, ddl)
+        # One reload after the other, as yearly jobs do.
+        for year, folder in sorted(SRC.partition_folders(spark, path).items()):
+            CAT.add_years(spark, name, {year: folder})
+        names.append(name)
+    return names[0], names[1], f"{root}/indicators"
+
+
+def years_in_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The years that either of two registered sources holds, read from the catalog."""
+    wb, ct, _ = _year_tables(spark, sf_dir)
+    has = set(CAT.catalog_years(spark, wb)), set(CAT.catalog_years(spark, ct))
+    rows = [(y, y in has[0], y in has[1]) for y in CAT.catalog_years(spark, wb, ct)]
+    return spark.createDataFrame(rows, "year int, in_indicators boolean, in_emissions boolean")
+
+
+def tables_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the combined table of all years beside the table of its own year."""
+    name, _, path = _year_tables(spark, sf_dir)
+    per_year = CAT.create_tables_per_year(spark, name, path)
+    single = RS.concat_frames([spark.table(t).withColumn("year", F.lit(y)) for y, t in per_year.items()])
+    both = spark.table(name).alias("a").join(
+        single.alias("b"), F.col("a.country").eqNullSafe(F.col("b.country")) & (F.col("a.year") == F.col("b.year")), "full"
+    )
+    return both.select(
+        F.col("a.country").alias("country"), F.col("a.year").alias("year"), F.col("a.co2").alias("co2"), F.col("b.co2").alias("co2_of_year")
+    )
+
+
+# ------------------------------------------------------------ seed and columns
+
+
+def seed_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seed landed as CSV and read back, every column a string, the key first; an empty text comes back as NULL."""
+    seed = panel_frames(spark, sf_dir, TEST_PARAMS).seed
+    path = scratch_path(spark, "seed")
+    W.write_csv(seed, path, skip_empty=False)
+    back = CL.key_column_first(SRC.read_seed(spark, path), "alpha-3")
+    return back.toDF(*[c.replace("-", "_") for c in back.columns])
+
+
+def seed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some columns of the landed seed as numbers; what is none becomes NULL."""
+    return CL.cast_numeric(seed_dimension(spark, sf_dir), ["alpha_3", "country_code", "region", "absent"])
+
+
+def emission_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The emissions dimension with its dates turned back to years."""
+    dim = M.dim_emissions(panel_frames(spark, sf_dir, TEST_PARAMS, materialised=True).panel)
+    return dim.select("country", date_to_year("year").alias("year"), M.TOTAL)
+
+
+def landed_column_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and types of the columns of a landed indicator file."""
+    root = _landed(spark, sf_dir, "wb_landing", _land_yearly_csv)
+    return Q.column_name_report(spark.read.option("header", True).csv(SRC.partition_folders(spark, root)[str(RELOAD_YEAR)]))
+
+
+def parquet_overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written, written again with other rows, and read."""
+    combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
+    path = scratch_path(spark, "overwritten")
+    W.write_parquet(combined, path)
+    W.write_parquet(combined.withColumn("co2", F.col("co2") * 2), path)
+    return spark.read.parquet(path).select("country", "year", "co2")

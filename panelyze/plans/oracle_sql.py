@@ -721,6 +721,8 @@ def declared_checks_sql(not_null: dict, unique: dict) -> str:
     frames = {
         "stg_countries": STG_COUNTRIES_SQL, "dim_emissions": DIM_EMISSIONS_SQL, "dim_socio": DIM_SOCIO_SQL,
         "dim_wellbeing": DIM_WELLBEING_SQL, "fct_region": FCT_REGION_SQL, "by_development": BY_DEVELOPMENT_SQL,
+        "stg_combined": STG_COMBINED_SQL, "stg_sovereign": STG_SOVEREIGN_SQL, "gdp_correlation": GDP_CORRELATION_SQL,
+        "country_profile": COUNTRY_PROFILE_SQL, "time_series": TIME_SERIES_SQL,
     }
     parts = [
         f"SELECT {q(m)} AS model, {q('not_null_' + c)} AS check_name, COUNT(*) - COUNT({c}) AS failures FROM ({frames[m]})"
@@ -729,6 +731,46 @@ def declared_checks_sql(not_null: dict, unique: dict) -> str:
     ]
     parts += [
         f"SELECT {q(m)}, {q('unique_' + '_'.join(k))}, COUNT(*) FROM (SELECT COUNT(*) AS n FROM ({frames[m]}) GROUP BY {', '.join(k)}) WHERE n > 1"
-        for m, k in unique.items()
+        for m, keys in unique.items()
+        for k in keys
     ]
     return "\nUNION ALL\n".join(parts)
+
+
+ORDERED_SQL = f"""
+SELECT *, row_number() OVER (
+  ORDER BY year DESC, total_emissions DESC NULLS LAST, region NULLS FIRST, sub_region NULLS FIRST) AS ordinal
+FROM ({FCT_SUBREGION_SQL})"""
+RELOADED_SQL = f"SELECT * REPLACE (CASE WHEN year = 1998 THEN co2 * 2 ELSE co2 END AS co2) FROM ({FILE_PIPELINE_SQL})"
+
+_SIDE = """SELECT {} AS country, CAST(year({}) AS INTEGER) AS year,
+             CAST(SUM(CAST(round({} * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS n FROM {} GROUP BY 1, 2"""
+_LEFT = _SIDE.format("o_custkey", "o_orderdate", "o_totalprice", "orders")
+_RIGHT = _SIDE.format("l_suppkey", "l_shipdate", "l_extendedprice", "lineitem")
+FALLBACKS_SQL = f"""
+SELECT 'both' AS case, * FROM ({FULL_OUTER_MERGE_SQL})
+UNION ALL BY NAME SELECT c AS case, l.* FROM ({_LEFT}) l, (VALUES ('right absent'), ('right empty')) v(c)
+UNION ALL BY NAME SELECT c AS case, r.* FROM ({_RIGHT}) r, (VALUES ('left absent'), ('left empty')) v(c)"""
+
+CATALOG_YEARS_SQL = """
+WITH o AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders),
+     s AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS y FROM lineitem)
+SELECT COALESCE(o.y, s.y) AS year, o.y IS NOT NULL AS in_indicators, s.y IS NOT NULL AS in_emissions
+FROM o FULL JOIN s ON o.y = s.y"""
+YEAR_TABLES_SQL = with_base("SELECT country, year, co2, co2 AS co2_of_year FROM combined")
+
+SEED_SQL = f"""
+SELECT CAST({_CODE} AS VARCHAR) AS alpha_3, c_name || {_SUFFIX} AS name, left(c_mktsegment, 2) AS alpha_2,
+       CAST(c_nationkey AS VARCHAR) AS country_code, NULLIF({_gap('r_name', 1)}, '') AS region,
+       NULLIF({_gap('n_name', 2)}, '') AS sub_region
+FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey"""
+SEED_NUMBERS_SQL = f"""
+SELECT CAST(alpha_3 AS DOUBLE) AS alpha_3, CAST(country_code AS DOUBLE) AS country_code, TRY_CAST(region AS DOUBLE) AS region,
+       name, alpha_2, sub_region FROM ({SEED_SQL})"""
+EMISSION_YEARS_SQL = f"SELECT country, CAST(year(year) AS INTEGER) AS year, calculated_total_emissions FROM ({DIM_EMISSIONS_SQL})"
+OVERWRITTEN_SQL = with_base("SELECT country, year, co2 * 2 AS co2 FROM combined")
+
+
+def column_names_sql(headers: tuple) -> str:
+    rows = ", ".join(f"({q(h)}, 'string', {'.' in h})" for h in ("country", *(h for _, h in headers)))
+    return f"SELECT * FROM (VALUES {rows}) v(column_name, data_type, has_dot)"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelyze.operators.ordinals import write_in_order
+
 
 def write_csv(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
     """Header CSV (no index column).  An empty frame writes nothing when
@@ -38,19 +40,45 @@ def write_years(df: DataFrame, path: str, year_col: str = "year", sort_by: Seque
     )
 
 
-def write_partitioned_clustered(df: DataFrame, path: str, partition_col: str, cluster_by: Sequence[str]) -> None:
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def _unwatched(df: DataFrame) -> DataFrame:
+    return df
+
+
+def write_partitioned_clustered(
+    df: DataFrame, path: str, partition_col: str, cluster_by: Sequence[str], watch: Watch = _unwatched
+) -> None:
     """Full rewrite partitioned by ``partition_col``, clustered by ``cluster_by``.
 
-    The overwrite is static whatever the session says: partitions that the
-    new frame lacks go.
+    Rows are dealt by ranges of both, sized by AQE from their bytes, so a
+    file holds one range of keys, the files of a partition do not overlap, and
+    a filter on a key opens the files that can hold it.  The overwrite is
+    static whatever the session says: partitions that the new frame lacks go.
+    ``watch`` sees the rows as they are written (see ``quality.watched``).
     """
-    out = df.sortWithinPartitions(partition_col, *cluster_by).write.mode("overwrite")
+    keys = [partition_col, *cluster_by]
+    dealt = df.repartitionByRange(*keys) if cluster_by else df
+    # Behind the exchange, whose ranges are found by a run over a sample.
+    out = watch(dealt.sortWithinPartitions(*keys)).write.mode("overwrite")
     out.option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path)
 
 
 def write_ordered(df: DataFrame, path: str, order: Sequence) -> None:
-    """Globally ordered output (range-partitioned sort, then write)."""
-    df.orderBy(*order).write.mode("overwrite").parquet(path)
+    """Globally ordered output; ``ordinals.read_in_order`` reads it with each row's place."""
+    write_in_order(df, path, order)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, sort_by: Sequence[str] = ()) -> DataFrame:
+    """Managed table hashed by ``key`` into ``buckets``, each sorted by the key and ``sort_by``.
+
+    Windows, aggregations and joins on the key then need no exchange.  Rows
+    are dealt like the buckets first, so each bucket is one file.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key, *sort_by).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> DataFrame:

@@ -133,6 +133,24 @@ def read_parquet(spark: SparkSession, path: str, years: Sequence[int] | None = N
     return df
 
 
+def footer_rows(spark: SparkSession, path: str, years: Sequence[int] | None = None, year_col: str = "year") -> int:
+    """Number of rows of a Parquet table (of some of its years) from the files' footers alone; 0 where it is absent.
+
+    The count is pushed down to the footers, which Spark's newer Parquet
+    source does; a session of its own turns that on.
+    """
+    if not path_exists(spark, path):
+        return 0
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = own.read.parquet(path)
+    if years:
+        df = df.where(F.col(year_col).isin(list(years)))
+    # A pushed-down count of no row groups comes back as NULL.
+    return df.agg(F.count(F.lit(1))).first()[0] or 0
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """The country seed: header CSV, every column a string (leading zeros kept)."""
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
