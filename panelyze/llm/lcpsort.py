@@ -9,9 +9,14 @@ entries know their common prefix with the last string that came out: the longer
 one wins without looking at a byte, and only at a tie are bytes compared, from
 the known prefix on.
 
-To every piece its run's last string before the range and first string behind it
-are added as ghosts, so that the neighbours of all strings are known within a
-range.
+The strings next to a range are the last one of the range before and the first
+one of the range behind, which the ends of the pieces tell before anything is
+merged: one row of each range, and two strings for its border.
+
+Scale: a piece is part of one run in one range, and ranges number at most
+``RANGES`` for each shuffle partition of the session, so pieces, and the sample
+that the ranges are cut by, grow with runs and partitions, not with the square of
+the data.
 """
 
 from __future__ import annotations
@@ -21,16 +26,18 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelyze.llm.common import discard, save, shuffle_parts
 
-RUN_BYTES = 24 << 20
+RUN_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20
-SAMPLE_STRINGS = 4096
-GHOST = -1
+# For each shuffle partition, ranges at most; for each range, sampled strings.
+RANGES, SAMPLED = 4, 8
 MEMBERS = -1
+# Stands where a run stands, and before all of them.
+BORDER = -1
 
 
 def common_prefix(a: bytes, b: bytes, at: int = 0) -> int:
@@ -157,10 +164,11 @@ def neighbours(strings: DataFrame, facts: Facts, keep: Callable[[bytes, int, int
     spark = strings.sparkSession
     # One row: number and bytes of the strings.
     n, total = strings.agg(F.count("*"), F.sum(F.octet_length("s"))).first()
-    ranges = max(shuffle_parts(spark), int(total or 0) // RANGE_BYTES + 1)
-    rate = max(1, n // max(SAMPLE_STRINGS, 8 * ranges))
+    parts = shuffle_parts(spark)
+    ranges = min(max(parts, int(total or 0) // RANGE_BYTES + 1), RANGES * parts)
+    rate = max(1, n // (SAMPLED * ranges))
     few = strings.where(F.pmod(F.xxhash64(F.lit(9), "id"), F.lit(rate)) == 0).select("s")
-    # Some eight strings for each range, or SAMPLE_STRINGS.
+    # About SAMPLED strings for each range.
     sample = sorted({bytes(r["s"]) for r in few.toLocalIterator()})
     splitters = [sample[i * len(sample) // ranges] for i in range(1, ranges)] if len(sample) >= ranges else sample[1:]
     splitters = sorted(set(splitters))
@@ -176,13 +184,11 @@ def neighbours(strings: DataFrame, facts: Facts, keep: Callable[[bytes, int, int
             edge = cut(out, splitters)
             for r in range(len(edge) - 1):
                 a, b = edge[r], edge[r + 1]
-                if a == b and not out:
-                    continue
-                lo, hi = max(0, a - 1), min(len(out), b + 1)
-                entries = [e if a <= e < b else GHOST for e in range(lo, hi)]
-                rows.append((r, run, front_code(out[lo:hi], entries, counts[lo:hi])))
-            rows.append((MEMBERS, run, entry.tobytes() + np.array(ids, np.int64).tobytes()))
-            return pd.DataFrame(rows, columns=["range", "run", "block"])
+                if a < b:
+                    code = front_code(out[a:b], list(range(a, b)), counts[a:b])
+                    rows.append((r, run, code, out[a], out[b - 1]))
+            rows.append((MEMBERS, run, entry.tobytes() + np.array(ids, np.int64).tobytes(), None, None))
+            return pd.DataFrame(rows, columns=["range", "run", "block", "first", "last"])
 
         for pdf in batches:
             for i, s in zip(pdf["id"].tolist(), pdf["s"].tolist()):
@@ -195,31 +201,43 @@ def neighbours(strings: DataFrame, facts: Facts, keep: Callable[[bytes, int, int
         if ids:
             yield flush()
 
-    coded = save(strings.select("id", "s").mapInPandas(runs, "range int, run long, block binary"), f"{name}-runs")
+    piece = "range int, run long, block binary, first binary, last binary"
+    coded = save(strings.select("id", "s").mapInPandas(runs, piece), f"{name}-runs")
+    pieces = coded.where(F.col("range") >= 0)
+    # One row for each range that holds strings.
+    ends = pieces.groupBy("range").agg(F.min("first").alias("lo"), F.max("last").alias("hi"))
+    order = Window.orderBy("range")
+    borders = ends.select(
+        "range",
+        F.lit(BORDER).cast("long").alias("run"),
+        F.lit(None).cast("binary").alias("block"),
+        F.lag("hi").over(order).alias("first"),
+        F.lead("lo").over(order).alias("last"),
+    )
 
     def merged(batches):
-        group, at = [], None
+        group, at, beside = [], None, (None, None)
         for pdf in batches:
-            for r, run, block in zip(pdf["range"], pdf["run"], pdf["block"]):
-                if at is not None and r != at:
-                    yield from one_range(at, group)
-                    group = []
-                at = r
-                group.append((run, bytes(block)))
+            for r, run, block, first, last in zip(*(pdf[c] for c in ("range", "run", "block", "first", "last"))):
+                if run == BORDER:
+                    if group:
+                        yield from one_range(at, group, *beside)
+                    group, at = [], r
+                    beside = tuple(None if s is None else bytes(s) for s in (first, last))
+                else:
+                    group.append((run, bytes(block)))
         if group:
-            yield from one_range(at, group)
+            yield from one_range(at, group, *beside)
 
-    def one_range(at, group):
+    def one_range(at, group, before, after):
         names = [run for run, _ in group]
-        done, out, number = [], [], 0
-        # The string before, and what is known of the present one: [string, prefix, contributions, own].
-        before, cur = None, None
+        out, number = [], 0
+        # What is known of the present string: [string, prefix shared with the one before, contributions].
+        cur = None
 
         def close(behind, prefix):
             nonlocal number
             s, known, whose = cur
-            if not whose:
-                return
             mult = sum(c for _, _, c in whose)
             x, y = facts(s, known, before, prefix, behind)
             cls = (int(at) << 40) + number
@@ -235,21 +253,22 @@ def neighbours(strings: DataFrame, facts: Facts, keep: Callable[[bytes, int, int
                 if cur is not None:
                     close(s, known)
                     before = cur[0]
+                elif before is not None:
+                    known = common_prefix(before, s)
                 cur = [s, known, []]
-            if entry != GHOST:
-                cur[2].append((names[i], entry, count))
+            cur[2].append((names[i], entry, count))
             if len(out) > 4000:
                 yield frame(out)
                 out = []
-        if cur is not None:
-            close(None, 0)
+        close(after, 0 if after is None else common_prefix(cur[0], after))
         if out:
             yield frame(out)
 
     def frame(rows):
         return pd.DataFrame(rows, columns=["run", "entry", "cls", "mult", "x", "y", "s"])
 
-    blocks = coded.where(F.col("range") >= 0).repartition(max(1, len(splitters) + 1), "range")
+    blocks = pieces.withColumns({c: F.lit(None).cast("binary") for c in ("first", "last")}).unionByName(borders)
+    blocks = blocks.repartition(len(splitters) + 1, "range")
     done = blocks.sortWithinPartitions("range", "run").mapInPandas(
         merged, "run long, entry int, cls long, mult long, x int, y int, s binary"
     )

@@ -32,7 +32,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelyze.llm import anchors as A
@@ -97,20 +97,42 @@ def seed_regions(docs: DataFrame) -> DataFrame:
     return docs.select("d", "text").mapInPandas(run, "seed long, k long, d long, lo int, hi int, at int")
 
 
+def columns_of(grouped, *names: str) -> DataFrame:
+    """A group's rows as arrays of numbers, one for each column, which reach Python as such and not as objects."""
+    rows = grouped.agg(F.collect_list(F.struct(*names)).alias("rows"))
+    keys = [c for c in rows.columns if c != "rows"]
+    return rows.select(*keys, *[F.transform("rows", lambda r: r[n]).alias(n) for n in names])
+
+
+def runs_of(ps: Column) -> Column:
+    """``(lo, hi)`` runs of consecutive numbers in an array of distinct ones."""
+    ps = F.array_sort(ps)
+    first = F.filter(ps, lambda p, i: (i == 0) | (p != F.get(ps, i - 1) + 1))
+    last = F.filter(ps, lambda p, i: (i == F.size(ps) - 1) | (p != F.get(ps, i + 1) - 1))
+    return F.arrays_zip(first.alias("lo"), last.alias("hi"))
+
+
 def region_strings(texts: DataFrame, places: DataFrame) -> DataFrame:
     """``(id, s)``: the string that stands for a region ``places(id, k, d, lo, hi, at)`` in the sort."""
-    by_text = places.groupBy("d", "k").agg(F.collect_list(F.struct("id", "lo", "hi", "at")).alias("places"))
+    by_text = columns_of(places.groupBy("d", "k"), "id", "lo", "hi", "at")
 
     def run(batches):
         for pdf in batches:
-            for text, k, rows in zip(pdf["text"], pdf["k"], pdf["places"]):
-                data, out = raw(text), []
+            ids, out, size = [], [], 0
+            for text, k, *lists in zip(*(pdf[c] for c in ("text", "k", "id", "lo", "hi", "at"))):
+                data = raw(text)
                 if text_key(data) != k:
                     continue
-                for r in rows:
-                    lo, at, right = r["lo"], r["at"], r["hi"] + WINDOW - r["at"]
-                    out.append((r["id"], data[at : at + right] + data[lo:at][::-1] + right.to_bytes(2, "big")))
-                yield pd.DataFrame(out, columns=["id", "s"])
+                for i, lo, hi, at in zip(*(x.tolist() for x in lists)):
+                    right = hi + WINDOW - at
+                    ids.append(i)
+                    out.append(data[at : at + right] + data[lo:at][::-1] + right.to_bytes(2, "big"))
+                    size += len(out[-1])
+                if size > BLOCK_BYTES:
+                    yield pd.DataFrame({"id": ids, "s": out})
+                    ids, out, size = [], [], 0
+            if ids:
+                yield pd.DataFrame({"id": ids, "s": out})
 
     return texts.join(by_text, "d").mapInPandas(run, "id long, s binary")
 
@@ -216,15 +238,16 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         "k", F.greatest(F.col("lo"), F.col("at") - F.col("y")).alias("lo"), "hi"
     )
     single = told.where("mult = 1 and copies = 1").join(by_class, "cls")
-    single = single.select("k", "at", F.explode("ps").alias("p"))
-    single = single.select("k", (F.col("at") - F.col("p")).alias("lo")).select("k", "lo", F.col("lo").alias("hi"))
+    # Starts lie p bytes left of the anchor; those side by side are one run.
+    single = single.select("k", F.explode(runs_of(F.transform("ps", lambda p: F.col("at") - p))).alias("run"))
+    single = single.select("k", "run.lo", "run.hi")
     return whole.unionByName(ends.where("lo <= hi")).unionByName(single)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per document."""
     runs = save(repeated_runs(docs), "suffix-runs")
-    by_text = save(runs.groupBy("k").agg(F.collect_list(F.struct("lo", "hi")).alias("runs")), "suffix-text-runs")
+    by_text = save(columns_of(runs.groupBy("k"), "lo", "hi"), "suffix-text-runs")
     discard(runs)
 
     def keyed(batches):
@@ -234,12 +257,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     def run(batches):
         for pdf in batches:
             out = []
-            for doc_id, text, rows in zip(pdf["doc_id"], pdf["text"], pdf["runs"]):
+            for doc_id, text, lo, hi in zip(pdf["doc_id"], pdf["text"], pdf["lo"], pdf["hi"]):
                 data, spans = raw(text if isinstance(text, str) else None), 0
                 kept = data
-                if rows is not None and len(rows):
-                    at = np.array([(r["lo"], r["hi"]) for r in rows], np.int64)
-                    keep = kept_mask(len(data), at[:, 0], at[:, 1], WINDOW)
+                if lo is not None and len(lo):
+                    keep = kept_mask(len(data), lo.astype(np.int64), hi.astype(np.int64), WINDOW)
                     kept = np.frombuffer(data, np.uint8)[keep].tobytes()
                     spans = int((~keep & np.r_[True, keep[:-1]]).sum())
                 out.append((doc_id, len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest()))

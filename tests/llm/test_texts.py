@@ -217,6 +217,33 @@ def test_sorted_neighbours_over_many_runs_and_ranges(spark, monkeypatch):
     assert sorted(bytes(r.s) for r in kept.collect()) == order
 
 
+def test_pieces_grow_with_the_data(spark, monkeypatch):
+    monkeypatch.setattr(lcpsort, "RUN_BYTES", 2000)
+    monkeypatch.setattr(lcpsort, "RANGE_BYTES", 2000)
+    real, pieces = lcpsort.save, []
+
+    def counted(df, name):
+        out = real(df, name)
+        if name.endswith("-runs"):
+            pieces.append(out.where(f"range <> {lcpsort.MEMBERS}").count())
+        return out
+
+    monkeypatch.setattr(lcpsort, "save", counted)
+    rng = np.random.default_rng(2)
+    for n in (2000, 8000):
+        rows = [(i, bytearray(rng.integers(0, 256, 20, dtype=np.uint8).tobytes())) for i in range(n)]
+        df = spark.createDataFrame(rows, "id long, s binary").repartition(4)
+        lcpsort.neighbours(df, lambda *a: (0, 0), lambda *a: False, "grow")
+    # Runs and ranges both grow by four from 40 kB to 160 kB, but ranges stop at those of the session.
+    assert pieces[1] < 6 * pieces[0]
+
+
+def test_runs_of_consecutive_numbers(spark):
+    df = spark.createDataFrame([(1, [7, 3, 4, 5, 9, 8]), (2, [1]), (3, [])], "k int, ps array<int>")
+    got = {r["k"]: [(x["lo"], x["hi"]) for x in r["r"]] for r in df.select("k", suffixes.runs_of(df["ps"]).alias("r")).collect()}
+    assert got == {1: [(3, 5), (7, 9)], 2: [(1, 1)], 3: []}
+
+
 def test_packing_round_trip(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
