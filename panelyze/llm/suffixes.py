@@ -104,9 +104,8 @@ def columns_of(grouped, *names: str) -> DataFrame:
     return rows.select(*keys, *[F.transform("rows", lambda r: r[n]).alias(n) for n in names])
 
 
-def runs_of(ps: Column) -> Column:
-    """``(lo, hi)`` runs of consecutive numbers in an array of distinct ones."""
-    ps = F.array_sort(ps)
+def runs_of(ps: str) -> Column:
+    """``(lo, hi)`` runs of consecutive numbers in a column of sorted arrays; an expression would be made anew for each number."""
     first = F.filter(ps, lambda p, i: (i == 0) | (p != F.get(ps, i - 1) + 1))
     last = F.filter(ps, lambda p, i: (i == F.size(ps) - 1) | (p != F.get(ps, i + 1) - 1))
     return F.arrays_zip(first.alias("lo"), last.alias("hi"))
@@ -230,7 +229,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     twice = parts.groupBy("h1", "h2").agg(F.sum("mult").alias("n")).where("n > 1").select("h1", "h2")
     twice = save(twice, "suffix-twice")
     found = parts.join(twice, ["h1", "h2"]).select("cls", "p")
-    by_class = save(found.groupBy("cls").agg(F.collect_set("p").alias("ps")), "suffix-found")
+    by_class = save(found.groupBy("cls").agg(F.array_sort(F.collect_set("p")).alias("ps")), "suffix-found")
     discard(parts, twice)
     told = hits.join(members, "id")
     whole = told.where("mult > 1 or copies > 1").select("k", "lo", "hi")
@@ -239,8 +238,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     )
     single = told.where("mult = 1 and copies = 1").join(by_class, "cls")
     # Starts lie p bytes left of the anchor; those side by side are one run.
-    single = single.select("k", F.explode(runs_of(F.transform("ps", lambda p: F.col("at") - p))).alias("run"))
-    single = single.select("k", "run.lo", "run.hi")
+    single = single.select("k", "at", F.explode(runs_of("ps")).alias("run"))
+    single = single.select("k", (F.col("at") - F.col("run.hi")).alias("lo"), (F.col("at") - F.col("run.lo")).alias("hi"))
     return whole.unionByName(ends.where("lo <= hi")).unionByName(single)
 
 
