@@ -34,6 +34,17 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with underscores behind them as far as the frame has columns of these names."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/corpus/{name}-{uuid.uuid4().hex}"
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelyze.llm.common import WORD, save, shuffle_parts, table
+from panelyze.llm.common import WORD, free_names, save, shuffle_parts, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -104,13 +104,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
 def emit(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents themselves, each row repeated by its copies (repeated ids are matched in order)."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    nth, times, copy = free_names(docs, "nth", "times", "copy")
     same = W.partitionBy("doc_id").orderBy("source", "size")
-    left = docs.withColumn("nth__", F.row_number().over(W.partitionBy("doc_id").orderBy("source", size)))
+    left = docs.withColumn(nth, F.row_number().over(W.partitionBy("doc_id").orderBy("source", size)))
     right = mixed.select("doc_id", "source", "size", "copies").withColumn("nth", F.row_number().over(same))
     right = right.where("copies > 0").select("doc_id", "nth", "copies")
-    wide = left.alias("l").join(right.alias("r"), F.expr("l.doc_id <=> r.doc_id and l.nth__ = r.nth"))
-    wide = wide.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.col("r.copies").alias("copies__"))
-    return wide.withColumn("copy__", F.explode(F.sequence(F.lit(1).cast("long"), "copies__"))).select(*docs.columns)
+    wide = left.alias("l").join(right.alias("r"), F.expr(f"l.doc_id <=> r.doc_id and l.{nth} = r.nth"))
+    wide = wide.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.col("r.copies").alias(times))
+    return wide.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*docs.columns)
 
 
 def op3_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

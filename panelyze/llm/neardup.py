@@ -23,8 +23,9 @@ rebuilt only for classes that share a key; hot keys are split into blocks; what
 leaves a task grows with the rows, never with the pairs of a group.
 
 Defined cases: null, empty and blank texts have no shingles and link with
-nothing; a text of one to four words is one shingle; rows that repeat (also the
-id) are linked and get the same component; a null id is a class member without
+nothing; a text of one to four words is one shingle; a document is its id: rows that
+repeat an id, also with other texts, share their links and their component;
+texts may be of any length (a task holds one whole text); a null id is a class member without
 a component of its own; an empty table gives an empty result; further columns
 are ignored.
 """
@@ -54,6 +55,12 @@ def _sets(texts: list, hashes: WordHashes) -> list[np.ndarray]:
     return [shingle_set(hashes(words_of(t))) for t in texts]
 
 
+def set_hash(s: np.ndarray) -> tuple[int, int]:
+    """128-bit hash of a set as two longs."""
+    a, b = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8").tolist()
+    return a, b
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """``(doc_id, n, h1, h2, sig)``: set size, 128-bit hash of the set, minhash symbols as bytes."""
 
@@ -67,8 +74,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sig: list = [None] * len(sets)
                 for i, row in zip(some, minhash([sets[i] for i in some], CHUNKS * CHUNK)):
                     sig[i] = row.tobytes()
-                both = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                pair = np.frombuffer(b"".join(both), "<i8").reshape(-1, 2)
+                pair = np.array([set_hash(s) for s in sets], np.int64).reshape(-1, 2)
                 out = {"doc_id": pdf["doc_id"].iloc[a:b].tolist(), "n": [len(s) for s in sets]}
                 out |= {"h1": pair[:, 0], "h2": pair[:, 1], "sig": sig}
                 yield pd.DataFrame(out).astype({"doc_id": "Int64"})
@@ -98,8 +104,8 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "sig").mapInPandas(run, "key long, id long")
 
 
-def rebuilt(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``(id, n, hashes, long_sig)`` of the classes ``ids``, from the texts of their representatives."""
+def rebuilt(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(id, n, hashes, long_sig)`` of ``classes(id, rep, h1, h2)``, from the texts of their representatives."""
 
     def run(batches):
         hashes = WordHashes()
@@ -107,13 +113,17 @@ def rebuilt(docs: DataFrame, ids: DataFrame) -> DataFrame:
             size = pdf["text"].str.len().to_numpy()
             for a, b in blocks(size, BATCH_BYTES // 4):
                 sets = _sets(pdf["text"].iloc[a:b].tolist(), hashes)
+                # An id may stand on rows with other texts: only the set of the class is its set.
+                own = zip(sets, pdf["h1"].iloc[a:b], pdf["h2"].iloc[a:b])
+                some = [i for i, (s, h1, h2) in enumerate(own) if len(s) and set_hash(s) == (h1, h2)]
+                sets, ids = [sets[i] for i in some], pdf["id"].iloc[a:b].iloc[some].tolist()
                 sig = (minhash(sets, LONG) & np.uint16(255)).astype(np.uint8)
-                out = {"id": pdf["id"].iloc[a:b].tolist(), "n": [len(s) for s in sets]}
+                out = {"id": ids, "n": [len(s) for s in sets]}
                 yield pd.DataFrame(out | {"hashes": [s.tobytes() for s in sets], "long_sig": [s.tobytes() for s in sig]})
 
-    one = docs.select("doc_id", "text").join(ids.select("id"), F.col("doc_id") == F.col("id")).select("id", "text")
-    # Rows that repeat an id with another text are not its representative's set: the class hash decides later.
-    return one.mapInPandas(run, "id long, n long, hashes binary, long_sig binary")
+    one = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(classes, F.col("doc_id") == F.col("rep"))
+    one = one.select("id", "h1", "h2", "text").mapInPandas(run, "id long, n long, hashes binary, long_sig binary")
+    return one.dropDuplicates(["id"])
 
 
 def _similar_size(a, b):
@@ -269,18 +279,31 @@ def block_links(rows: DataFrame) -> DataFrame:
     return _spread(in_blocks(rows)).mapInPandas(run, "u long, v long")
 
 
+def one_by_id(some: DataFrame, named: DataFrame) -> DataFrame:
+    """``named(n, h1, h2, rep, least)`` with components joined that hold one id, where an id stands on several sets."""
+    key = F.struct("n", "h1", "h2")
+    several = some.groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo <> hi")
+    several = save(several.select("doc_id"), "minhash-several")
+    if several.isEmpty():
+        return named
+    on = some.join(several, "doc_id").select("doc_id", "n", "h1", "h2").distinct()
+    edges = on.join(named, ["n", "h1", "h2"]).select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
+    joined = components(edges).select(F.col("node").alias("least"), F.col("root").alias("joined"))
+    return named.join(joined, "least", "left").withColumn("least", F.coalesce("joined", "least")).drop("joined")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per document."""
     signed = save(signatures(docs), "minhash-signed")
     some = signed.where("n > 0 and doc_id is not null")
-    classes = save(
-        some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "minhash-classes"
-    )
+    classes = some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    # Two classes may have one representative, where its id stands on rows of both.
+    classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
     keys = chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     hits = save(keys.join(shared, "key").select("key", "id", "size"), "minhash-hits")
-    ids = save(hits.select("id").distinct(), "minhash-ids")
-    sets = save(rebuilt(docs, ids).dropDuplicates(["id"]), "minhash-sets")
+    ids = save(classes.join(hits.select("id").distinct(), "id").select("id", "rep", "h1", "h2"), "minhash-ids")
+    sets = save(rebuilt(docs, ids), "minhash-sets")
     first = save(confirmed(save(star_pairs(hits, sets), "minhash-stars"), sets), "minhash-links")
     roots = components(first)
     # Keys that still hold more than one component.
@@ -296,8 +319,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = left.join(save(sizes, "minhash-sizes"), "key").join(sets.select("id", "n", "hashes"), "id")
     more = save(block_links(rows), "minhash-more")
     roots = components(first.unionByName(more)).withColumnRenamed("node", "id")
-    ids = save(classes.select("n", "h1", "h2", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "minhash-roots")
-    out = signed.join(ids.select("n", "h1", "h2", "root"), ["n", "h1", "h2"], "left")
+    named = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = save(named.select("n", "h1", "h2", "rep", "root"), "minhash-roots")
+    least = named.groupBy("root").agg(F.min("rep").alias("least"))
+    named = save(named.join(least, "root").select("n", "h1", "h2", "rep", "least"), "minhash-least")
+    told = one_by_id(some, named)
+    out = signed.join(told.select("n", "h1", "h2", F.col("least").alias("root")), ["n", "h1", "h2"], "left")
     component = F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))

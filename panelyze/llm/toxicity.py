@@ -222,12 +222,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     return {"base": base, "typical": typical[-best[1] :], "model": best[2], "rate": float(rate)}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted`` (columns of these names are replaced); only the text is read for them."""
-    docs = docs.drop("score", "predicted")
+def score(docs: DataFrame, model: dict, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with two columns ``names`` (columns of these names are replaced); only the text is read for them."""
+    docs = docs.drop(*names)
     if "base" not in model:
-        scored = docs.withColumn("score", F.lit(model["rate"]))
-        return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        scored = docs.withColumn(names[0], F.lit(model["rate"]))
+        return scored.withColumn(names[1], (F.col(names[0]) >= 0.5).cast("int"))
 
     def run(batches):
         measure = Distance(model["base"], model["typical"])
@@ -235,9 +235,9 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             counts = [measure.counts(t) for t in batch.column("text").to_pylist()]
             p = predict(model["model"], features(np.array(counts, dtype=np.int64))) if counts else np.empty(0)
             more = [pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(batch.columns + more, names=batch.schema.names + ["score", "predicted"])
+            yield pa.RecordBatch.from_arrays(batch.columns + more, names=batch.schema.names + list(names))
 
-    schema = StructType(docs.schema.fields + [StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    schema = StructType(docs.schema.fields + [StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
     return docs.mapInArrow(run, schema)
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelyze import llm
@@ -221,6 +222,18 @@ def test_pipeline_takes_odd_rows(spark):
             assert 5 not in ids and 7 not in ids and ids.count(10) == 1 and None in ids
 
 
+def test_pipeline_keeps_columns_that_clash(spark):
+    names = ["score", "Predicted", "kept_id", "digest", "nth", "times", "copy", "text__", "nth__", "copies__"]
+    docs = odd_docs(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.select("*", *[F.concat(F.lit(n + " of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = stage(spark, docs, SF).cache()
+        assert docs.columns == columns
+        for r in docs.collect():
+            assert all(r[n] == f"{n} of {'none' if r['doc_id'] is None else r['doc_id']}" for n in names), name
+
+
 def test_scratch_is_where_the_session_says(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert root is None or scratch(spark, "x").startswith(root.rstrip("/"))

@@ -58,6 +58,21 @@ def test_near_duplicates_match_all_pairs(docs):
     assert len(got) == len(rows)
 
 
+def test_rows_that_share_an_id(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = base[:58] + ["other", "end"]
+    far = [f"v{i}" for i in range(60)]
+    far_near = far[:58] + ["other", "end"]
+    rows = [
+        (1, "nothing like it at all here"), (1, " ".join(base)), (3, " ".join(near)),
+        (9, " ".join(far)), (9, " ".join(base)), (7, " ".join(far_near)),
+        (20, None), (20, " ".join(far_near)), (20, "  "), (21, ""), (21, "alone in its kind"),
+    ]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, r.component_id) for r in got if r.n_shingles} == {(1, 1), (3, 1), (9, 1), (7, 1), (20, 1), (21, 21)}
+    assert len(got) == len(rows) and {r.doc_id for r in got if r.kept} >= {1, 21}
+
+
 def test_group_of_near_copies_without_a_centre(spark, monkeypatch):
     """Chains of links under common keys, in several blocks."""
     monkeypatch.setattr(neardup, "BLOCK", 16)
