@@ -11,25 +11,27 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelyze.llm import mixing, neardup, packing, pii, toxicity
-from panelyze.llm.common import save, table
+from panelyze.llm.common import free_names, save, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression-distance classifier does not call toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    names = free_names(docs, "score", "predicted")
+    return toxicity.score(docs, model, tuple(names)).where(F.col(names[1]) == 0).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near duplicates; rows that repeat it go too."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept_id, digest, nth = free_names(docs, "kept_id", "digest", "nth")
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(kept_id)).distinct()
     # Null ids belong to no group and stay.
-    marked = docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left")
-    marked = marked.where("kept_id is not null or doc_id is null").drop("kept_id")
+    marked = docs.join(kept, F.col("doc_id") == F.col(kept_id), "left")
+    marked = marked.where(F.col(kept_id).isNotNull() | F.col("doc_id").isNull())
     # Rows of one id and text: the join has dealt the rows by id, so this needs no further shuffle.
-    same = Window.partitionBy("doc_id", "text__").orderBy("text__")
-    marked = marked.withColumn("text__", F.xxhash64("text")).withColumn("nth__", F.row_number().over(same))
-    return marked.where("nth__ = 1 or doc_id is null").select(*docs.columns)
+    same = Window.partitionBy("doc_id", digest).orderBy(digest)
+    marked = marked.withColumn(digest, F.xxhash64("text")).withColumn(nth, F.row_number().over(same))
+    return marked.where((F.col(nth) == 1) | F.col("doc_id").isNull()).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
