@@ -325,18 +325,19 @@ def supplier_totals_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_year_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combined panel landed as yearly Parquet folders, taken by the
-    ingestion stream into a year-partitioned table, read back."""
+    """Combined panel landed as yearly Parquet folders and taken by the ingestion stream into a
+    year-partitioned table; then one corrected year lands again and the stream goes on."""
     from panelyze.streaming.ingest import ingest_years
 
     combined = panel_frames(spark, sf_dir, TEST_PARAMS).combined
-    landing = scratch_path(spark, "landing")
+    landing, target, seen = (scratch_path(spark, n) for n in ("landing", "ingested", "ingest-checkpoint"))
     # Two files for each year, taken three at a time: a year spans batches.
-    W.write_partitioned_clustered(combined.repartition(2, "country"), landing, "year", ["country"])
-    schema = combined.drop("year").schema
-    target = scratch_path(spark, "ingested")
-    out = ingest_years(spark, landing, target, schema, sort_by=["country"], max_files=3)
-    return out.select(*combined.columns)
+    W.write_years(combined.repartition(2, "country"), landing)
+    args = spark, landing, target, combined.drop("year").schema
+    ingest_years(*args, sort_by=["country"], checkpoint=seen, max_files=3)
+    reload = combined.where(F.col("year") == RELOAD_YEAR).withColumn("co2", F.col("co2") * 2)
+    W.write_years(reload, landing)
+    return ingest_years(*args, sort_by=["country"], checkpoint=seen, max_files=3).select(*combined.columns)
 
 
 # ---------------------------------------------------------------- sources 2

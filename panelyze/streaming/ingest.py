@@ -1,15 +1,17 @@
 """Incremental ingestion of yearly files with Structured Streaming.
 
-A file-source stream picks up every newly landed yearly file.  The target is
-a Parquet table partitioned by year and source file, and each micro-batch
-replaces exactly the files it holds (dynamic partition overwrite), so the files
-of one year may land at any time and in any number of batches: nothing of an
-earlier batch is lost.  The stream's checkpoint records which files were taken,
-so a rerun or a restart after a lost executor or driver continues where it
-stopped, and the write of a batch is idempotent.
+A file-source stream picks up every newly landed file and tells which years
+have news.  A micro-batch replaces each of these years whole, with what its
+landing folder holds at that moment (dynamic partition overwrite of a target
+partitioned by year).  So a year may land in any number of files and batches,
+and a year that lands again takes the place of what it was, under whatever file
+names; files that were taken away no longer count.  A batch that runs again
+writes the same, and the stream's checkpoint records which files were seen, so
+a restart after a lost executor or driver continues where it stopped.
 
 Run it as a scheduled job with ``trigger(availableNow=True)``: it takes all
-files present, then stops.  ``max_files`` bounds a batch of a large backfill.
+files present, then stops.  ``max_files`` bounds a batch of a large backfill; a
+year that spans several batches is written by each of them.
 """
 
 from __future__ import annotations
@@ -21,9 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelyze.session import scratch_path
-
-# Partition column of the target that names the landed file of a row.
-FILE_COL = "source_file"
+from panelyze.sinks.writers import write_years
 
 
 def yearly_stream(
@@ -39,10 +39,12 @@ def yearly_stream(
     A file without a ``year`` column gets it from a ``year=YYYY`` folder or a
     four-digit year in its name.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    df = reader.load(landing)
+    return _yearly(spark.readStream, landing, schema, fmt, year_col, options)
+
+
+def _yearly(reader, landing: str, schema: StructType, fmt: str, year_col: str, options: dict[str, str] | None) -> DataFrame:
+    """The landed files, as a stream or as they are now, with the year of each row."""
+    df = reader.format(fmt).schema(schema).options(**(options or {})).load(landing)
     if year_col not in schema.fieldNames():
         path = F.col("_metadata.file_path")
         from_dir = F.regexp_extract(path, r"year=(\d{4})", 1)
@@ -65,22 +67,23 @@ def ingest_years(
     max_files: int | None = None,
 ) -> DataFrame:
     """Run the ingestion stream until the landed files are taken, then return
-    the target table (without ``FILE_COL``).  ``checkpoint`` defaults to a folder under
+    the target table.  ``checkpoint`` defaults to a folder under
     ``spark.checkpoint.dir``; pass a fixed one to resume across runs."""
     ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
-    if max_files:
-        options = {**(options or {}), "maxFilesPerTrigger": str(max_files)}
-    stream = yearly_stream(spark, landing, schema, fmt, year_col, options)
-    # The path below the landing folder, so that equal names in two folders differ.
-    name = F.replace(F.col("_metadata.file_path"), F.lit("/"), F.lit("|"))
-    stream = stream.withColumn(FILE_COL, F.concat(F.right(name, F.lit(80)), F.lit("-"), F.md5(name)))
+    bounded = {**(options or {}), "maxFilesPerTrigger": str(max_files)} if max_files else options
+    stream = yearly_stream(spark, landing, schema, fmt, year_col, bounded)
 
-    def replace_files(batch: DataFrame, batch_id: int) -> None:
-        out = batch.sortWithinPartitions(year_col, FILE_COL, *sort_by).write.mode("overwrite")
-        out.option("partitionOverwriteMode", "dynamic").partitionBy(year_col, FILE_COL).parquet(target)
+    def replace_years(batch: DataFrame, batch_id: int) -> None:
+        # A row for each year of the batch.
+        news = [r[0] for r in batch.select(year_col).distinct().collect()]
+        if news:
+            now = _yearly(spark.read, landing, schema, fmt, year_col, options)
+            dated = F.col(year_col).isin([y for y in news if y is not None])
+            now = now.where(dated | F.col(year_col).isNull() if None in news else dated)
+            write_years(now, target, year_col, sort_by)
 
     query = (
-        stream.writeStream.foreachBatch(replace_files)
+        stream.writeStream.foreachBatch(replace_years)
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()
@@ -88,4 +91,4 @@ def ingest_years(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.parquet(target).drop(FILE_COL)
+    return spark.read.parquet(target)

@@ -31,6 +31,25 @@ def test_ingest_new_years_and_restart(spark):
     assert got == {("BEL", 2019): 2.0, ("NLD", 2019): 1.0, ("NLD", 2020): 3.0, ("NLD", 2021): 5.0}
 
 
+def test_a_year_that_lands_again_replaces_what_it_was(spark):
+    landing, target, ckpt = (scratch_path(spark, f"t_again_{n}") for n in ("landing", "target", "ckpt"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    land(spark, landing, 1998, [("ALD", 1.0), ("BRM", 2.0), ("CVI", 3.0)])
+    land(spark, landing, 1999, [("ALD", 9.0)])
+    ingest_years(spark, landing, target, schema, checkpoint=ckpt, max_files=1)
+    # Spark gives the files of the new year other names.
+    land(spark, landing, 1998, [("ALD", 10.0), ("BRM", 20.0)])
+    # A further file of a year, by append, keeps the earlier one.
+    spark.createDataFrame([("BRM", 8.0)], SCHEMA).coalesce(1).write.mode("append").parquet(f"{landing}/year=1999")
+    out = ingest_years(spark, landing, target, schema, checkpoint=ckpt, max_files=1)
+    assert sorted((r["year"], r["country"], r["co2"]) for r in rows(out)) == [
+        (1998, "ALD", 10.0), (1998, "BRM", 20.0), (1999, "ALD", 9.0), (1999, "BRM", 8.0)]
+    # One folder for each year, not for each file.
+    from panelyze.sources.files import partition_folders
+
+    assert sorted(partition_folders(spark, target)) == ["1998", "1999"]
+
+
 def test_year_from_file_name(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
