@@ -297,8 +297,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = save(signatures(docs), "minhash-signed")
     some = signed.where("n > 0 and doc_id is not null")
     classes = some.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
-    # Two classes may have one representative, where its id stands on rows of both.
-    classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "minhash-classes")
+    classes = save(classes, "minhash-classes")
+    # Two classes may have one representative, where its id stands on rows of both.  Their own ids follow the order of
+    # the representatives: the smallest class of a key, which the others are compared with first, is its oldest text.
+    ranged = classes.repartitionByRange("rep").sortWithinPartitions("rep", "h1", "h2")
+    classes = save(ranged.withColumn("id", F.monotonically_increasing_id()), "minhash-named")
     keys = chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     hits = save(keys.join(shared, "key").select("key", "id", "size"), "minhash-hits")
