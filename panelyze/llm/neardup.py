@@ -105,25 +105,26 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
 
 
 def rebuilt(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(id, n, hashes, long_sig)`` of ``classes(id, rep, h1, h2)``, from the texts of their representatives."""
+    """``(id, n, hashes, long_sig)`` of ``classes(id, rep, n, h1, h2)``, from the texts of their representatives."""
 
     def run(batches):
         hashes = WordHashes()
         for pdf in batches:
             size = pdf["text"].str.len().to_numpy()
             for a, b in blocks(size, BATCH_BYTES // 4):
-                sets = _sets(pdf["text"].iloc[a:b].tolist(), hashes)
-                # An id may stand on rows with other texts: only the set of the class is its set.
-                own = zip(sets, pdf["h1"].iloc[a:b], pdf["h2"].iloc[a:b])
-                some = [i for i, (s, h1, h2) in enumerate(own) if len(s) and set_hash(s) == (h1, h2)]
-                sets, ids = [sets[i] for i in some], pdf["id"].iloc[a:b].iloc[some].tolist()
+                sets = [s for s in _sets(pdf["text"].iloc[a:b].tolist(), hashes) if len(s)]
                 sig = (minhash(sets, LONG) & np.uint16(255)).astype(np.uint8)
-                out = {"id": ids, "n": [len(s) for s in sets]}
+                pair = np.array([set_hash(s) for s in sets], np.int64).reshape(-1, 2)
+                out = {"n": [len(s) for s in sets], "h1": pair[:, 0], "h2": pair[:, 1]}
                 yield pd.DataFrame(out | {"hashes": [s.tobytes() for s in sets], "long_sig": [s.tobytes() for s in sig]})
 
-    one = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(classes, F.col("doc_id") == F.col("rep"))
-    one = one.select("id", "h1", "h2", "text").mapInPandas(run, "id long, n long, hashes binary, long_sig binary")
-    return one.dropDuplicates(["id"])
+    # Ids alone go to the texts; an id may stand on rows with other texts, whose sets are of no class asked for.
+    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(reps, "doc_id").select("text")
+    sets = texts.mapInPandas(run, "n long, h1 long, h2 long, hashes binary, long_sig binary")
+    # Dealt by the set's hash once, for both steps.
+    sets = sets.dropDuplicates(["n", "h1", "h2"]).join(classes.drop("rep"), ["n", "h1", "h2"])
+    return sets.select("id", "n", "hashes", "long_sig")
 
 
 def _similar_size(a, b):
@@ -305,7 +306,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keys = chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     hits = save(keys.join(shared, "key").select("key", "id", "size"), "minhash-hits")
-    ids = save(classes.join(hits.select("id").distinct(), "id").select("id", "rep", "h1", "h2"), "minhash-ids")
+    ids = save(classes.join(hits.select("id").distinct(), "id").select("id", "rep", "n", "h1", "h2"), "minhash-ids")
     sets = save(rebuilt(docs, ids), "minhash-sets")
     first = save(confirmed(save(star_pairs(hits, sets), "minhash-stars"), sets), "minhash-links")
     roots = components(first)
