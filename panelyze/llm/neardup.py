@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from panelyze.llm.common import blocks, components, mix64, save, shuffle_parts, table
 from panelyze.llm.shingles import WordHashes, minhash, shingle_set, words_of
+from panelyze.operators.ordinals import range_sorted, with_row_numbers
 
 PERCENT = 75
 CHUNKS, CHUNK, ERRORS = 12, 4, 1
@@ -301,8 +302,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = save(classes, "minhash-classes")
     # Two classes may have one representative, where its id stands on rows of both.  Their own ids follow the order of
     # the representatives: the smallest class of a key, which the others are compared with first, is its oldest text.
-    ranged = classes.repartitionByRange("rep").sortWithinPartitions("rep", "h1", "h2")
-    classes = save(ranged.withColumn("id", F.monotonically_increasing_id()), "minhash-named")
+    classes = with_row_numbers(save(range_sorted(classes, ["rep", "h1", "h2"]), "minhash-ranged"), "id")
+    classes = save(classes, "minhash-named")
     keys = chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     hits = save(keys.join(shared, "key").select("key", "id", "size"), "minhash-hits")
