@@ -18,9 +18,10 @@ Classes that meet under a key are compared on their whole sets:
    which only picks the rows that could link across components, then those rows
    by their whole sets.  Only links come out, as spanning forests of blocks.
 
-Scale: keys with one class are dropped before anything is joined; sets are
-rebuilt only for classes that share a key; hot keys are split into blocks; what
-leaves a task grows with the rows, never with the pairs of a group.
+Scale: keys with one class are dropped before anything is joined, and of keys
+with the same classes all but one; sets are rebuilt only for classes that share
+a key; hot keys are split into blocks; what leaves a task grows with the rows,
+never with the pairs of a group.
 
 Defined cases: null, empty and blank texts have no shingles and link with
 nothing; a text of one to four words is one shingle; a document is its id: rows that
@@ -105,6 +106,17 @@ def chunk_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "sig").mapInPandas(run, "key long, id long")
 
 
+def unlike_keys(rows: DataFrame) -> DataFrame:
+    """``(key, size)`` of ``rows(key, id)``: of the keys that hold the same ids, the smallest one.
+
+    Near classes agree on many chunks, so the same few ids meet under key after key; comparing them once finds all
+    their links.  Members are told apart by their number, smallest, largest and a 128-bit hash: exactly for two ids.
+    """
+    words = [F.bit_xor(F.xxhash64(F.lit(seed), "id")).alias(f"x{seed}") for seed in (1, 2)]
+    members = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("lo"), F.max("id").alias("hi"), *words)
+    return members.groupBy("size", "lo", "hi", "x1", "x2").agg(F.min("key").alias("key")).select("key", "size")
+
+
 def rebuilt(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``(id, n, hashes, long_sig)`` of ``classes(id, rep, n, h1, h2)``, from the texts of their representatives."""
 
@@ -119,8 +131,9 @@ def rebuilt(docs: DataFrame, classes: DataFrame) -> DataFrame:
                 out = {"n": [len(s) for s in sets], "h1": pair[:, 0], "h2": pair[:, 1]}
                 yield pd.DataFrame(out | {"hashes": [s.tobytes() for s in sets], "long_sig": [s.tobytes() for s in sig]})
 
-    # Ids alone go to the texts; an id may stand on rows with other texts, whose sets are of no class asked for.
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    # Ids alone go to the texts, from a table of their own, whose size the planner sees; an id may stand on rows with
+    # other texts, whose sets are of no class asked for.
+    reps = save(classes.select(F.col("rep").alias("doc_id")).distinct(), "minhash-reps")
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(reps, "doc_id").select("text")
     sets = texts.mapInPandas(run, "n long, h1 long, h2 long, hashes binary, long_sig binary")
     # Dealt by the set's hash once, for both steps.
@@ -306,7 +319,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = save(classes, "minhash-named")
     keys = chunk_keys(classes)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    hits = save(keys.join(shared, "key").select("key", "id", "size"), "minhash-hits")
+    met = save(keys.join(shared, "key").select("key", "id"), "minhash-met")
+    hits = save(met.join(save(unlike_keys(met), "minhash-unlike"), "key").select("key", "id", "size"), "minhash-hits")
     ids = save(classes.join(hits.select("id").distinct(), "id").select("id", "rep", "n", "h1", "h2"), "minhash-ids")
     sets = save(rebuilt(docs, ids), "minhash-sets")
     first = save(confirmed(save(star_pairs(hits, sets), "minhash-stars"), sets), "minhash-links")
@@ -320,8 +334,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     rows = at.join(mixed, "key").join(sets.select("id", "n", "long_sig"), "id")
     left = save(possible(rows).distinct(), "minhash-possible")
-    sizes = left.groupBy("key").agg(F.count("*").alias("size"))
-    rows = left.join(save(sizes, "minhash-sizes"), "key").join(sets.select("id", "n", "hashes"), "id")
+    rows = left.join(save(unlike_keys(left), "minhash-sizes"), "key").join(sets.select("id", "n", "hashes"), "id")
     more = save(block_links(rows), "minhash-more")
     roots = components(first.unionByName(more)).withColumnRenamed("node", "id")
     named = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -409,3 +409,11 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) and r.counts == "x" for r in got)
     empty = {r.score for r in got if r.doc_id in (700, 701)}
     assert len(empty) == 1 and empty.pop() < 0.5
+
+
+def test_keys_of_the_same_classes_are_compared_once(spark):
+    members = {1: [1, 2], 2: [1, 2], 3: [1, 2, 3], 4: [1, 3], 5: [1, 4, 3], 6: [1, 2, 3], 7: [9], 8: [3, 1]}
+    rows = spark.createDataFrame([(k, i) for k, ids in members.items() for i in ids], "key long, id long")
+    got = {(r["key"], r["size"]) for r in neardup.unlike_keys(rows).collect()}
+    assert got == {(1, 2), (3, 3), (4, 2), (5, 3), (7, 1)}
+    assert neardup.unlike_keys(rows.where("key < 0")).collect() == []
