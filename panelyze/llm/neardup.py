@@ -248,7 +248,7 @@ def possible(rows: DataFrame) -> DataFrame:
     return _spread(in_blocks(rows)).mapInPandas(run, "key long, id long")
 
 
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 1024) -> np.ndarray:
     """Sizes of all intersections, by products of incidence matrices of the shingles that repeat."""
     sizes = [len(s) for s in a] + [len(s) for s in b]
     shingle, inverse, seen = np.unique(np.concatenate(a + b), return_inverse=True, return_counts=True)
