@@ -3,37 +3,21 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelyze.session import scratch_path
+
 # A word is a run of characters other than space and the ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_UNSET_ROOT: list[str] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, shared by driver and executors.
-
-    Where it is unset (tests, one machine) a temporary folder of this process
-    is used.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not _UNSET_ROOT:
-            _UNSET_ROOT.append(tempfile.mkdtemp(prefix="corpus-scratch-"))
-        root = _UNSET_ROOT[0]
-    return root.rstrip("/")
-
-
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """``names`` with underscores behind them as far as the frame has columns of these names."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -46,7 +30,8 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/corpus/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder that driver and executors share, by the rule of ``session.checkpoint_root``."""
+    return scratch_path(spark, f"corpus/{name}")
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
