@@ -9,8 +9,10 @@ models' declared partitioning and clustering.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from panelyze.operators.quality import check_report, watched
@@ -34,6 +36,9 @@ LAYOUT: dict[str, tuple[str | None, tuple[str, ...]]] = {
     "join_check": (None, ()),
 }
 
+# Models whose writes run side by side: the end of one leaves cores to the next.
+AT_ONCE = 4
+
 
 def model_frames(
     combined: DataFrame,
@@ -91,21 +96,35 @@ def build_and_check(
     out_root: str,
     not_null: Mapping[str, Sequence[str]],
     unique: Mapping[str, Sequence[Sequence[str]]],
+    read_later: Collection[str] = (),
 ) -> DataFrame:
     """Build models and count their declared checks in the pass that builds them.
 
-    Models without a layout are views: their one pass goes to no sink.
+    Models without a layout are views: their one pass goes to no sink, but
+    those in ``read_later`` are written as plain tables before the next frame
+    is made, so that later frames read ``out_root/<name>`` instead of
+    computing it again.  The other models do not read each other and are
+    written ``AT_ONCE`` at a time.
     Returns ``(model, check_name, failures)``.
     """
-    seen = {}
-    for name, make in frames.items():
-        df, watch, seen[name] = watched(make(), not_null.get(name, ()), unique.get(name, ()))
+
+    def write(name: str, df: DataFrame, watch: Callable[[DataFrame], DataFrame]) -> None:
         part, cluster = LAYOUT.get(name, (None, ()))
         path = f"{out_root.rstrip('/')}/{name}"
         if part:
             write_partitioned_clustered(df, path, part, list(cluster), watch)
-        elif name in LAYOUT:
+        elif name in LAYOUT or name in read_later:
             write_parquet(watch(df), path)
         else:
             watch(df).write.format("noop").mode("overwrite").save()
+
+    seen, writes = {}, []
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for name, make in frames.items():
+            df, watch, seen[name] = watched(make(), not_null.get(name, ()), unique.get(name, ()))
+            writes.append(pool.submit(inheritable_thread_target(write), name, df, watch))
+            if name in read_later:
+                writes[-1].result()
+        for done in writes:
+            done.result()
     return check_report(spark, seen)

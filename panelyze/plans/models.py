@@ -158,6 +158,11 @@ def checked_unique(panel: DataFrame, p: ModelParams) -> ModelParams:
     return replace(p, key_unique=True)
 
 
+def with_key_seen(panel: DataFrame, p: ModelParams) -> ModelParams:
+    """``p`` with ``key_unique`` as the panel has it (one aggregation); a repeated key is no error."""
+    return replace(p, key_unique=not unique_violations(panel, ["country", "year"]).limit(1).count())
+
+
 # ---------------------------------------------------------------- staging
 
 

@@ -35,6 +35,7 @@ def panel_frames(
     sf_dir: str,
     params: M.ModelParams = TEST_PARAMS,
     materialised: bool = False,
+    staged: DataFrame | None = None,
 ) -> PanelFrames:
     """Lazy frames of the panel pipeline.
 
@@ -42,7 +43,9 @@ def panel_frames(
     is written once per session and input version as a table under
     ``spark.checkpoint.dir``, partitioned by year and sorted by country
     (the dimension tables' partitioning and clustering), and the models
-    read that table.
+    read that table.  ``staged`` is the staged frame of the same tables, if
+    the caller has it written: a panel that is yet to be written is then
+    built from it, not from the raw tables.
     """
     version = input_version(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in _SOURCES])
     # An input without modification times is never taken from the cache.
@@ -58,5 +61,6 @@ def panel_frames(
     if not materialised:
         return frames
     if key not in _MATERIALISED:
-        _MATERIALISED[key] = materialize(frames.panel, "sovereign_panel", ["year"], ["year", "country"])
+        panel = frames.panel if staged is None else M.sovereign_panel(staged, frames.countries, params)
+        _MATERIALISED[key] = materialize(panel, "sovereign_panel", ["year"], ["year", "country"])
     return replace(frames, panel=_MATERIALISED[key])

@@ -149,3 +149,72 @@ def test_checks_are_counted_while_writing(spark):
     assert spark.read.parquet(path).columns == ["k", "v", "year"]
     report = build_and_check(spark, {"view": lambda: df}, path, {"view": ["k"]}, {"view": [["k"]]})
     assert sorted(map(tuple, report.collect())) == [("view", "not_null_k", 2), ("view", "unique_k", 2)]
+
+
+def test_models_read_what_is_written_for_them(spark):
+    """A view in read_later is computed once, though two later models read it; views are not kept otherwise."""
+    runs = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([("a", 1), (None, 2), ("a", 3)], "k string, year int").rdd
+
+    def seen(row):
+        runs.add(1)
+        return row
+
+    df = rows.map(seen).toDF("k string, year int")
+    path = scratch_path(spark, "read_later")
+    staged = lambda: spark.read.parquet(f"{path}/base")
+    frames = {"base": lambda: df, "odd": lambda: staged().where("year % 2 = 1"), "even": lambda: staged().where("year = 2")}
+    checks = {name: ["k"] for name in frames}
+    report = build_and_check(spark, frames, path, checks, {"odd": [["k"]]}, read_later=["base"])
+    want = [("base", "not_null_k", 1), ("even", "not_null_k", 1), ("odd", "not_null_k", 0), ("odd", "unique_k", 1)]
+    assert sorted(map(tuple, report.collect())) == want
+    assert runs.value == 3
+    assert SRC.footer_rows(spark, f"{path}/base") == 3
+
+
+def test_a_failing_model_fails_the_build(spark):
+    frames = {
+        "good": lambda: spark.range(3),
+        "bad": lambda: spark.range(3).selectExpr("raise_error('broken row') AS k"),
+    }
+    with pytest.raises(Exception, match="broken row"):
+        build_and_check(spark, frames, scratch_path(spark, "failing"), {"good": ["id"], "bad": ["k"]}, {})
+
+
+def test_declared_checks_read_the_raw_tables_once(spark, monkeypatch):
+    from panelyze.plans import operator_queries as OQ
+    from panelyze.plans import pipeline
+
+    monkeypatch.setattr(pipeline, "_MATERIALISED", {})
+    built = []
+    of = pipeline.M.sovereign_panel
+
+    def sovereign_panel(staged, *rest):
+        built.append(staged.inputFiles())
+        return of(staged, *rest)
+
+    monkeypatch.setattr(pipeline.M, "sovereign_panel", sovereign_panel)
+    sf = scratch_path(spark, "tables")
+    made = {
+        "region": "SELECT 0 AS r_regionkey, 'EUROPE' AS r_name",
+        "nation": "SELECT 0 AS n_nationkey, 'FRANCE' AS n_name, 0 AS n_regionkey",
+        "customer": "SELECT id + 1 AS c_custkey, concat('C', id) AS c_name, 0 AS c_nationkey, 'BUILDING' AS c_mktsegment FROM range(20)",
+        "orders": "SELECT id AS o_orderkey, id % 20 + 1 AS o_custkey, make_timestamp(1992 + cast(id % 7 AS int), 1, 1, 0, 0, 0) AS o_orderdate, 1000.5D + id AS o_totalprice FROM range(300)",
+        "lineitem": "SELECT id % 300 AS l_orderkey, 2D AS l_quantity, 10.25D AS l_extendedprice, element_at(array('N', 'A', 'R'), cast(id % 3 AS int) + 1) AS l_returnflag FROM range(900)",
+    }
+    for name, sql in made.items():
+        spark.sql(sql).write.parquet(f"{sf}/{name}.parquet")
+    # One customer stands on two rows, so the panel repeats its keys.
+    spark.sql(f"{made['customer']} WHERE id = 4").write.mode("append").parquet(f"{sf}/customer.parquet")
+    report = {(r.model, r.check_name): r.failures for r in OQ.declared_checks(spark, sf).collect()}
+    assert len(report) == 33
+    assert report["stg_countries", "unique_alpha_3"] == 1
+    assert report["fct_region", "unique_region_year"] == 0
+    # The panel that was written came from the staged table, not from lineitem.
+    assert built[-1] and all("stg_combined" in f for f in built[-1])
+
+
+def test_key_is_taken_as_the_panel_has_it(spark):
+    once = spark.createDataFrame([("a", 1), ("a", 2), (None, 1)], "country string, year int")
+    assert M.with_key_seen(once, M.ModelParams()).key_unique
+    assert not M.with_key_seen(once.union(once.limit(1)), M.ModelParams()).key_unique
