@@ -185,7 +185,7 @@ def test_revisits(spark):
 @pytest.mark.parametrize("name", sorted(llm.ORACLE_SQL))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = llm.QUERIES[name](spark, SF)
     rel = con.execute(llm.ORACLE_SQL[name])
