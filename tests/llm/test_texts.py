@@ -6,9 +6,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from panelyze.llm import anchors, lcpsort, mixing, neardup, packing, substrings, suffixes, toxicity
 from panelyze.llm.common import table
@@ -417,3 +419,51 @@ def test_keys_of_the_same_classes_are_compared_once(spark):
     got = {(r["key"], r["size"]) for r in neardup.unlike_keys(rows).collect()}
     assert got == {(1, 2), (3, 3), (4, 2), (5, 3), (7, 1)}
     assert neardup.unlike_keys(rows.where("key < 0")).collect() == []
+
+
+def test_rows_found_again_over_batches():
+    """Keys that part in their second number, and groups that reach over batches."""
+    rng = np.random.default_rng(6)
+    rows = pd.DataFrame({"a": np.sort(rng.integers(0, 60, 300)), "b": rng.integers(0, 4, 300), "n": np.arange(300)})
+    rows.loc[250:, "a"] = 99
+    rows.loc[250:, "b"] = np.arange(50) // 2 % 17
+    for size in (1, 3, 40, 300):
+        batches = [rows[i : i + size] for i in range(0, 300, size)] + [rows[:0]]
+        for keys in (["a"], ["a", "b"]):
+            got = pd.concat(suffixes.found_again(iter(batches), *keys))["n"].tolist()
+            assert sorted(got) == rows[rows.duplicated(keys, keep=False)]["n"].tolist()
+        alone = pd.concat(suffixes.found_again(iter(batches), "a", "b", alone=lambda p: p["n"].to_numpy() % 2 == 0))["n"].tolist()
+        assert sorted(alone) == rows[rows.duplicated(["a", "b"], keep=False) | (rows["n"] % 2 == 0)]["n"].tolist()
+
+
+def test_a_common_seed_is_dealt_to_many_tasks(spark):
+    """One passage in every text: its rows must not meet in one task, and unlike rows must."""
+    core = "".join(np.random.default_rng(3).choice(list("abcdefgh"), 3000))
+    rows = [(i, f"x{i} {core[:460]} y{i}") for i in range(400)] + [(400, core[1000:1600]), (401, "b" + core[1000:1600])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = df.select(F.col("doc_id").alias("d"), suffixes.text_key().alias("k"), F.col("text").cast("binary").alias("text"))
+    seeds = suffixes.seed_regions(texts).cache()
+    often = seeds.groupBy("seed").count().orderBy(F.desc("count")).first()
+    assert often["count"] >= 400
+    assert seeds.where(F.col("seed") == often["seed"]).where(f"seen < {suffixes.LATER}").count() <= 4
+    want = seeds.join(seeds.groupBy("seed").count().where("count > 1"), "seed", "semi").select("k", "lo", "hi", "at").distinct()
+    assert Counter(suffixes.repeated_seeds(seeds).select("k", "lo", "hi", "at").collect()) == Counter(want.collect())
+    assert Counter(tuple(r) for r in suffixes.deduplicated(df).collect()) == brute_bytes(rows, 400)
+
+
+def test_strings_that_a_neighbour_shares_are_not_written_out(spark, monkeypatch):
+    """A passage in many places, cut at either end by what differs: one place writes its strings out, not each."""
+    real, hashed = suffixes.repeated_parts, []
+
+    def counted(parts):
+        hashed.append(parts.count())
+        return real(parts)
+
+    monkeypatch.setattr(suffixes, "repeated_parts", counted)
+    rng = np.random.default_rng(5)
+    core = "".join(rng.choice(list("abcdefgh"), 900))
+    for n in (20, 80):
+        rows = [(i, "".join(rng.choice(list("ijkl"), 500)) + core + "".join(rng.choice(list("mnop"), 500))) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        assert Counter(tuple(r) for r in suffixes.deduplicated(df).collect()) == brute_bytes(rows, 400)
+    assert hashed[1] < 2 * hashed[0] + 1000
