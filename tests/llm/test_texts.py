@@ -467,3 +467,25 @@ def test_strings_that_a_neighbour_shares_are_not_written_out(spark, monkeypatch)
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
         assert Counter(tuple(r) for r in suffixes.deduplicated(df).collect()) == brute_bytes(rows, 400)
     assert hashed[1] < 2 * hashed[0] + 1000
+
+
+def test_rows_of_a_common_string_stay_behind(spark, monkeypatch):
+    monkeypatch.setattr(lcpsort, "RUN_BYTES", 3000)
+    rng = np.random.default_rng(9)
+    strings = [b"common" if i % 3 else bytes(rng.integers(97, 99, 6, dtype=np.uint8)) for i in range(1500)]
+    rows = [(i, i % 7, s) for i, s in enumerate(strings)]
+    df = spark.createDataFrame(rows, "id long, n int, s binary").repartition(3)
+    real, largest = lcpsort.save, []
+
+    def watched(df, name):
+        out = real(df, name)
+        if name.endswith("-runs"):
+            largest.append(out.where(f"range <> {lcpsort.MEMBERS}").selectExpr("max(octet_length(whose))").first()[0])
+        return out
+
+    monkeypatch.setattr(lcpsort, "save", watched)
+    members, kept = lcpsort.neighbours(df, lambda *a: (0, 0), lambda *a: True, "common")
+    count, cls = Counter(strings), {bytes(r.s): r.cls for r in kept.collect()}
+    want = Counter((i, n, cls[s], count[s]) for i, n, s in rows)
+    assert Counter((r.id, r.n, r.cls, r.mult) for r in members.collect()) == want
+    assert largest[0] < 12 * 200
